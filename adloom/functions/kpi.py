@@ -15,9 +15,12 @@ def _col(c: Column | str) -> Column:
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
-    """Quotient as double; null when the denominator is zero."""
+    """Quotient as double; null when the denominator is zero.
+
+    Written with ``when``: ``nullif`` is planned as a projection of its own, which
+    parts a limit from its sort and turns a top-k into a full sort."""
     below = _col(denominator).cast("double")
-    return _col(numerator).cast("double") / F.nullif(below, F.lit(0.0))
+    return F.when(below != 0, _col(numerator).cast("double") / below)
 
 
 def round2(value: Column) -> Column:
@@ -52,7 +55,7 @@ def budget_used_pct(spent: Column | str, budget: Column | str) -> Column:
 
 def clicks_by_revenue(ad_revenue: Column | str = "ad_revenue") -> Column:
     """Aggregate: rows that earned something count as clicked."""
-    return F.count_if(_col(ad_revenue) > 0)
+    return F.count(F.when(_col(ad_revenue) > 0, True))
 
 
 def as_double(name: str) -> Column:

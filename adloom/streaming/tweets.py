@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from adloom import schemas
 from adloom.functions import text
 from adloom.functions.shape import column_or
+from adloom.sources.files import read_csv, write_csv
 from adloom.sources.messages import message_writer, to_messages
 
 FLUSH_INTERVAL = "60 seconds"
@@ -68,25 +69,23 @@ def minute_rows(messages: DataFrame) -> DataFrame:
 
 
 def append_minutes(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body that appends to one folder per minute, late rows to
-    their old minute. Ranges are cut on minute and row hash: a minute fills few
-    files, and one that holds most of the batch is still written by many tasks.
+    """A ``foreachBatch`` body that files rows by minute, late rows under their old
+    minute. Ranges are cut on minute and row hash: a minute fills few files, and one
+    that holds most of the batch is still written by many tasks.
 
-    A batch goes to a folder of its own below the minute, so a replayed batch
-    replaces its files; readers see both levels as partition columns."""
+    Every batch owns a folder with the minutes inside. A replayed batch replaces its
+    own folder and nothing else, and no existing file is opened again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spread = batch.repartitionByRange("time_key", F.xxhash64(*FIELDS))
-        (
-            spread.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("time_key", "batch_id")
-            .option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
-            .csv(path)
-        )
+        write_csv(_by_minute(batch), f"{path}/batch_id={batch_id}", partition_by=("time_key",))
 
     return write
 
 
+def _by_minute(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange("time_key", F.xxhash64(*FIELDS))
+
+
 def minute_job(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return (
         minute_rows(messages).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -96,18 +95,11 @@ def minute_job(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWri
 
 def read_minutes(spark: SparkSession, path: str) -> DataFrame:
     """All minutes written so far, empty cells as empty text."""
-    raw = (
-        spark.read.schema(f"{', '.join(f'{c} string' for c in FIELDS)}, time_key string, batch_id bigint")
-        .option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("lineSep", "\n").csv(path)
-    )
+    raw = read_csv(spark, path, multi_line=True, schema=T.StructType(
+        [*schemas.text_schema(*FIELDS, "time_key").fields, T.StructField("batch_id", T.LongType())]))
     return raw.select(*[F.coalesce(c, F.lit("")).alias(c) for c in FIELDS], "time_key")
 
 
 def compact_minutes(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrites many small batch files into few per minute, at a new place."""
-    (
-        read_minutes(spark, path).repartitionByRange("time_key", F.xxhash64(*FIELDS))
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("time_key")
-        .option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(target)
-    )
+    """Rewrites the files of all batches into few per minute, at a new place."""
+    write_csv(_by_minute(read_minutes(spark, path)), target, partition_by=("time_key",))

@@ -1,0 +1,104 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from adloom.functions import flags, kpi, shape, text
+from conftest import rows
+
+
+def one(spark, value, column):
+    """Value of a column expression over a single text cell ``c``."""
+    return spark.createDataFrame([(value,)], "c string").select(column.alias("r")).first()[0]
+
+
+@pytest.mark.parametrize("value,expected", [
+    (0.005, 0.01), (1.005, 1.0), (2.675, 2.68), (-0.125, -0.13), (12.0, 12.0), (None, None)])
+def test_round2(spark, value, expected):
+    # 1.005 is stored below the half; 2.675 * 100 lands on the half when multiplied.
+    df = spark.createDataFrame([(value,)], "x double")
+    assert df.select(kpi.round2(F.col("x"))).first()[0] == expected
+
+
+def test_metrics_and_zero_denominators(spark):
+    df = spark.createDataFrame([(3, 8, 10.0, 5.0), (0, 0, 0.0, 0.0)], "clicks long, seen long, cost double, revenue double")
+    got = df.select(
+        kpi.ctr_pct("clicks", "seen"), kpi.ctr_fraction("clicks", "seen"), kpi.cpm("cost", "seen"),
+        kpi.cpc("cost", "clicks"), kpi.roas("revenue", "cost"), kpi.budget_used_pct("cost", "revenue")).collect()
+    assert tuple(got[0]) == (37.5, 0.375, 1250.0, 3.33, 0.5, 200.0)
+    assert tuple(got[1]) == (None, 0.0, None, None, None, None)
+
+
+def test_click_dialects_differ(spark):
+    spellings = ["1", "True", "true", " TRUE ", "False", "0", "yes", None]
+    df = spark.createDataFrame([(s,) for s in spellings], "f string")
+    got = df.select(
+        "f", flags.clicked_truthy(F.col("f")), flags.clicked_strict(F.col("f")), flags.clicked_word(F.col("f"))).collect()
+    table = {r[0]: tuple(r)[1:] for r in got}
+    assert table == {
+        "1": (True, True, False), "True": (True, True, True), "true": (True, False, True),
+        " TRUE ": (False, False, True), "False": (False,) * 3, "0": (False,) * 3, "yes": (False,) * 3,
+        None: (False,) * 3}
+
+
+def test_verified_dialects_differ(spark):
+    df = spark.createDataFrame([(s,) for s in ("1", "Y", "y", "N", "0", None)], "f string")
+    assert df.filter(flags.verified_any(F.col("f"))).count() == 3
+    assert df.filter(flags.verified_yes(F.col("f"))).count() == 1
+
+
+@pytest.mark.parametrize("value,expected", [
+    ("Age 18-35, Sports , Norway", (18, 35, "Sports", "Norway")),
+    ("Age 18-35, Sports", (18, 35, "Sports", None)),
+    ("Age 18-35", (18, 35, None, None)),
+    ("Everyone, Music,", (None, None, "Music", "")),
+    ("Age 99999999999-5, x", (None, 5, "x", None)),
+    ("", (None, None, None, None)),
+    (None, (None, None, None, None)),
+])
+def test_targeting(spark, value, expected):
+    fields = text.targeting_fields(F.col("c"))
+    df = spark.createDataFrame([(value,)], "c string").select(*[v.alias(k) for k, v in fields.items()])
+    assert tuple(df.first()) == expected
+
+
+def test_comma_list(spark):
+    assert one(spark, "Gaming, Sports ,Health", text.comma_list(F.col("c"))) == ["Gaming", "Sports", "Health"]
+    assert one(spark, None, text.comma_list(F.col("c"))) == []
+
+
+def test_bad_text_becomes_null(spark):
+    assert one(spark, "2024-13-99", text.to_day(F.col("c"))) is None
+    assert one(spark, "2024-02-29", text.to_day(F.col("c"))) == dt.date(2024, 2, 29)
+    assert one(spark, "12x", text.to_int(F.col("c"))) is None
+    assert one(spark, "1e400", text.to_money(F.col("c"))) is None
+    assert one(spark, "soon", text.to_wall_clock(F.col("c"))) is None
+    assert one(spark, "soon", text.to_instant(F.col("c"))) is None
+
+
+def test_times(spark):
+    assert one(spark, "2024-10-08T12:24:18", text.to_wall_clock(F.col("c"))) == dt.datetime(2024, 10, 8, 12, 24, 18)
+    zoned = F.date_format(text.to_instant(F.col("c")), "yyyy-MM-dd HH:mm:ss.SSS")
+    assert one(spark, "2024-10-08T12:24:18.250Z", zoned) == "2024-10-08 12:24:18.250"
+    assert one(spark, "2024-10-08T12:24:18", text.minute_label(text.to_wall_clock(F.col("c")))) == "08_10_2024_12_24"
+    assert one(spark, "2024-10-08", text.month_label(text.to_day(F.col("c")))) == "2024-10"
+    assert one(spark, "2024-10-08T12:24:18", text.iso_text(text.to_wall_clock(F.col("c")))) == "2024-10-08T12:24:18"
+    assert one(spark, "\t x y \n", text.strip(F.col("c"))) == "x y"
+    assert one(spark, "  ", text.blank_to_null(F.col("c"))) is None
+
+
+def test_shapes(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["SignupDate", "RegistrationDate", " id "])
+    assert shape.strip_headers(df).columns == ["SignupDate", "RegistrationDate", "id"]
+    renamed = shape.rename_present(df, {"SignupDate": "signup", "RegistrationDate": "signup", "gone": "x"})
+    assert renamed.columns == ["signup", "RegistrationDate", " id "]
+    assert shape.keep_present(df, ["RegistrationDate", "nope", "SignupDate"]).columns == ["RegistrationDate", "SignupDate"]
+    assert shape.drop_present(df, "nope", " id ").columns == ["SignupDate", "RegistrationDate"]
+    assert df.select(shape.column_or(df, "nope", F.lit("d"))).first()[0] == "d"
+    assert df.select(shape.column_or(df, "SignupDate", F.lit("d"))).first()[0] == 1
+
+
+def test_half_open_window(spark):
+    df = spark.sql("select timestamp_ntz'2024-11-01 00:00:00' t union all select timestamp_ntz'2024-12-01 00:00:00'"
+                   " union all select timestamp_ntz'2024-11-30 23:59:59.999' union all select null")
+    assert len(rows(df.filter(shape.within("t", "2024-11-01", "2024-12-01")))) == 2
