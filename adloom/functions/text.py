@@ -24,6 +24,10 @@ def to_long(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+def to_double(c: Column) -> Column:
+    return c.try_cast("double")
+
+
 def to_money(c: Column) -> Column:
     return c.try_cast("decimal(12,2)")
 

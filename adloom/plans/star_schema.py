@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom import schemas
@@ -16,6 +17,11 @@ from adloom.operators.surrogate import first_appearance_ids
 UNKNOWN_ID = 0
 
 
+def _parse_present(df: DataFrame, parsers: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Types the text columns that the file has."""
+    return df.withColumns({c: parse(F.col(c)) for c, parse in parsers.items() if c in df.columns})
+
+
 def dim_locations(raw_users: DataFrame, ordinal: str) -> DataFrame:
     """Countries of the users, numbered as they first appear."""
     users = rename_present(raw_users, {"Location": "country_name", "location": "country_name"})
@@ -36,11 +42,9 @@ def dim_campaigns(raw_campaigns: DataFrame, advertisers: DataFrame, locations: D
         "CampaignID": "campaign_id", "CampaignName": "campaign_name",
         "CampaignStartDate": "start_date", "CampaignEndDate": "end_date", "Budget": "budget",
         "AdSlotSize": "ad_slot_size", "RemainingBudget": "remaining_budget"})
-    typed = renamed.withColumns({
-        "campaign_id": text.to_long(F.col("campaign_id")),
-        "start_date": text.to_day(F.col("start_date")), "end_date": text.to_day(F.col("end_date")),
-        "budget": text.to_money(F.col("budget")),
-        "remaining_budget": F.col("remaining_budget").try_cast("double")})
+    typed = _parse_present(renamed, {
+        "campaign_id": text.to_long, "start_date": text.to_day, "end_date": text.to_day,
+        "budget": text.to_money, "remaining_budget": text.to_double})
     return keep_present(typed, schemas.CAMPAIGNS)
 
 
@@ -53,9 +57,7 @@ def _users(raw_users: DataFrame) -> DataFrame:
 
 def dim_users(raw_users: DataFrame, locations: DataFrame) -> DataFrame:
     users = resolve_key(_users(raw_users), locations, "location", "country_name", "location_id", "location_id")
-    typed = users.withColumns({
-        "age": text.to_int(F.col("age")), "signup_date": text.to_day(F.col("signup_date"))})
-    return keep_present(typed, schemas.USERS)
+    return keep_present(_parse_present(users, {"age": text.to_int, "signup_date": text.to_day}), schemas.USERS)
 
 
 def user_interests(raw_users: DataFrame) -> DataFrame:
@@ -74,11 +76,10 @@ def fact_events(raw_events: DataFrame, campaigns: DataFrame, locations: DataFram
         "EventID": "event_id", "UserID": "user_id", "Device": "device", "Timestamp": "event_timestamp",
         "BidAmount": "bid_amount", "AdCost": "ad_cost", "WasClicked": "was_clicked",
         "ClickTimestamp": "click_timestamp", "AdRevenue": "ad_revenue"})
-    parsers = {
+    typed = _parse_present(renamed, {
         "user_id": text.to_long, "event_timestamp": text.to_wall_clock, "bid_amount": text.to_money,
         "ad_cost": text.to_money, "was_clicked": flags.clicked_truthy,
-        "click_timestamp": text.to_wall_clock, "ad_revenue": text.to_money}
-    typed = renamed.withColumns({c: parse(F.col(c)) for c, parse in parsers.items() if c in renamed.columns})
+        "click_timestamp": text.to_wall_clock, "ad_revenue": text.to_money})
     return keep_present(typed, schemas.FACT_EVENTS)
 
 
