@@ -18,6 +18,7 @@ from adloom.plans import ad_kpis, ad_marts, documents, reviews, star_schema
 from adloom.plans import sample_tables as t
 from adloom.sources import files, messages
 from adloom.streaming import tweets, wiki
+from adloom.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -315,13 +316,9 @@ def _follow(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-def _drain(writer) -> None:
-    writer.trigger(availableNow=True).start().awaitTermination()
-
-
 def _filtered_topic(spark: SparkSession, sf: str, base: str) -> str:
     changes = t.wiki_changes(_follow(spark, sf, "events"))
-    _drain(wiki.filter_job(changes, f"{base}/filter-progress", "text", f"{base}/processed"))
+    drain(wiki.filter_job(changes, f"{base}/filter-progress", "text", f"{base}/processed"))
     return f"{base}/processed"
 
 
@@ -335,22 +332,22 @@ def wiki_filter(spark: SparkSession, sf: str) -> DataFrame:
 def wiki_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     base = session.scratch_dir(spark, "wiki-dead")
     changes = t.wiki_changes(_follow(spark, sf, "events"))
-    _drain(wiki.dead_letter_job(changes, f"{base}/progress", "text", f"{base}/dead"))
+    drain(wiki.dead_letter_job(changes, f"{base}/progress", "text", f"{base}/dead"))
     return spark.read.schema("value string").text(f"{base}/dead")
 
 
 def wiki_table(spark: SparkSession, sf: str) -> DataFrame:
     base = session.scratch_dir(spark, "wiki-table")
     processed = messages.read_messages(spark, "text", _filtered_topic(spark, sf, base))
-    _drain(wiki.table_job(processed, f"{base}/pages", f"{base}/table-progress"))
-    return wiki.read_pages(spark, f"{base}/pages").withColumn(
-        "created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    drain(wiki.table_job(processed, f"{base}/pages", f"{base}/table-progress"))
+    utc = F.to_utc_timestamp("created_at", F.current_timezone())
+    return wiki.read_pages(spark, f"{base}/pages").withColumn("created_at", F.date_format(utc, "yyyy-MM-dd HH:mm:ss"))
 
 
 def tweet_minutes(spark: SparkSession, sf: str) -> DataFrame:
     base = session.scratch_dir(spark, "tweet-minutes")
     sent = t.tweets(_follow(spark, sf, "conversations"))
-    _drain(tweets.minute_job(sent, f"{base}/minutes", f"{base}/progress"))
+    drain(tweets.minute_job(sent, f"{base}/minutes", f"{base}/progress"))
     return tweets.read_minutes(spark, f"{base}/minutes")
 
 
@@ -361,7 +358,7 @@ def csv_replay(spark: SparkSession, sf: str) -> DataFrame:
     turns = t.table(spark, sf, "conversations").select(F.col("role").alias("author_id"), "text")
     files.write_csv(turns, f"{base}/csv")
     rows = tweets.follow_csv(spark, f"{base}/csv", max_files=8, multi_line=True)
-    _drain(tweets.replay_job(rows, f"{base}/progress", "text", f"{base}/topic"))
+    drain(tweets.replay_job(rows, f"{base}/progress", "text", f"{base}/topic"))
     fields = "author_id string, text string, created_at string"
     return spark.read.schema("value string").text(f"{base}/topic").select(F.from_json("value", fields).alias("d")).select(
         "d.author_id", "d.text", F.col("d.created_at").isNotNull().cast("string").alias("has_time"))

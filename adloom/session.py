@@ -13,7 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Pages of up to this many rows per group are still cut in the map tasks.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

@@ -49,12 +49,14 @@ def cluster_for_reads(df: DataFrame, partition_key: Sequence[str], clustering: S
 
 def write_keyed(df: DataFrame, path: str, partition_key: Sequence[str], clustering: Sequence[Column],
                 primary_key: Sequence[str] = (), written: Sequence[str] = (), mode: str = "overwrite",
-                folders: bool = False, fmt: str = "parquet") -> None:
+                folders: bool = False, only_touched: bool = False, fmt: str = "parquet") -> None:
     """Writes a query-first table. Given a primary key, only the last write per key
     is kept. ``folders`` makes one directory per partition key: for keys with few
-    values, such as a month."""
+    values, such as a month. With ``only_touched`` an overwrite replaces just the
+    folders that the new rows belong to."""
     rows = latest_per_key(df, primary_key, written) if primary_key else df
-    writer = cluster_for_reads(rows, partition_key, clustering).write.format(fmt).mode(mode)
+    writer = cluster_for_reads(rows, partition_key, clustering).write.format(fmt).mode(mode).option(
+        "partitionOverwriteMode", "dynamic" if only_touched else "static")
     if folders:
         writer = writer.partitionBy(*partition_key)
     writer.save(path)

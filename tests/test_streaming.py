@@ -7,15 +7,10 @@ from pyspark.sql import functions as F
 from adloom.plans import sample_tables as t
 from adloom.sources.messages import read_messages, to_messages
 from adloom.streaming import keyed_sink, tweets, wiki
+from adloom.streaming.run import drain, start
 from conftest import rows
 
 
-def drain(writer):
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
-
-
 def post(folder, name, *messages):
     """One file of JSON lines; a text is written as it is."""
     os.makedirs(folder, exist_ok=True)
@@ -162,6 +157,15 @@ def test_replay_defaults_and_rate(spark, box):
     assert (named["author_id"], named["text"]) == ("7", None)
 
 
+def test_interval_trigger_flushes_and_stops(spark, box):
+    post(box("in"), "a.json", tweet("2022-05-03T17:08:45"))
+    query = start(tweets.minute_job(text_stream(spark, box("in")), box("out"), box("c")), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert len(minutes_of(spark, box("out"))) == 1
+    assert tweets.FLUSH_INTERVAL == "60 seconds"
+
+
 def test_kafka_is_a_format_parameter(spark):
     with pytest.raises(Exception, match="kafka"):
         read_messages(spark, "kafka", subscribe="input", **{"kafka.bootstrap.servers": "nowhere:9092"})
