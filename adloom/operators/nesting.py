@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 # At most this many keys can each hold more than one part in MAX_HEAVY_KEYS of all rows.
 MAX_HEAVY_KEYS = 100_000
 ROWS_PER_BUCKET = 1_000_000
-ROWS_PER_SEGMENT = 50_000
+# A collecting task may hold 128 such arrays at once before Spark turns to sorting.
+ROWS_PER_SEGMENT = 10_000
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:

@@ -30,6 +30,20 @@ def build_session(app_name: str = "adloom", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def shuffle_conf(shuffled_bytes: int, cores: int, per_partition: int = 256 << 20) -> dict[str, str]:
+    """Shuffle settings for a job that moves about ``shuffled_bytes``.
+
+    Adaptive execution merges partitions that turn out small but cannot cut ordinary
+    large ones, so the initial number must be high enough for a partition to fit in
+    memory; skewed joins are cut from twice that size on."""
+    wanted = max(2 * cores, -(-shuffled_bytes // per_partition))
+    return {
+        "spark.sql.shuffle.partitions": str(wanted),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_partition),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * per_partition),
+    }
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -126,3 +126,9 @@ def test_scratch_is_below_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")
     assert a.startswith(root) and a != b
+
+
+def test_shuffle_partitions_follow_the_data():
+    small, large = session.shuffle_conf(1 << 20, cores=8), session.shuffle_conf(20 << 40, cores=4000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(large["spark.sql.shuffle.partitions"]) == (20 << 40) // (256 << 20)
