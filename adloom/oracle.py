@@ -62,7 +62,7 @@ RAW_EVENTS = f"""raw_events AS (
     CASE WHEN {CLICKED} THEN CASE l_linenumber % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'true' WHEN 2 THEN '1' ELSE ' TRUE ' END
       WHEN l_linenumber = 1 THEN NULL ELSE 'False' END AS WasClicked,
     CASE WHEN {CLICKED} THEN {iso(EVENT_TIME + " + to_seconds(90)")} END AS ClickTimestamp,
-    l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity
+    l_orderkey, l_linenumber, l_partkey, l_returnflag
   FROM {JOINED})"""
 RAW_USERS = """raw_users AS (
   SELECT CAST(c_custkey AS VARCHAR) AS UserID,
@@ -92,7 +92,9 @@ RAW_CAMPAIGNS = f"""raw_campaigns AS (
 TRUTHY = "coalesce(WasClicked IN ('1', 'True', 'true'), FALSE)"
 STRICT = "coalesce(WasClicked IN ('1', 'True'), FALSE)"
 EVENT_TS = 'TRY_CAST("Timestamp" AS TIMESTAMP)'
-WRITTEN = "l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_shipdate DESC, l_quantity DESC"
+WRITTEN = "l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_returnflag DESC"
+REVIEW_WRITTEN = ("l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_quantity DESC, l_extendedprice DESC,"
+                  " l_returnflag DESC, l_linestatus DESC")
 
 HISTORY = f"""history AS (
   SELECT user_id, event_timestamp, campaign_name, was_clicked FROM (
@@ -122,7 +124,7 @@ RAW_REVIEWS = f"""raw_reviews AS (
     concat_ws(' ', 'Bought', CAST(l_quantity AS VARCHAR), 'at', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)) AS review_body,
     CASE WHEN l_returnflag = 'R' THEN 'Y' WHEN l_returnflag = 'A' THEN 'N'
       WHEN l_linestatus = 'O' THEN '1' ELSE 'y' END AS verified_purchase,
-    l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity
+    l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus
   FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
 reviews AS (SELECT *, TRY_CAST(raw_date AS DATE) AS review_date,
     strftime(TRY_CAST(raw_date AS DATE), '%Y-%m') AS period FROM raw_reviews),
@@ -173,7 +175,7 @@ def _count(who: str, condition: str = "TRUE") -> str:
 
 def _keyed(key: str, columns: str, present: str) -> str:
     return f"""WITH {RAW_REVIEWS} SELECT {columns} FROM (SELECT *, row_number() OVER (
-        PARTITION BY {key} ORDER BY {WRITTEN}) AS rn FROM reviews WHERE {present}) WHERE rn = 1"""
+        PARTITION BY {key} ORDER BY {REVIEW_WRITTEN}) AS rn FROM reviews WHERE {present}) WHERE rn = 1"""
 
 
 def _profile(source: str, table: str, columns: tuple[str, ...]) -> str:
@@ -339,7 +341,7 @@ ORACLE: dict[str, str] = {
         "customer_id IS NOT NULL AND product_id IS NOT NULL AND review_date IS NOT NULL AND review_id IS NOT NULL"),
     "newest_product_reviews": f"""WITH {RAW_REVIEWS},
       keyed AS (SELECT * FROM (SELECT *, row_number() OVER (
-          PARTITION BY product_id, review_date, review_id ORDER BY {WRITTEN}) AS rn FROM reviews
+          PARTITION BY product_id, review_date, review_id ORDER BY {REVIEW_WRITTEN}) AS rn FROM reviews
           WHERE product_id IS NOT NULL AND review_date IS NOT NULL AND review_id IS NOT NULL) WHERE rn = 1),
       paged AS (SELECT *, row_number() OVER (
           PARTITION BY product_id ORDER BY review_date DESC, review_id) AS page FROM keyed)

@@ -80,7 +80,8 @@ def ad_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("country_name"))
 
 
-# Raw event file, all text. ``written`` columns order two writes of one key.
+# Raw event file, all text. ``written`` says which of two writes of one key is later; rows
+# equal in it are equal in every column the keyed tables keep.
 EVENT_TIME = "l_shipdate + make_dt_interval(0, 0, 0, (l_orderkey * 7919) % 86400)"
 CLICKED = "l_returnflag = 'R'"
 RAW_EVENT = {
@@ -99,7 +100,7 @@ RAW_EVENT = {
     "WasClicked": (f"case when {CLICKED} then element_at(array('True', 'true', '1', ' TRUE '), l_linenumber % 4 + 1)"
                    " when l_linenumber = 1 then null else 'False' end", ()),
     "ClickTimestamp": (f"case when {CLICKED} then replace(cast({EVENT_TIME} + make_dt_interval(0, 0, 0, 90) as string), ' ', 'T') end", ()),
-    "written": ("struct(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity)", ()),
+    "written": ("struct(l_orderkey, l_linenumber, l_partkey, l_returnflag)", ()),
 }
 
 
@@ -172,7 +173,8 @@ RAW_REVIEW = {
     "review_body": ("concat_ws(' ', 'Bought', l_quantity, 'at', cast(l_extendedprice as decimal(12,2)))", ()),
     "verified_purchase": ("case when l_returnflag = 'R' then 'Y' when l_returnflag = 'A' then 'N'"
                           " when l_linestatus = 'O' then '1' else 'y' end", ()),
-    "written": ("struct(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity)", ()),
+    "written": ("struct(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,"
+                " l_returnflag, l_linestatus)", ()),
 }
 
 
