@@ -386,6 +386,27 @@ ORACLE: dict[str, str] = {
     "column_profile_campaigns": _profile(RAW_CAMPAIGNS, "raw_campaigns", (
         "CampaignID", "CampaignName", "AdvertiserName", "CampaignStartDate", "CampaignEndDate",
         "TargetingCriteria", "AdSlotSize", "Budget", "RemainingBudget")),
+    "overall_performance": f"""WITH {AD_EVENTS}
+      SELECT count(event_id) AS total_impressions, CAST({CLICKS} AS BIGINT) AS total_clicks,
+        CAST(sum(ad_cost) AS DOUBLE) AS total_spend, coalesce({CTR}, 0) AS ctr FROM ad_events""",
+    "sql_text_report": f"""WITH {AD_EVENTS}
+      SELECT device, count(event_id) AS total_impressions, CAST({CLICKS} AS BIGINT) AS total_clicks
+      FROM ad_events WHERE {WINDOW} GROUP BY device HAVING {CLICKS} > 0""",
+    "first_events": f"""SELECT event_id AS ingest_ord, concat('e', event_id) AS EventID,
+        concat('Campaign_', {K}) AS CampaignName, {iso("ts")} AS "Timestamp"
+      FROM events ORDER BY event_id LIMIT 1000000""",
+    "csv_bulk_load": f"WITH {FACTS} SELECT event_id, campaign_id, device, ad_cost FROM fact_events",
+    "append_load": f"""WITH {DIMS} SELECT advertiser_id, advertiser_name FROM dim_advertisers
+      UNION ALL SELECT advertiser_id, advertiser_name FROM dim_advertisers""",
+    "keyed_review_pages": f"""WITH {RAW_REVIEWS},
+      keyed AS (SELECT * FROM (SELECT *, row_number() OVER (
+          PARTITION BY product_id, star_rating, review_date, review_id ORDER BY {REVIEW_WRITTEN}) AS rn FROM reviews
+          WHERE product_id IS NOT NULL AND star_rating IS NOT NULL AND review_date IS NOT NULL
+            AND review_id IS NOT NULL) WHERE rn = 1),
+      paged AS (SELECT *, row_number() OVER (
+          PARTITION BY product_id, star_rating ORDER BY review_date DESC, review_id) AS page FROM keyed)
+      SELECT product_id, CAST(star_rating AS INTEGER) AS star_rating, CAST(review_date AS VARCHAR) AS review_date,
+        review_id, customer_id FROM paged WHERE page <= 3""",
     "wiki_filter": f"""WITH {WIKI} SELECT user_id, domain, created_at, page_title,
         CAST(user_is_bot AS VARCHAR) AS user_is_bot FROM kept""",
     "wiki_dead_letters": f"""WITH {WIKI} SELECT substring(concat('{{"meta":{{"domain":"', domain, '"',
@@ -401,3 +422,8 @@ ORACLE: dict[str, str] = {
         coalesce(strftime(ts, '%d_%m_%Y_%H_%M'), 'unknown_time') AS time_key FROM sent""",
     "csv_replay": "SELECT role AS author_id, text, 'true' AS has_time FROM conversations",
 }
+
+# Stored and read back, these give what their computed twins give.
+ORACLE["json_export"] = ORACLE["cost_efficiency"]
+ORACLE["campaign_mart"] = ORACLE["campaign_summary"]
+ORACLE["stored_documents"] = ORACLE["top_categories"]

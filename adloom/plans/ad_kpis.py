@@ -134,6 +134,15 @@ def device_performance(events: DataFrame, start: str, end: str) -> DataFrame:
         F.desc("ctr"), F.asc("device"))
 
 
+def overall_performance(events: DataFrame) -> DataFrame:
+    """The same figures over all events, in one row; zeros and nulls when there are none."""
+    totals = events.agg(
+        F.count("event_id").alias("total_impressions"), kpi.clicks_by_revenue().alias("total_clicks"),
+        F.sum("ad_cost").cast("double").alias("total_spend"))
+    return totals.withColumn(
+        "ctr", F.coalesce(kpi.ctr_pct("total_clicks", "total_impressions"), F.lit(0.0)))
+
+
 # Reports by key. Called with an id they answer for that one key, and an unknown id
 # gives an empty frame; without, they build the mart that serves every key.
 

@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom import session
+from adloom import schemas, session
+from adloom.functions import text
 from adloom.operators import profile
 from adloom.plans import ad_kpis, ad_marts, documents, reviews, star_schema
 from adloom.plans import sample_tables as t
-from adloom.sources import files, messages
+from adloom.sources import files, messages, tables
 from adloom.streaming import tweets, wiki
 from adloom.streaming.run import drain
 
@@ -308,12 +309,85 @@ def column_profile_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     return profile.column_profile(t.raw_campaigns(spark, sf).drop("ingest_ord"))
 
 
+# --- stored tables: written to the scratch folder and read back ----------------
+
+DEVICE_SQL = f"""
+  SELECT device, count(event_id) AS total_impressions, sum(CASE WHEN ad_revenue > 0 THEN 1 ELSE 0 END) AS total_clicks
+  FROM ad_events WHERE event_timestamp >= '{START}' AND event_timestamp < '{END}'
+  GROUP BY device HAVING total_clicks > 0 ORDER BY total_clicks DESC, device"""
+
+
+def overall_performance(spark: SparkSession, sf: str) -> DataFrame:
+    return ad_kpis.overall_performance(t.ad_events(spark, sf, "event_id", "ad_cost", "ad_revenue"))
+
+
+def sql_text_report(spark: SparkSession, sf: str) -> DataFrame:
+    events = t.ad_events(spark, sf, "event_id", "device", "event_timestamp", "ad_revenue")
+    return tables.run_sql(spark, DEVICE_SQL, {"ad_events": events})
+
+
+def first_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The bounded load: the first million events in the order they came in."""
+    rows = files.first_rows(t.document_events(spark, sf), 1_000_000)
+    return rows.select("ingest_ord", "EventID", "CampaignName", "Timestamp")
+
+
+def csv_bulk_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Mapped facts out to headerless CSV, and in again with an explicit column list."""
+    path = session.scratch_dir(spark, "bulk-load")
+    files.write_csv(_facts(spark, sf), path, header=False)
+    loaded = files.read_csv(spark, path, schemas.text_schema(*schemas.FACT_EVENTS), header=False)
+    return _double(loaded.select("event_id", text.to_long(F.col("campaign_id")).alias("campaign_id"), "device", "ad_cost"), "ad_cost")
+
+
+def json_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = session.scratch_dir(spark, "json-export")
+    files.export_results({"cost_efficiency": cost_efficiency(spark, sf)}, path)
+    fields = "country_name string, campaign_id bigint, total_revenue double, total_cost double, cpm double, cpc double"
+    return spark.read.schema(fields).json(f"{path}/cost_efficiency")
+
+
+def append_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Loaded twice by append, the rows are there twice."""
+    path = session.scratch_dir(spark, "append-load")
+    for _ in range(2):
+        tables.write_table(dim_advertisers(spark, sf), path, mode="append")
+    return tables.read_table(spark, path, ["advertiser_id", "advertiser_name"])
+
+
+def campaign_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """Loaded twice by overwrite, the mart holds the last load."""
+    path = session.scratch_dir(spark, "campaign-mart")
+    for _ in range(2):
+        tables.write_keyed(campaign_summary(spark, sf), path, ["campaign_id"], [])
+    return tables.read_table(spark, path)
+
+
+def keyed_review_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored copy by product and rating, read as the newest page of every key."""
+    path = session.scratch_dir(spark, "review-pages")
+    clean = reviews.clean_reviews(t.raw_reviews(spark, sf))
+    key = ["product_id", "star_rating"]
+    tables.write_keyed(reviews.reviews_by_product_rating(clean, WRITTEN), path, key,
+                       [F.desc("review_date"), F.asc("review_id")])
+    pages = reviews.newest_reviews(tables.read_table(spark, path), key, 3)
+    return _text(pages.select(*key, "review_date", "review_id", "customer_id"), "review_date")
+
+
+def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents stored nested; categories asked from the stored form."""
+    path = session.scratch_dir(spark, "documents")
+    tables.write_table(_documents(spark, sf), path)
+    return documents.top_categories(documents.impressions_of(tables.read_table(spark, path)))
+
+
 # --- streams ----------------------------------------------------------------
 
 def _follow(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables as a stream."""
+    """One of the driver's parquet tables as a stream. Written as a pattern, the path
+    may be one file or a folder of files; a plain path has to be a folder."""
     schema = t.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/{name}.parque[t]")
 
 
 def _filtered_topic(spark: SparkSession, sf: str, base: str) -> str:
@@ -376,5 +450,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     top_backers, customer_marts, product_stats, customer_activity, product_trends,
     dim_locations, dim_advertisers, dim_campaigns, dim_users, user_interests, fact_events,
     schema_violations, invalid_enums, column_profile_events, column_profile_users, column_profile_campaigns,
+    overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
+    keyed_review_pages, stored_documents,
     wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, csv_replay,
 )}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adloom.plans import sample_tables as t
+from adloom.registry import QUERIES
 from adloom.sources.messages import read_messages, to_messages
 from adloom.streaming import keyed_sink, tweets, wiki
 from adloom.streaming.run import drain, start
@@ -166,6 +167,14 @@ def test_interval_trigger_flushes_and_stops(spark, box):
     assert tweets.FLUSH_INTERVAL == "60 seconds"
 
 
+def test_registered_streams_read_a_table_in_many_files(spark, tiny, box):
+    for name in ("events", "conversations"):
+        t.table(spark, tiny, name).repartition(3).write.parquet(box(f"{name}.parquet"))
+    root = os.path.dirname(box("x"))
+    for query in ("wiki_filter", "wiki_dead_letters", "tweet_minutes", "csv_replay"):
+        assert rows(QUERIES[query](spark, root)) == rows(QUERIES[query](spark, tiny))
+
+
 def test_kafka_is_a_format_parameter(spark):
     with pytest.raises(Exception, match="kafka"):
         read_messages(spark, "kafka", subscribe="input", **{"kafka.bootstrap.servers": "nowhere:9092"})
