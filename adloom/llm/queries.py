@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from adloom.llm import suffix_dedup
+from adloom.llm import decontaminate, packing, suffix_dedup
 
 QUERIES = {
+    "op3_decontamination": decontaminate.op3_decontamination,
+    "op4_packing": packing.op4_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
 }
 
