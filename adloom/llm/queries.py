@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from adloom.llm import decontaminate, packing, suffix_dedup
+from adloom.llm import bag_minhash, decontaminate, packing, suffix_dedup
 
 QUERIES = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_packing": packing.op4_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
+    "op8_near_duplicates": bag_minhash.op8_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {}
