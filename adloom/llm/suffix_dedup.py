@@ -250,7 +250,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("_id"), F.hash(text_col).alias("_h"), F.col(text_col).alias("_text"))
     arrays = rows.select("_text").mapInArrow(lambda b: _prefix_arrays(b, min_bytes), "key long, n long, low long, high long")
     repeated = (arrays.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-                .where("n >= 2").select("key", (F.col("low") < F.col("high")).alias("mixed")))
+                .where("n >= 2").select("key", (F.col("low") < F.col("high")).alias("mixed"))
+                .repartition("key", "mixed"))  # dealt anew, so that the join below can split a hot key
     entries = rows.mapInArrow(lambda b: _entries(b, min_bytes), f"_id {id_type}, _h int, key long, stretch long, place long")
     path = scratch_dir(spark, "suffix-matches")
     entries.join(repeated, "key").write.parquet(f"{path}/matches")
@@ -266,7 +267,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # One offset per split at most: windows of different offsets are never equal.
     splits = stretches.groupBy("key").agg(
-        F.least(F.ceil(F.count("*") / STRETCHES_PER_GROUP), F.lit(min_bytes - SEED + 1)).cast("int").alias("splits"))
+        F.least(F.ceil(F.count("*") / STRETCHES_PER_GROUP), F.lit(min_bytes - SEED + 1)).cast("int").alias("splits")).repartition("key", "splits")
     wanted = (stretches.join(splits, "key")
               .groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
               .agg(F.collect_list(F.struct("key", "splits", "n", F.col("one.place").alias("place"))).alias("wanted")))
