@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from adloom.llm import bag_minhash, decontaminate, packing, suffix_dedup
+from adloom.llm import bag_minhash, decision_list, decontaminate, packing, suffix_dedup, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_quality_rules": decision_list.op2_quality_rules,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_packing": packing.op4_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
