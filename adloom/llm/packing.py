@@ -15,10 +15,14 @@ rank only; repeated rows are packed as often as they occur. No rows give no piec
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +33,42 @@ from pyspark.sql import types as T
 from adloom.session import scratch_dir
 
 END_ID = 0
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 600_000
 _SPACE_RUN = re.compile(r"\s |  |\s$| \s")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+# Fixed value: how byte-level BPE files of this kind cut a text before merging.
+CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _printable_bytes() -> dict[str, int]:
+    """The signs that stand for the 256 bytes in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {chr(b): b for b in plain}
+    signs.update({chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)})
+    return signs
+
+
+def _rank_encoder(path: str):
+    """The same ids by merge ranks, which is faster for single words; None if the file's ids
+    are not its merge order or its settings differ from plain byte-level BPE."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    vocab = model["vocab"]
+    order = [vocab.get("".join(m), -1) for m in merges]
+    if (model.get("type", "BPE") != "BPE" or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space")
+            or not cut.get("use_regex", True) or model.get("dropout") or model.get("ignore_merges") or order != sorted(order)):
+        return None
+    signs, special = _printable_bytes(), {t["content"] for t in spec.get("added_tokens", [])}
+    ranks = {bytes(signs[c] for c in token): i for token, i in vocab.items() if token not in special}
+    return tiktoken.Encoding("byte-level", pat_str=CUT_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Tokenizer:
     """Ids of a byte-level BPE file as packed little-endian 32-bit numbers.
 
@@ -45,15 +80,9 @@ class Tokenizer:
 
         self._model = Model.from_file(path)
         self._model.encode_special_tokens = True
+        self._fast = _rank_encoder(path)
         self._known: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        if len(self._known) > _CACHE_WORDS:
-            self._known.clear()
-        for part in parts:
-            ids = self._model.encode(part, add_special_tokens=False).ids
-            self._known[part] = np.array(ids, dtype="<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
         parts = _SINGLE_SPACE.split(text) if _SPACE_RUN.search(text) else text.split(" ")
         parts[1:] = [" " + p for p in parts[1:]]
@@ -61,15 +90,35 @@ class Tokenizer:
         try:
             return b"".join([known[p] for p in parts])
         except KeyError:
-            self._learn([p for p in dict.fromkeys(parts) if p not in known and len(p) <= 1000])
-            return b"".join([known[p] if p in known else self._encode(p) for p in parts])
+            pass
+        if len(known) > _CACHE_WORDS:  # frequent parts came first
+            self._known = known = dict(islice(known.items(), _CACHE_WORDS // 2))
+        out = []
+        for part in parts:
+            ids = known.get(part)
+            if ids is None:
+                ids = self._encode(part)
+                if len(part) <= 100:
+                    known[part] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def _encode(self, part: str) -> bytes:
-        return np.array(self._model.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self._fast(part) if self._fast else self._model.encode(part, add_special_tokens=False).ids
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
+
+
+_loaded: dict[str, Tokenizer] = {}  # a worker process serves many tasks
+
+
+def _tokenizer(path: str) -> Tokenizer:
+    if path not in _loaded:
+        _loaded[path] = Tokenizer(path)
+    return _loaded[path]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    tokenizer = Tokenizer(path)
+    tokenizer = _tokenizer(path)
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
