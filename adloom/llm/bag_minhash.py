@@ -14,9 +14,11 @@ taken by an earlier point, which needs about places * ln(places) points a text.
 
 *Candidates.* Texts with equal multisets collapse first. Places are cut into bands; texts
 that share a band meet in its bucket. Each member is compared with the bucket's leader (the
-text with the most copies), then, among members that this leaves in different groups, all
-remaining pairs are compared. So a bucket of n alike texts costs n comparisons, and no
-pair that meets in a bucket is left unlinked.
+text with the most copies); where this leaves several groups, with two more leaders taken by
+chance; and then, among members still in different groups, all remaining pairs are compared.
+So a bucket of n alike texts costs about n comparisons, and no two texts that meet in a bucket
+and are similar are left in different classes. (Of n texts in one bucket that are unlike each
+other nothing but all pairs can tell; six agreeing places make such buckets small.)
 
 *Verification* counts common shingles exactly; links join texts into classes (connected
 components). Null texts have no words. Repeated rows and ids are kept. Empty tables are fine.
@@ -190,18 +192,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     led = (buckets.where("grp <> lead").select(F.col("grp").alias("u"), F.col("lead").alias("v")).distinct())
     edges = verify(led, "led")
-    label = components(edges)
-    # What the leaders left apart within a bucket: pairs across different components.
-    labelled = (buckets.join(label.select(F.col("node").alias("grp"), "component"), "grp", "left")
-                .select("bucket", "grp", "n", "lead", F.coalesce("component", "grp").alias("component")))
-    apart = (labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-             .repartition("bucket", "a").select("bucket"))
-    rest = labelled.join(apart, "bucket")
+
+    def apart(edges: DataFrame, to: str) -> DataFrame:
+        """Members of the buckets that still hold several components."""
+        label = components(edges)
+        labelled = (buckets.join(label.select(F.col("node").alias("grp"), "component"), "grp", "left")
+                    .select("bucket", "grp", "n", "lead", F.coalesce("component", "grp").alias("component")))
+        several = (labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+                   .repartition("bucket", "a").select("bucket"))
+        labelled.join(several, "bucket").write.parquet(f"{path}/{to}")
+        return spark.read.parquet(f"{path}/{to}")
+
+    def alike_in_size(a: str, b: str) -> F.Column:
+        return F.least(a, b) >= F.lit(similarity - 1e-9) * F.greatest(a, b)
+
+    # Two more leaders by chance for each bucket: other ones in each, so components meet.
+    rest = apart(edges, "apart")
+    chance = F.struct(F.xxhash64("bucket", "grp"), "grp", "n", "component")
+    picks = (rest.groupBy("bucket").agg(F.array(F.min(chance), F.max(chance)).alias("picks"))
+             .select("bucket", F.explode("picks").alias("pick")).repartition("bucket", "pick"))
+    mixed = (rest.join(picks, "bucket").where((F.col("component") != F.col("pick.component")) & alike_in_size("n", "pick.n"))
+             .select(F.least("grp", "pick.grp").alias("u"), F.greatest("grp", "pick.grp").alias("v")).distinct())
+    edges = edges.unionAll(verify(mixed, "mixed"))
+
+    # What is left: every pair of a bucket across different components.
+    rest = apart(edges, "left")
     a, b = rest.alias("a"), rest.alias("b")
     across = (a.join(b, F.col("a.bucket") == F.col("b.bucket"))
               .where((F.col("a.grp") < F.col("b.grp")) & (F.col("a.component") != F.col("b.component"))
-                     & (F.col("a.grp") != F.col("a.lead")) & (F.col("b.grp") != F.col("b.lead"))
-                     & (F.least("a.n", "b.n") >= F.lit(similarity - 1e-9) * F.greatest("a.n", "b.n")))
+                     & (F.col("a.grp") != F.col("a.lead")) & (F.col("b.grp") != F.col("b.lead")) & alike_in_size("a.n", "b.n"))
               .select(F.col("a.grp").alias("u"), F.col("b.grp").alias("v")).distinct())
     edges = edges.unionAll(verify(across, "across"))
     final = components(edges)
