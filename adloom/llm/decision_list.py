@@ -37,20 +37,29 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _repeated_words(words: Column) -> Column:
-    """Words lying in a window of ``WINDOW`` words that occurs twice or more in the text."""
-    n = F.size(words)
-    windows = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+    """Words lying in a window of ``WINDOW`` words that occurs twice or more in the text.
+
+    Every array is bound before a lambda reads it, so moving this expression (say, into a
+    pushed-down filter) never makes it compute an array once per element."""
+
+    def starts(s: Column) -> Column:
+        twice = F.filter(s, lambda x, k: (F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False))
+                                          | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))))
+        return F.array_sort(F.transform(twice, lambda x: x["i"]))
+
+    def widths(d: Column) -> Column:
+        return F.transform(d, lambda at, k: F.least(F.lit(WINDOW), F.coalesce(F.get(d, k + 1) - at, F.lit(WINDOW))))
 
     def covered(found: Column) -> Column:
         ordered = F.array_sort(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        twice = lambda s: F.filter(s, lambda x, k: (
-            F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))))
-        starts = _let(ordered, lambda s: F.array_sort(F.transform(twice(s), lambda x: x["i"])))
-        widths = _let(starts, lambda d: F.transform(d, lambda at, k: F.least(F.lit(WINDOW), F.coalesce(F.get(d, k + 1) - at, F.lit(WINDOW)))))
-        return F.aggregate(widths, F.lit(0), lambda a, b: a + b)
+        return F.aggregate(_let(_let(ordered, starts), widths), F.lit(0), lambda a, b: a + b)
+
+    def counted(w: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
+        repeats = _let(windows, lambda x: F.when(F.size(F.array_distinct(x)) < F.size(x), covered(x)).otherwise(F.lit(0)))
+        return F.when(F.size(w) > WINDOW, repeats).otherwise(F.lit(0))
 
-    counted = _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) < F.size(w), covered(w)).otherwise(F.lit(0)))
-    return F.when(n > WINDOW, counted).otherwise(F.lit(0))
+    return _let(words, counted)
 
 
 def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -186,9 +195,9 @@ def fit_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     path = scratch_dir(spark, "rule-sample")
     rows = labelled_sample(docs, labels, id_col, grade_col, sample_rows, [F.col(text_col).alias("_text")])
     named = measures()
-    stats = base_statistics(rows, "_text").where(~base_failed())
-    stats.select("grade", F.pmod(F.xxhash64("_id"), F.lit(3)).alias("fold"), *(v.alias(k) for k, v in named.items())).write.parquet(path)
-    sample = spark.read.parquet(path)
+    stats = base_statistics(rows, "_text")
+    stats.select("grade", base_failed().alias("failed"), F.pmod(F.xxhash64("_id"), F.lit(3)).alias("fold"), *(v.alias(k) for k, v in named.items())).write.parquet(path)
+    sample = spark.read.parquet(path).where("not failed")
     names = list(named)
     quantiles = sample.agg(*(F.percentile_approx(k, [i / bins for i in range(1, bins)], F.lit(10_000)).alias(k) for k in names)).first()
     edges = {k: sorted(set(quantiles[k] or [])) for k in names}

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from adloom.llm import bag_minhash, decision_list, decontaminate, packing, suffix_dedup, toxicity
+from adloom.llm import bag_minhash, decision_list, decontaminate, language, packing, suffix_dedup, tool_calls, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_quality_rules": decision_list.op2_quality_rules,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_packing": packing.op4_packing,
+    "op5_warc": warc.op5_warc,
+    "op6_language": language.op6_language,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_near_duplicates": bag_minhash.op8_near_duplicates,
+    "op9_tool_calls": tool_calls.op9_tool_calls,
 }
 
 ORACLE: dict[str, str] = {}
