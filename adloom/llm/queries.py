@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adloom.llm import bag_minhash, decision_list, decontaminate, language, packing, suffix_dedup, tool_calls, toxicity, warc
+from adloom.llm import bag_minhash, decision_list, decontaminate, html_text, language, packing, suffix_dedup, tool_calls, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_near_duplicates": bag_minhash.op8_near_duplicates,
     "op9_tool_calls": tool_calls.op9_tool_calls,
+    "op10_html_text": html_text.op10_html_text,
 }
 
 ORACLE: dict[str, str] = {}
