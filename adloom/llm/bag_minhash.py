@@ -156,7 +156,7 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, least: float) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
                     similarity: float = SIMILARITY, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
-    """Row per input row: ``_id``, ``_h`` (hash of the text), ``class_id`` (least id of the class; a
+    """Row per input row: ``_id``, ``_h`` (hash of the text), ``class_id`` (least id of the class, null only if all are; a
     text without words is its own class), ``n_shingles`` and ``n_links`` (different texts linked directly)."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     f"_id {id_type}, _h int, grp binary, n long, bands array<long>").write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     worded = signed.where(F.col("grp").isNotNull())
-    (worded.groupBy("grp").agg(F.min(F.struct("_id", "_h")).alias("one"), F.count("*").alias("copies"),
+    (worded.groupBy("grp").agg(F.min(F.struct("_id", "_h")).alias("one"), F.min("_id").alias("least"), F.count("*").alias("copies"),
                                F.first("n").alias("n"), F.first("bands").alias("bands"))
      .write.parquet(f"{path}/groups"))
     groups = spark.read.parquet(f"{path}/groups")
@@ -227,8 +227,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = (edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
              .groupBy("u").agg(F.count("*").alias("n_links")).withColumnRenamed("u", "grp"))
-    classed = (groups.select("grp", "one").join(final.withColumnRenamed("node", "grp"), "grp", "left").join(links, "grp", "left")
-               .select("grp", F.col("one._id").alias("least"), F.coalesce("component", "grp").alias("component"),
+    classed = (groups.select("grp", "least").join(final.withColumnRenamed("node", "grp"), "grp", "left").join(links, "grp", "left")
+               .select("grp", "least", F.coalesce("component", "grp").alias("component"),
                        F.coalesce("n_links", F.lit(0)).alias("n_links")))
     heads = classed.groupBy("component").agg(F.min("least").alias("class_id"))
     named = classed.join(heads, "component").select("grp", "class_id", "n_links")

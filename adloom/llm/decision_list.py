@@ -69,11 +69,12 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    split = docs.select(*(F.col(f"`{c}`") for c in kept), text.alias("_text"), words.alias("_words"), lines.alias("_lines"))
+    # Positional names: extra columns may bear any name.
+    split = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), text.alias("_text"), words.alias("_words"), lines.alias("_lines"))
     without = lambda signs: F.length(F.translate("_text", signs, ""))
     n_lines = F.size("_lines")
     return split.select(
-        *(F.col(f"`{c}`") for c in kept),
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)),
         F.size("_words").cast("long").alias("n_words"), without(BLANKS).cast("long").alias("word_chars"),
         (F.length("_text") - without(SYMBOLS)).cast("long").alias("n_symbols"),
         (n_lines - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),

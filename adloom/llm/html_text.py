@@ -117,6 +117,8 @@ def blocks(page: str) -> list[Block]:
                 continue
             if name not in INLINE:
                 close()
+            elif name == "br":
+                parts.append(" ")
             if name in VOID or tag[3].endswith("/"):
                 continue
             new = kind
