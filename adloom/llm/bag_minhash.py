@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.components import components
-from adloom.llm.textops import NOT_BLANK, SpanHashes, mix, text_chunks, word_spans
+from adloom.llm.textops import NOT_BLANK, SpanHashes, mix, some_rows, text_chunks, word_spans
 from adloom.session import scratch_dir
 
 BANDS = 24
@@ -127,7 +127,7 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: i
 
 def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
+    for batch in some_rows(batches):
         blobs = [squeeze((x or "").encode()) for x in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], ["_id", "_h", "blob"])
 
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return F.least(a, b) >= F.lit(similarity - 1e-9) * F.greatest(a, b)
 
     # Two more leaders by chance for each bucket: other ones in each, so components meet.
-    rest = apart(edges, "apart")
+    rest = apart(edges, "apart")  # empty if all is linked, and then so is what follows
     chance = F.struct(F.xxhash64("bucket", "grp"), "grp", "n", "component")
     picks = (rest.groupBy("bucket").agg(F.array(F.min(chance), F.max(chance)).alias("picks"))
              .select("bucket", F.explode("picks").alias("pick")).repartition("bucket", "pick"))

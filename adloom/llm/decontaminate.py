@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import LETTERS_DIGITS, LOWER, SpanHashes, text_chunks, word_spans
+from adloom.llm.textops import LETTERS_DIGITS, LOWER, SpanHashes, some_rows, text_chunks, word_spans
 
 BLOCK_BYTES = 2 << 20
 GRAM = 4
@@ -251,7 +251,7 @@ def _union_words(hits: str = "hits") -> F.Column:
 
 
 def _without_hits(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in some_rows(batches):
         texts = batch.column(at).to_pylist()
         for row, hits in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
             if not hits:

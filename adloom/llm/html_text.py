@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm.textops import mix
+from adloom.llm.textops import mix, some_rows
 
 RUN = 8  # tokens
 
@@ -178,8 +178,8 @@ def _streams(found: list[Block]) -> tuple[list[str], list[tuple[int, int, int]]]
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sorted array for each batch: prefix, least and greatest page."""
-    for batch in batches:
+    """One sorted array for each run of pages: prefix, least and greatest page."""
+    for batch in some_rows(batches):
         keys, pages = [], []
         for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             tokens, _ = _streams(blocks(html or ""))
@@ -215,7 +215,7 @@ def _joined(found: list[Block], covered: dict[int, np.ndarray] | None = None) ->
 
 def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages without loose blocks: nothing of theirs hangs on other pages."""
-    for batch in batches:
+    for batch in some_rows(batches):
         rows, texts = [], []
         for row, html in enumerate(batch.column(2).to_pylist()):
             found = blocks(html or "")
@@ -227,7 +227,7 @@ def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _loose_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in some_rows(batches):
         for row, (_, url, html) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
             found = blocks(html or "")
             tokens, loose = _streams(found)
@@ -248,12 +248,12 @@ def _loose_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _with_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in some_rows(batches):
         yield batch.filter(pa.array([any(b.kind == LOOSE for b in blocks(x or "")) for x in batch.column(2).to_pylist()], pa.bool_()))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in some_rows(batches):
         texts = []
         for html, repeated in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             found = blocks(html or "")

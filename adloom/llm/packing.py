@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adloom.llm.textops import some_rows
 from adloom.session import scratch_dir
 
 END_ID = 0
@@ -120,7 +121,7 @@ def _tokenizer(path: str) -> Tokenizer:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     tokenizer = _tokenizer(path)
     end = np.array([END_ID], dtype="<u4").tobytes()
-    for batch in batches:
+    for batch in some_rows(batches):
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
         for row, text in enumerate(batch.column(1).to_pylist()):
             data = tokenizer.encode(text or "") + end

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import SpanHashes, mix, sliding_min, text_chunks
+from adloom.llm.textops import SpanHashes, mix, sliding_min, some_rows, text_chunks
 from adloom.session import scratch_dir
 
 SEED = 32
@@ -133,7 +133,7 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _squeeze(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes, for the shuffle."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
+    for batch in some_rows(batches):
         i = batch.schema.get_field_index(name)
         blobs = pa.array([None if x is None else squeeze(x.encode()) for x in batch.column(i).to_pylist()], pa.binary())
         yield batch.set_column(i, name, blobs)
@@ -283,7 +283,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
+    for batch in some_rows(batches):
         kept, sizes, removed, runs = [], [], [], []
         for blob, spans in zip(batch.column(text_at), batch.column(batch.num_columns - 1), strict=True):
             text = expand(blob.as_py()) if blob.is_valid else b""

@@ -40,6 +40,13 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         first = last
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for steps that make Python objects of them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))

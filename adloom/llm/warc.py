@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.textops import some_rows
 from adloom.session import scratch_dir
 
 END = "\r\n\r\n"
@@ -46,7 +47,7 @@ def _capture_id(page: object, part: str = "") -> str:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in some_rows(batches):
         out = []
         for page, url, html, digest, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             html = html or ""
