@@ -1,11 +1,14 @@
 """Advertising metrics as column expressions.
 
-Sums of money arrive as exact decimals and turn into doubles only here, so a
-metric is rounded once and does not depend on the order rows were added in.
+Sums of money arrive as exact decimals. A rounded metric is worked out in whole numbers of
+cents, halves away from zero, and turns into a double at the very end: no value passes
+through a double before it is rounded.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,14 +26,21 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.when(below != 0, _col(numerator).cast("double") / below)
 
 
-def round2(value: Column) -> Column:
-    """Two decimals, halves away from zero, on the double itself."""
-    size = F.floor(F.abs(value) * 100 + 0.5) / 100
-    return F.when(value < 0, -size).otherwise(size)
+def _whole(value: Column | str, cents: bool) -> Column:
+    """A count, or an amount of money in cents, as a whole number."""
+    return (_col(value) * 100 if cents else _col(value)).cast("decimal(38,0)")
+
+
+def _hundredths(above: Column, below: Column, times: int) -> Column:
+    """``times * above / below`` with two decimals; null where ``below`` is zero."""
+    a, b = F.abs(above), F.abs(below)
+    size = F.call_function("div", a * (200 * times) + b, b * 2)
+    signed = F.when((above < 0) != (below < 0), -size).otherwise(size)
+    return F.when(below != 0, signed.cast("double") / 100)
 
 
 def ctr_pct(clicks: Column | str, impressions: Column | str) -> Column:
-    return round2(ratio(clicks, impressions) * 100)
+    return _hundredths(_whole(clicks, False), _whole(impressions, False), 100)
 
 
 def ctr_fraction(clicks: Column | str, impressions: Column | str) -> Column:
@@ -38,19 +48,24 @@ def ctr_fraction(clicks: Column | str, impressions: Column | str) -> Column:
 
 
 def cpm(cost: Column | str, impressions: Column | str) -> Column:
-    return round2(ratio(cost, impressions) * 1000)
+    return _hundredths(_whole(cost, True), _whole(impressions, False), 10)
 
 
 def cpc(cost: Column | str, clicks: Column | str) -> Column:
-    return round2(ratio(cost, clicks))
+    return _hundredths(_whole(cost, True), _whole(clicks, True), 1)
 
 
 def roas(revenue: Column | str, cost: Column | str) -> Column:
-    return round2(ratio(revenue, cost))
+    return _hundredths(_whole(revenue, True), _whole(cost, True), 1)
 
 
 def budget_used_pct(spent: Column | str, budget: Column | str) -> Column:
-    return round2(ratio(spent, budget) * 100)
+    return _hundredths(_whole(spent, True), _whole(budget, True), 100)
+
+
+def over_share(spent: Column | str, budget: Column | str, share: float) -> Column:
+    """Whether more than ``share`` of the budget is spent; never of a zero budget."""
+    return (_col(budget) != 0) & (_col(spent) > _col(budget) * F.lit(Decimal(str(share))))
 
 
 def clicks_by_revenue(ad_revenue: Column | str = "ad_revenue") -> Column:

@@ -40,3 +40,11 @@ def within(ts: str, start: str, end: str) -> Column:
     """Half-open range, written so that it reaches the parquet scan."""
     return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (
         F.col(ts) < F.lit(end).cast("timestamp_ntz"))
+
+
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where all the columns are there. Plain IS NOT NULL tests reach the scan and turn outer
+    joins into inner ones; ``dropna`` is planned as a function of all columns and does neither."""
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+    return df

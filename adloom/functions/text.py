@@ -16,12 +16,18 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def _whole(c: Column, kind: str) -> Column:
+    """A whole number, also where it is written with a point (``5.0``); 5.5 is none."""
+    number = c.try_cast("decimal(38,18)")
+    return F.coalesce(c.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+
+
 def to_int(c: Column) -> Column:
-    return c.try_cast("int")
+    return _whole(c, "int")
 
 
 def to_long(c: Column) -> Column:
-    return c.try_cast("bigint")
+    return _whole(c, "bigint")
 
 
 def to_double(c: Column) -> Column:

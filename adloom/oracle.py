@@ -13,12 +13,13 @@ JOINED = """lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 CLICKED = "l_returnflag = 'R'"
 
 
-def r2(x: str) -> str:
-    return f"floor(({x}) * 100 + 0.5) / 100"
-
-
-def ratio(a: str, b: str) -> str:
-    return f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
+def pct(a: str, b: str, times: int = 100) -> str:
+    """times * a / b to two decimals from whole numbers: money in cents on both sides, or counts
+    on both; half up, signs apart."""
+    n, d = f"CAST(({a}) * 100 AS HUGEINT)", f"CAST(({b}) * 100 AS HUGEINT)"
+    whole, rest = f"(abs({n}) * {100 * times}) // abs({d})", f"(abs({n}) * {100 * times}) % abs({d})"
+    return f"""CASE WHEN {d} <> 0 THEN sign({n}) * sign({d})
+      * CAST({whole} + CASE WHEN {rest} * 2 >= abs({d}) THEN 1 ELSE 0 END AS DOUBLE) / 100 END"""
 
 
 AD_EVENTS = f"""ad_events AS (
@@ -39,7 +40,7 @@ LOCATIONS = "locations AS (SELECT n_nationkey AS location_id, n_name AS country_
 WINDOW = f"event_timestamp >= TIMESTAMP '{START}' AND event_timestamp < TIMESTAMP '{END}'"
 BUDGET_WINDOW = f"event_timestamp >= TIMESTAMP '{BUDGET_START}' AND event_timestamp < TIMESTAMP '{BUDGET_END}'"
 CLICKS = "sum(CASE WHEN ad_revenue > 0 THEN 1 ELSE 0 END)"
-CTR = r2(ratio(CLICKS, "count(event_id)") + " * 100")
+CTR = pct(CLICKS, "count(event_id)")
 
 EVENT_TIME = "(l_shipdate + to_seconds((l_orderkey * 7919) % 86400))"
 
@@ -227,15 +228,22 @@ ORACLE: dict[str, str] = {
       FROM ad_events JOIN campaigns USING (campaign_id) JOIN advertisers USING (advertiser_id)
       WHERE {WINDOW} GROUP BY advertiser_id, advertiser_name
       ORDER BY sum(ad_cost) DESC, advertiser_id LIMIT 5""",
+    "campaign_cost_per_click": f"""WITH {AD_EVENTS}, {LOCATIONS}
+      SELECT country_name, campaign_id, CAST({CLICKS} AS BIGINT) AS clicks, {pct("sum(ad_cost)", "count(event_id)", 1000)} AS cpm,
+        {pct("sum(ad_cost)", CLICKS, 1)} AS cpc, {pct("sum(ad_revenue)", "sum(ad_cost)", 1)} AS roas
+      FROM ad_events JOIN locations USING (location_id) WHERE {WINDOW} GROUP BY country_name, campaign_id
+      UNION ALL SELECT NULL, campaign_id, CAST({CLICKS} AS BIGINT), {pct("sum(ad_cost)", "count(event_id)", 1000)},
+        {pct("sum(ad_cost)", CLICKS, 1)}, {pct("sum(ad_revenue)", "sum(ad_cost)", 1)}
+      FROM ad_events WHERE {WINDOW} GROUP BY campaign_id""",
     "cost_efficiency": f"""WITH {AD_EVENTS}, {LOCATIONS}
       SELECT country_name, campaign_id, CAST(sum(ad_revenue) AS DOUBLE) AS total_revenue,
         CAST(sum(ad_cost) AS DOUBLE) AS total_cost,
-        {r2(ratio("sum(ad_cost)", "count(event_id)") + " * 1000")} AS cpm, {r2(ratio("sum(ad_cost)", CLICKS))} AS cpc
+        {pct("sum(ad_cost)", "count(event_id)", 1000)} AS cpm, {pct("sum(ad_cost)", CLICKS, 1)} AS cpc
       FROM ad_events JOIN locations USING (location_id) WHERE {WINDOW} GROUP BY country_name, campaign_id
       ORDER BY sum(ad_revenue) DESC, country_name, campaign_id LIMIT 30""",
     "regional_analysis": f"""WITH {AD_EVENTS}, {LOCATIONS}
       SELECT country_name, CAST(sum(ad_revenue) AS DOUBLE) AS total_revenue, CAST({CLICKS} AS BIGINT) AS total_clicks,
-        {r2(ratio("sum(ad_revenue)", "sum(ad_cost)"))} AS roas
+        {pct("sum(ad_revenue)", "sum(ad_cost)", 1)} AS roas
       FROM ad_events JOIN locations USING (location_id) WHERE {WINDOW} GROUP BY location_id, country_name
       HAVING sum(ad_revenue) > 0 ORDER BY sum(ad_revenue) DESC, location_id LIMIT 10""",
     "engaged_users": f"""WITH {AD_EVENTS}
@@ -245,12 +253,12 @@ ORACLE: dict[str, str] = {
     "budget_consumption": f"""WITH {AD_EVENTS}, {CAMPAIGNS},
       spent AS (SELECT campaign_id, sum(ad_cost) AS total_spent FROM ad_events WHERE {BUDGET_WINDOW} GROUP BY campaign_id)
       SELECT campaign_name, CAST(budget AS DOUBLE) AS budget, CAST(total_spent AS DOUBLE) AS total_spent,
-        remaining_budget, {r2(ratio("total_spent", "budget") + " * 100")} AS budget_used_pct
-      FROM spent JOIN campaigns USING (campaign_id) WHERE {ratio("total_spent", "budget")} > 0.8""",
+        remaining_budget, {pct("total_spent", "budget")} AS budget_used_pct
+      FROM spent JOIN campaigns USING (campaign_id) WHERE budget <> 0 AND total_spent * 10 > budget * 8""",
     "campaign_device": f"""WITH {AD_EVENTS}, {CAMPAIGNS}
       SELECT campaign_name, device, count(event_id) AS total_impressions, CAST({CLICKS} AS BIGINT) AS total_clicks,
         CAST(sum(ad_revenue) AS DOUBLE) AS total_revenue, {CTR} AS ctr,
-        {r2(ratio("sum(ad_revenue)", "sum(ad_cost)"))} AS roas
+        {pct("sum(ad_revenue)", "sum(ad_cost)", 1)} AS roas
       FROM ad_events JOIN campaigns USING (campaign_id) WHERE {WINDOW} GROUP BY campaign_name, device""",
     "device_performance": f"""WITH {AD_EVENTS}
       SELECT device, count(event_id) AS total_impressions, CAST({CLICKS} AS BIGINT) AS total_clicks, {CTR} AS ctr
@@ -394,7 +402,7 @@ ORACLE: dict[str, str] = {
       FROM ad_events WHERE {WINDOW} GROUP BY device HAVING {CLICKS} > 0""",
     "first_events": f"""SELECT event_id AS ingest_ord, concat('e', event_id) AS EventID,
         concat('Campaign_', {K}) AS CampaignName, {iso("ts")} AS "Timestamp"
-      FROM events ORDER BY event_id LIMIT 1000000""",
+      FROM events ORDER BY event_id LIMIT 750""",
     "csv_bulk_load": f"WITH {FACTS} SELECT event_id, campaign_id, device, ad_cost FROM fact_events",
     "append_load": f"""WITH {DIMS} SELECT advertiser_id, advertiser_name FROM dim_advertisers
       UNION ALL SELECT advertiser_id, advertiser_name FROM dim_advertisers""",
@@ -411,7 +419,11 @@ ORACLE: dict[str, str] = {
         CAST(user_is_bot AS VARCHAR) AS user_is_bot FROM kept""",
     "wiki_dead_letters": f"""WITH {WIKI} SELECT substring(concat('{{"meta":{{"domain":"', domain, '"',
           CASE WHEN created_at IS NOT NULL THEN concat(',"dt":"', created_at, '"') ELSE '' END, '}},"performer":{{'), 1, 40) AS value
-        FROM changes WHERE event_id % 13 = 0""",
+        FROM changes WHERE event_id % 13 = 0
+      UNION ALL SELECT concat('{{"meta":{{"domain":"', domain, '"}},"performer":{{"user_text":"', user_id, '","user_is_bot":',
+          CASE WHEN user_is_bot THEN 'true' ELSE 'false' END, '}},"page_title":"', page_title, '"}}')
+        FROM changes WHERE event_id % 13 <> 0 AND created_at IS NULL""",
+    "tweet_dead_letters": "SELECT translate(coalesce(text, ''), chr(10) || chr(13), '  ') AS value FROM conversations WHERE role = 'system'",
     "wiki_table": f"""WITH {WIKI} SELECT domain, strftime(CAST(created_at[:19] AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS created_at,
         page_title, max(user_id) AS user_id FROM kept WHERE created_at IS NOT NULL GROUP BY ALL""",
     "tweet_minutes": """
@@ -425,5 +437,9 @@ ORACLE: dict[str, str] = {
 
 # Stored and read back, these give what their computed twins give.
 ORACLE["json_export"] = ORACLE["cost_efficiency"]
+ORACLE["csv_reviews"] = ORACLE["product_stats"]
+ORACLE["review_upsert"] = f"""SELECT product_id, review_date, review_id, customer_id,
+    CASE WHEN star_rating >= 3 THEN 1 ELSE star_rating END AS star_rating, stage
+  FROM ({ORACLE["reviews_by_product"]}) CROSS JOIN (VALUES ('before'), ('folded')) AS stages(stage)"""
 ORACLE["campaign_mart"] = ORACLE["campaign_summary"]
 ORACLE["stored_documents"] = ORACLE["top_categories"]

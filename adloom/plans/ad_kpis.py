@@ -68,9 +68,22 @@ def cost_efficiency(events: DataFrame, locations: DataFrame, start: str, end: st
         kpi.cpm("total_cost", "impressions").alias("cpm"), kpi.cpc("total_cost", "clicks").alias("cpc"))
 
 
+def campaign_cost_per_click(events: DataFrame, locations: DataFrame, start: str, end: str) -> DataFrame:
+    """Cost per click and per mille and return on ad spend of every campaign (no country) and of
+    every country and campaign pair."""
+    per_pair = _in_window(events, start, end).groupBy("location_id", "campaign_id").agg(
+        F.sum("ad_cost").alias("cost"), F.sum("ad_revenue").alias("revenue"),
+        kpi.clicks_by_revenue().alias("clicks"), F.count("event_id").alias("impressions"))
+    sums = [F.sum(c).alias(c) for c in ("cost", "revenue", "clicks", "impressions")]
+    by_country = per_pair.join(locations, "location_id").groupBy("country_name", "campaign_id").agg(*sums)
+    in_all = per_pair.groupBy(F.lit(None).cast("string").alias("country_name"), "campaign_id").agg(*sums)
+    return by_country.unionByName(in_all).select(
+        "country_name", "campaign_id", "clicks", kpi.cpm("cost", "impressions").alias("cpm"),
+        kpi.cpc("cost", "clicks").alias("cpc"), kpi.roas("revenue", "cost").alias("roas"))
+
+
 def regional_analysis(events: DataFrame, locations: DataFrame, start: str, end: str, k: int = 10) -> DataFrame:
-    """Countries with most revenue and their return on ad spend. Costs cover all
-    events; countries without revenue drop out only after the sums are made."""
+    """Countries with most revenue and their return on ad spend."""
     best = top_rows(
         _in_window(events, start, end).groupBy("location_id")
         .agg(F.sum("ad_revenue").alias("total_revenue"), F.sum("ad_cost").alias("total_cost"),
@@ -100,7 +113,7 @@ def budget_consumption(events: DataFrame, campaigns: DataFrame, start: str, end:
     spent = _in_window(events, start, end).groupBy("campaign_id").agg(F.sum("ad_cost").alias("total_spent"))
     return (
         spent.join(campaigns.select("campaign_id", "campaign_name", "budget", "remaining_budget"), "campaign_id")
-        .filter(kpi.ratio("total_spent", "budget") > over)
+        .filter(kpi.over_share("total_spent", "budget", over))
         .select("campaign_name", kpi.as_double("budget"), kpi.as_double("total_spent"),
                 kpi.as_double("remaining_budget"),
                 kpi.budget_used_pct("total_spent", "budget").alias("budget_used_pct"))

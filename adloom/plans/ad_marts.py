@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import flags, kpi, text
-from adloom.functions.shape import rename_present
+from adloom.functions.shape import present, rename_present
 from adloom.operators.ranking import latest_per_key, top_per_group, top_rows
 
 TIME_WINDOW = "last_30_days"
@@ -58,13 +58,13 @@ def top_advertisers_by_spend(raw_events: DataFrame, k: int = 5) -> DataFrame:
 def user_ad_history(raw_events: DataFrame, written: list[str]) -> DataFrame:
     """What each user saw and when; one row per user and time, the last write wins.
     ``written`` names the columns that say which of two rows was written later."""
-    rows = raw_events.select(
+    rows = present(raw_events.select(
         text.to_long(F.col("UserID")).alias("user_id"),
         text.to_wall_clock(F.col("Timestamp")).alias("event_timestamp"),
         F.col("CampaignName").alias("campaign_name"),
         flags.clicked_strict(F.col("WasClicked")).alias("was_clicked"),
         *[F.col(c).alias(f"_w{i}") for i, c in enumerate(written)],
-    ).dropna(subset=["user_id", "event_timestamp"])
+    ), "user_id", "event_timestamp")
     order = [f"_w{i}" for i in range(len(written))]
     return latest_per_key(rows, ["user_id", "event_timestamp"], order).drop(*order)
 
@@ -86,14 +86,17 @@ def top_users_by_clicks(raw_events: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_advertisers_by_region(raw_events: DataFrame, raw_users: DataFrame, k: int = 5) -> DataFrame:
-    """Biggest spenders per home region of the user who saw the ad."""
-    regions = rename_present(raw_users, {"Location": "region"}).select("UserID", "region")
+    """Biggest spenders per home region of the user who saw the ad. Events shrink to one row
+    per user and advertiser before they meet the users."""
+    regions = present(rename_present(raw_users, {"Location": "region"}).select("UserID", "region"), "UserID", "region")
+    per_user = (
+        present(raw_events.select("UserID", "AdvertiserName", "AdCost"), "UserID", "AdvertiserName")
+        .groupBy("UserID", F.col("AdvertiserName").alias("advertiser_name"))
+        .agg(_spend().alias("spend"))
+    )
     spend = (
-        raw_events.select("UserID", "AdvertiserName", "AdCost")
-        .join(regions, "UserID", "left")
-        .dropna(subset=["region", "AdvertiserName"])
-        .groupBy("region", F.col("AdvertiserName").alias("advertiser_name"))
-        .agg(_spend().alias("total_spend"))
+        per_user.join(regions, "UserID")
+        .groupBy("region", "advertiser_name").agg(F.sum("spend").alias("total_spend"))
     )
     best = top_per_group(spend, ["region"], [F.desc("total_spend"), F.asc("advertiser_name")], k)
     return best.select("region", _window_label(), kpi.as_double("total_spend"), "advertiser_name")

@@ -71,7 +71,10 @@ def load_lookup_marts(spark: SparkSession, star: str, out: str) -> None:
 
 def load_ad_marts(spark: SparkSession, campaigns_csv: str, users_csv: str, events_csv: str, out: str) -> None:
     """One table per question over the raw events."""
-    campaigns, users, events = (_raw(spark, p) for p in (campaigns_csv, users_csv, events_csv))
+    staged = {"campaigns": campaigns_csv, "users": users_csv, "events": events_csv}
+    for name, path in staged.items():  # each raw file is parsed once
+        write_table(_raw(spark, path), f"{out}/staged_{name}", mode="overwrite")
+    campaigns, users, events = (read_table(spark, f"{out}/staged_{name}") for name in staged)
     write_keyed(ad_marts.daily_campaign_ctr(events, campaigns), f"{out}/campaign_daily_performance",
                 ["event_date"], [F.asc("campaign_name"), F.asc("campaign_id")])
     write_keyed(ad_marts.top_advertisers_by_spend(events), f"{out}/top_advertisers_by_spend",
@@ -88,13 +91,19 @@ def load_documents(spark: SparkSession, users_csv: str, events_csv: str, out: st
     """User documents with nested impressions, laid out by user."""
     seen = documents.impressions(_raw(spark, events_csv, limit))
     docs = documents.user_documents(_raw(spark, users_csv), seen)
-    write_table(docs, out, mode="overwrite")
+    write_keyed(docs, out, ["_id"], [F.asc("bucket"), F.asc("segment")])
 
 
 def load_reviews(spark: SparkSession, reviews_csv: str, out: str, sep: str = ",") -> None:
     """Keyed copies, monthly rankings and aggregates. The three customer rankings
     share one pass, stored once and read back three times."""
-    raw = with_ingest_order(read_csv(spark, reviews_csv, schemas.RAW_REVIEWS, sep=sep))
+    raw = with_ingest_order(read_csv(spark, reviews_csv, sep=sep))
+    absent = [c for c in schemas.RAW_REVIEWS.names if c not in raw.columns]
+    if absent:
+        raise ValueError(f"columns missing in {reviews_csv}: {', '.join(absent)}")
+    # Typed columns are stored once; every table below reads them back, pruned.
+    write_table(raw.select(*schemas.RAW_REVIEWS.names, INGEST_ORDER), f"{out}/staged_reviews", mode="overwrite")
+    raw = read_table(spark, f"{out}/staged_reviews")
     clean = reviews.clean_reviews(raw)
     newest = [F.desc("review_date"), F.asc("review_id")]
     written = [INGEST_ORDER]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.functions import flags, text
+from adloom.functions.shape import present
 from adloom.operators.ranking import latest_per_key, top_per_group
 
 # Star ratings that make a critic and a supporter.
@@ -28,7 +29,7 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
 
 def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], written: Sequence[str]) -> DataFrame:
-    rows = reviews.select(*dict.fromkeys([*columns, *written])).dropna(subset=list(key))
+    rows = present(reviews.select(*dict.fromkeys([*columns, *written])), *key)
     return latest_per_key(rows, key, written).select(*columns)
 
 
@@ -59,7 +60,7 @@ def newest_reviews(keyed: DataFrame, partition_key: Sequence[str], limit: int =
 
 
 def _with_period(reviews: DataFrame) -> DataFrame:
-    return reviews.withColumn("period", text.month_label(F.col("review_date"))).dropna(subset=["period"])
+    return present(reviews.withColumn("period", text.month_label(F.col("review_date"))), "period")
 
 
 def _review_count(reviews: DataFrame, who: str) -> DataFrame:
@@ -104,8 +105,8 @@ def top_of_period(mart: DataFrame, who: str, limit: int = 10, period: str | None
 def verified_reviews(raw: DataFrame) -> DataFrame:
     """Complete reviews of verified purchases, in any spelling of the flag. A date
     that is there but cannot be read keeps its row; it only lacks month and year."""
-    present = raw.dropna(subset=["review_id", "product_id", "review_date"])
-    return clean_reviews(present).dropna(subset=["star_rating"]).filter(
+    complete = present(raw, "review_id", "product_id", "review_date")
+    return present(clean_reviews(complete), "star_rating").filter(
         flags.verified_any(F.col("verified_purchase")))
 
 

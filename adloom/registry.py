@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from adloom import schemas, session
 from adloom.functions import text
 from adloom.operators import profile
-from adloom.plans import ad_kpis, ad_marts, documents, reviews, star_schema
+from adloom.plans import ad_kpis, ad_marts, documents, etl, reviews, star_schema
 from adloom.plans import sample_tables as t
 from adloom.sources import files, messages, tables
-from adloom.streaming import tweets, wiki
+from adloom.streaming import keyed_sink, tweets, wiki
 from adloom.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,11 @@ def cost_efficiency(spark: SparkSession, sf: str) -> DataFrame:
     return ad_kpis.cost_efficiency(events, t.ad_locations(spark, sf), START, END)
 
 
+def campaign_cost_per_click(spark: SparkSession, sf: str) -> DataFrame:
+    events = t.ad_events(spark, sf, "event_id", "campaign_id", "location_id", "event_timestamp", "ad_cost", "ad_revenue")
+    return ad_kpis.campaign_cost_per_click(events, t.ad_locations(spark, sf), START, END)
+
+
 def regional_analysis(spark: SparkSession, sf: str) -> DataFrame:
     events = t.ad_events(spark, sf, "location_id", "event_timestamp", "ad_cost", "ad_revenue")
     return ad_kpis.regional_analysis(events, t.ad_locations(spark, sf), START, END)
@@ -313,7 +318,7 @@ def column_profile_campaigns(spark: SparkSession, sf: str) -> DataFrame:
 
 DEVICE_SQL = f"""
   SELECT device, count(event_id) AS total_impressions, sum(CASE WHEN ad_revenue > 0 THEN 1 ELSE 0 END) AS total_clicks
-  FROM ad_events WHERE event_timestamp >= '{START}' AND event_timestamp < '{END}'
+  FROM {{ad_events}} WHERE event_timestamp >= '{START}' AND event_timestamp < '{END}'
   GROUP BY device HAVING total_clicks > 0 ORDER BY total_clicks DESC, device"""
 
 
@@ -326,9 +331,12 @@ def sql_text_report(spark: SparkSession, sf: str) -> DataFrame:
     return tables.run_sql(spark, DEVICE_SQL, {"ad_events": events})
 
 
+FIRST_EVENTS = 750  # rows of the bounded load, fewer than any of the tables has
+
+
 def first_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The bounded load: the first million events in the order they came in."""
-    rows = files.first_rows(t.document_events(spark, sf), 1_000_000)
+    """The bounded load: the first events in the order they came in."""
+    rows = files.first_rows(t.document_events(spark, sf), FIRST_EVENTS)
     return rows.select("ingest_ord", "EventID", "CampaignName", "Timestamp")
 
 
@@ -374,6 +382,46 @@ def keyed_review_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _text(pages.select(*key, "review_date", "review_id", "customer_id"), "review_date")
 
 
+REVIEW_COLUMNS = "product_id string, review_date date, review_id string, customer_id string, star_rating int"
+
+
+def _review_loads(spark: SparkSession, sf: str) -> str:
+    """Two overlapping loads of reviews by product: the second lowers some ratings, and brings rows again."""
+    path = session.scratch_dir(spark, "review-loads")
+    clean = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN).drop("review_headline", "review_body")
+    key = list(reviews.BY_PRODUCT)
+    write = keyed_sink.append_batches(path, key, ["star_rating"], ["product_id"], [F.desc("review_date"), F.asc("review_id")])
+    write(clean, 0)
+    again = clean.filter(F.col("star_rating") >= 3)
+    write(again.withColumn("star_rating", F.lit(1)), 1)
+    return path
+
+
+def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A second load replaces the rows it brings, read before and after folding, and with a load after that."""
+    path = _review_loads(spark, sf)
+    key = list(reviews.BY_PRODUCT)
+    read = lambda: keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"])
+    before = read().withColumn("stage", F.lit("before"))
+    stored = f"{path}-before"
+    before.write.parquet(stored)
+    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], ["product_id"], [F.desc("review_date"), F.asc("review_id")])
+    folded = read().withColumn("stage", F.lit("folded"))
+    return _text(spark.read.parquet(stored).unionByName(folded), "review_date")
+
+
+def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews from a CSV whose header has more columns in another order and some ratings as 5.0."""
+    path = session.scratch_dir(spark, "csv-reviews")
+    raw = t.raw_reviews(spark, sf)
+    other = raw.select(F.lit("X").alias("marketplace"), "customer_id", "review_id",
+                       F.when(F.col("star_rating") == "5", F.lit("5.0")).otherwise(F.col("star_rating")).alias("star_rating"),
+                       "verified_purchase", "product_id", "review_body", "review_date", "review_headline")
+    files.write_csv(other, f"{path}/csv")
+    etl.load_reviews(spark, f"{path}/csv", f"{path}/out")
+    return tables.read_table(spark, f"{path}/out/product_stats")
+
+
 def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents stored nested; categories asked from the stored form."""
     path = session.scratch_dir(spark, "documents")
@@ -425,6 +473,17 @@ def tweet_minutes(spark: SparkSession, sf: str) -> DataFrame:
     return tweets.read_minutes(spark, f"{base}/minutes")
 
 
+def tweet_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """System turns are sent as plain text, which is no tweet; all others as tweets."""
+    base = session.scratch_dir(spark, "tweet-dead")
+    turns = _follow(spark, sf, "conversations")
+    plain = F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")
+    sent = turns.select(F.when(F.col("role") == "system", plain).otherwise(
+        F.to_json(F.struct(F.col("role").alias("author_id"), "text"))).alias("value"))
+    drain(tweets.dead_letter_job(sent, f"{base}/progress", "text", f"{base}/dead"))
+    return spark.read.schema("value string").text(f"{base}/dead")
+
+
 def csv_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns written as CSV, replayed as messages. The creation time is
     the time of the replay, so only its presence can be compared."""
@@ -450,7 +509,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     top_backers, customer_marts, product_stats, customer_activity, product_trends,
     dim_locations, dim_advertisers, dim_campaigns, dim_users, user_interests, fact_events,
     schema_violations, invalid_enums, column_profile_events, column_profile_users, column_profile_campaigns,
-    overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
+    campaign_cost_per_click, overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
     keyed_review_pages, stored_documents,
-    wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, csv_replay,
+    review_upsert, csv_reviews,
+    wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, tweet_dead_letters, csv_replay,
 )}

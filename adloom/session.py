@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -44,15 +47,27 @@ def shuffle_conf(shuffled_bytes: int, cores: int, per_partition: int = 256 << 20
     }
 
 
+_local_roots: list[str] = []
+
+
+def _local_root() -> str:
+    """One folder for this process, removed when it ends."""
+    if not _local_roots:
+        _local_roots.append(tempfile.mkdtemp(prefix="adloom-"))
+        atexit.register(shutil.rmtree, _local_roots[0], ignore_errors=True)
+    return _local_roots[0]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may run without that setting; its tasks share one
-    machine, so a temporary folder is visible to all of them.
+    Only a session whose tasks run in the driver's own process (``local[...]``) may run without
+    that setting. What is written below a folder that was set stays there until its owner
+    clears it; the folder made here goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="adloom-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -20,10 +20,9 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] = (), fmt:
 
 
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Spark SQL over named frames."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """Spark SQL over named frames, written as ``{name}`` in the text; the session's own
+    view names stay as they are."""
+    return spark.sql(text, **tables)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from adloom import schemas
 from adloom.functions import text
+from adloom.functions.shape import present
 from adloom.sources.messages import message_writer, to_messages
 from adloom.streaming.keyed_sink import read_upserted, upsert_stream
 
@@ -40,20 +41,24 @@ def human_edits(changes: DataFrame) -> DataFrame:
 
 
 def unreadable(messages: DataFrame) -> DataFrame:
-    """Messages that carry no site, be they broken or incomplete: the dead letters."""
-    return parse_changes(messages).filter(F.col("domain").isNull()).select("value")
+    """The dead letters: messages that neither the filter nor the table can judge, because
+    the site, a readable bot flag, the time or the title is missing, be they broken or incomplete."""
+    changes = parse_changes(messages)
+    return changes.filter(
+        F.col("domain").isNull() | F.col("user_is_bot").isNull() | F.col("page_title").isNull()
+        | text.to_instant(F.col("created_at")).isNull()).select("value")
 
 
 def typed_pages(messages: DataFrame) -> DataFrame:
     """Processed messages as table rows. Rows without a full key are dropped; fields
     the table does not have are ignored."""
     data = messages.select(F.from_json("value", schemas.WIKI_PROCESSED).alias("d"))
-    return data.select(
+    return present(data.select(
         F.col("d.domain").alias("domain"),
         text.to_instant(F.col("d.created_at")).alias("created_at"),
         F.col("d.page_title").alias("page_title"),
         F.col("d.user_id").alias("user_id"),
-    ).dropna(subset=list(PAGE_KEY))
+    ), *PAGE_KEY)
 
 
 def filter_job(messages: DataFrame, checkpoint: str, fmt: str = "kafka", path: str | None = None,

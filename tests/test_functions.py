@@ -12,12 +12,17 @@ def one(spark, value, column):
     return spark.createDataFrame([(value,)], "c string").select(column.alias("r")).first()[0]
 
 
-@pytest.mark.parametrize("value,expected", [
-    (0.005, 0.01), (1.005, 1.0), (2.675, 2.68), (-0.125, -0.13), (12.0, 12.0), (None, None)])
-def test_round2(spark, value, expected):
-    # 1.005 is stored below the half; 2.675 * 100 lands on the half when multiplied.
-    df = spark.createDataFrame([(value,)], "x double")
-    assert df.select(kpi.round2(F.col("x"))).first()[0] == expected
+@pytest.mark.parametrize("cost,clicks,expected", [
+    ("79960.68", 8, 9995.09), ("2.01", 2, 1.01), ("0.01", 2, 0.01), ("0.01", 3, 0.0), ("-0.25", 2, -0.13), ("5.00", 0, None), (None, 2, None)])
+def test_metrics_round_exact_halves(spark, cost, clicks, expected):
+    df = spark.createDataFrame([(cost, clicks)], "cost string, clicks long").withColumn("cost", F.col("cost").cast("decimal(22,2)"))
+    assert df.select(kpi.cpc("cost", "clicks")).first()[0] == expected
+    assert df.select(kpi.roas("cost", F.col("clicks").cast("decimal(22,2)"))).first()[0] == expected
+
+
+@pytest.mark.parametrize("cell,expected", [("5", 5), ("5.0", 5), ("-3.000", -3), ("5.5", None), ("5.0000001", None), ("x", None), ("99999999999", None), (None, None)])
+def test_whole_numbers_with_a_point(spark, cell, expected):
+    assert one(spark, cell, text.to_int(F.col("c"))) == expected
 
 
 def test_metrics_and_zero_denominators(spark):

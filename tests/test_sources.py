@@ -65,10 +65,22 @@ def test_json_export_one_folder_per_result(spark, tmp_path):
     files.export_results({"top": top, "none": none}, str(tmp_path / "r"))
     lines = [json.loads(x) for p in (tmp_path / "r" / "top").glob("*.json") for x in p.read_text().splitlines()]
     assert lines == [{"name": "a", "cpc": None}]
-    assert json.loads(files.bundle_results({"top": top, "none": none})) == {
-        "top": [{"name": "a", "cpc": None}], "none": []}
-    with pytest.raises(ValueError):
-        files.bundle_results({"many": spark.range(11)}, max_rows=10)
+    assert spark.read.schema("name string").json(str(tmp_path / "r" / "none")).count() == 0
+
+
+def test_ingest_order_is_unique_over_files(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    for k, name in enumerate(("a.csv", "b c.csv", "d.csv")):
+        write(tmp_path / "in" / name, "n\n" + "".join(f"{100 * k + i}\n" for i in range(100)))
+    df = files.with_ingest_order(files.read_csv(spark, str(tmp_path / "in")))
+    assert [int(r[0]) for r in df.orderBy("ingest_ord").select("n").collect()] == list(range(300))
+    assert df.select("ingest_ord").distinct().count() == 300
+    for n in (0, 1, 150, 250, 300, 500):
+        first = files.first_rows(df, n)
+        assert sorted(int(r[0]) for r in first.select("n").collect()) == list(range(min(n, 300)))
+        assert "TakeOrdered" not in plan_of(first)
+    tied = spark.createDataFrame([(1,), (2,), (2,), (2,), (3,)], "ingest_ord long")
+    assert sorted(r[0] for r in files.first_rows(tied, 3).collect()) == [1, 2, 2]
 
 
 def test_append_overwrite_and_column_scan(spark, tmp_path):
