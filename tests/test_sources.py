@@ -95,7 +95,7 @@ def test_append_overwrite_and_column_scan(spark, tmp_path):
 
 def test_sql_text_over_frames(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 4.0)], "k long, budget double")
-    got = tables.run_sql(spark, "select k, count(*) as n from ledger group by k having n > 0 order by k", {"ledger": df})
+    got = tables.run_sql(spark, "select k, count(*) as n from {ledger} group by k having n > 0 order by k", {"ledger": df})
     assert [tuple(r) for r in got.collect()] == [(1, 1), (2, 1)]
 
 
