@@ -1,4 +1,4 @@
-"""Parent rows with their child rows as an array, in pieces of bounded size."""
+"""Parent rows with their child rows as an array, in pages of bounded size."""
 
 from __future__ import annotations
 
@@ -7,63 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many keys can each hold more than one part in MAX_HEAVY_KEYS of all rows.
-MAX_HEAVY_KEYS = 100_000
-ROWS_PER_BUCKET = 1_000_000
 # A collecting task may hold 128 such arrays at once before Spark turns to sorting.
-ROWS_PER_SEGMENT = 10_000
-
-
-def heavy_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_HEAVY_KEYS) -> DataFrame:
-    """Keys with more than ``min_rows`` rows and more than 1/``max_keys`` of all
-    rows. By that second test the result never exceeds ``max_keys`` rows, however
-    large the input, which makes it safe to broadcast."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
-    return counts.filter((F.col("rows") > min_rows) & (F.col("rows") * max_keys > total))
+PAGE_SIZE = 10_000
+RANGES_PER_DOUBLING = 64
 
 
 def nest(parents: DataFrame, children: DataFrame, key: str, fields: Sequence[str], order: str,
-         into: str, rows_per_segment: int = ROWS_PER_SEGMENT,
-         rows_per_bucket: int = ROWS_PER_BUCKET, max_heavy: int = MAX_HEAVY_KEYS) -> DataFrame:
+         into: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """Every parent with its children as ``into: array<struct<order, fields>>``.
 
-    A parent is one row with ``bucket = segment = 0`` unless it has more than
-    ``rows_per_segment`` children. Larger ones continue in further rows, so no
-    array and no task ever has to hold all children of a hot key, and none is
-    dropped. Hot keys are spread over hash buckets; within a bucket, rows are
-    numbered and cut into segments. Arrays are sorted by ``order``; a reader of a
-    multi-row parent restores the overall order from the element's own ``order``.
+    A parent's children in order are cut into pages of ``page_size``: one row per page, numbered
+    from 0, and one empty page for a parent without children. Page and content depend on
+    the parent's own children only, and reading pages in turn gives them in order.
 
-    The children are shuffled once: numbering, collecting and the join with the
-    parents all work on the same (key, bucket) partitioning.
+    No task holds all children of a hot key: a child's number is its rank among the children of its parent
+    in one range of ordinals (at most 63 * RANGES_PER_DOUBLING ranges, whatever the size) plus
+    the counts of the parent's earlier ranges. ``order`` is a non-negative bigint.
     """
-    rows = children.filter(F.col(key).isNotNull()).select(key, order, *fields)
-    heavy = F.broadcast(
-        heavy_keys(rows, key, rows_per_bucket, max_heavy)
-        .select(key, F.ceil(F.col("rows") / rows_per_bucket).cast("int").alias("_buckets"))
-    )
-
-    bucket = F.pmod(F.xxhash64(order), F.coalesce("_buckets", F.lit(1))).cast("int")
-    spread = rows.join(heavy, key, "left").select(key, order, *fields, bucket.alias("bucket"))
-    numbered = spread.withColumn(
-        "_n", F.row_number().over(Window.partitionBy(key, "bucket").orderBy(order)) - 1)
-    segments = (
-        numbered.groupBy(key, "bucket", F.floor(F.col("_n") / rows_per_segment).cast("int").alias("segment"))
+    ordinal_range = F.floor(F.log2(F.col(order) + 1) * RANGES_PER_DOUBLING)
+    rows = children.filter(F.col(key).isNotNull()).select(key, order, *fields, ordinal_range.alias("_range"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        key, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy(key, "_range").orderBy(order)) - 1
+    numbered = rows.withColumn("_within", within).join(starts, [key, "_range"])
+    pages = (
+        numbered.groupBy(key, F.floor((F.col("_start") + F.col("_within")) / page_size).cast("bigint").alias("page"))
         .agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias(into))
     )
-
-    last_bucket = F.coalesce("_buckets", F.lit(1)) - 1
-    slots = (
-        parents.join(heavy, key, "left")
-        .withColumn("bucket", F.explode(F.sequence(F.lit(0), last_bucket)))
-        .drop("_buckets")
-    )
-    empty = F.array().cast(segments.schema[into].dataType)
+    empty = F.array().cast(pages.schema[into].dataType)
     return (
-        slots.join(segments, [key, "bucket"], "left")
-        .filter(F.col(into).isNotNull() | (F.col("bucket") == 0))
-        .withColumn("segment", F.coalesce("segment", F.lit(0)))
+        parents.join(pages, key, "left")
+        .withColumn("page", F.coalesce("page", F.lit(0)))
         .withColumn(into, F.coalesce(into, empty))
     )
 

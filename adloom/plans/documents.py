@@ -43,7 +43,7 @@ def impressions(raw_events: DataFrame, order: str = ORDER) -> DataFrame:
     )
 
 
-def user_documents(raw_users: DataFrame, user_impressions: DataFrame, **limits: int) -> DataFrame:
+def user_documents(raw_users: DataFrame, user_impressions: DataFrame, **pages: int) -> DataFrame:
     """Every user with demographics, interests and impressions (empty if none)."""
     users = raw_users.select(
         text.to_long(F.col("UserID")).alias("user_id"),
@@ -52,8 +52,8 @@ def user_documents(raw_users: DataFrame, user_impressions: DataFrame, **limits:
                  ).alias("demographics"),
         text.comma_list(F.col("Interests")).alias("interests"),
     )
-    return nesting.nest(users, user_impressions, "user_id", IMPRESSION, ORDER, "impressions", **limits).select(
-        F.col("user_id").alias("_id"), "bucket", "segment", "demographics", "interests", "impressions")
+    return nesting.nest(users, user_impressions, "user_id", IMPRESSION, ORDER, "impressions", **pages).select(
+        F.col("user_id").alias("_id"), "page", "demographics", "interests", "impressions")
 
 
 def impressions_of(documents: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def impressions_of(documents: DataFrame) -> DataFrame:
 
 
 def user_history(documents: DataFrame, user_id: int) -> DataFrame:
-    """The document of one user (in several rows if it is a very large one)."""
+    """The document of one user, page by page if it is a large one."""
     return documents.filter(F.col("_id") == user_id)
 
 

@@ -91,7 +91,7 @@ def load_documents(spark: SparkSession, users_csv: str, events_csv: str, out: st
     """User documents with nested impressions, laid out by user."""
     seen = documents.impressions(_raw(spark, events_csv, limit))
     docs = documents.user_documents(_raw(spark, users_csv), seen)
-    write_keyed(docs, out, ["_id"], [F.asc("bucket"), F.asc("segment")])
+    write_keyed(docs, out, ["_id"], [F.asc("page")])
 
 
 def load_reviews(spark: SparkSession, reviews_csv: str, out: str, sep: str = ",") -> None:

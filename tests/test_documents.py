@@ -98,7 +98,7 @@ def test_split_documents_answer_like_whole_ones(spark, tiny, tmp_path):
     seen = documents.impressions(t.document_events(spark, tiny))
     users = t.raw_users(spark, tiny)
     path = str(tmp_path / "docs")
-    documents.user_documents(users, seen, rows_per_segment=4, rows_per_bucket=9).write.parquet(path)
+    documents.user_documents(users, seen, page_size=4).write.parquet(path)
     docs = spark.read.parquet(path)
     assert docs.groupBy("_id").count().filter("count > 1").count() > 0
     assert docs.filter(F.size("impressions") > 4).count() == 0

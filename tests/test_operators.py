@@ -59,12 +59,9 @@ def test_ids_can_keep_a_null_value(spark):
     assert rows(first_appearance_ids(df, "v", "o", "id", keep_null=True)) == sorted([(1, "b"), (2, None), (3, "a")], key=repr)
 
 
-LIMITS = {"rows_per_segment": 7, "rows_per_bucket": 40}
-
-
 def _children(n=600):
     rng = random.Random(5)
-    # User 1 holds a third of all rows, user 2 is over one segment, some have no user.
+    # User 1 holds a third of all rows, user 2 is over one page, some have no user.
     def owner(i):
         x = rng.random()
         return 1 if x < 0.34 else 2 if x < 0.38 else None if x < 0.41 else rng.randrange(3, 60)
@@ -75,19 +72,30 @@ def test_nesting_loses_nothing_and_bounds_every_array(spark):
     data = _children()
     children = spark.createDataFrame(data, "u long, ord long, e string").repartition(5)
     parents = spark.createDataFrame([(u, f"name{u}") for u in range(0, 70)], "u long, name string")
-    nested = nesting.nest(parents, children, "u", ["e"], "ord", "items", **LIMITS).cache()
+    nested = nesting.nest(parents, children, "u", ["e"], "ord", "items", page_size=7).cache()
     got = nested.collect()
     assert max(len(r["items"]) for r in got) <= 7
     assert all([i["ord"] for i in r["items"]] == sorted(i["ord"] for i in r["items"]) for r in got)
-    places = [(r["u"], r["bucket"], r["segment"]) for r in got]
-    assert len(places) == len(set(places))
+    for u in range(70):
+        pages = sorted((r["page"], r["items"]) for r in got if r["u"] == u)
+        assert [p for p, _ in pages] == list(range(len(pages)))
+        assert all(len(items) == 7 for _, items in pages[:-1])
+        assert [i["ord"] for _, items in pages for i in items] == [d[1] for d in data if d[0] == u]
     assert {r["u"] for r in got} == set(range(70))
-    assert max(r["bucket"] for r in got if r["u"] == 1) > 0
     flat = nesting.unnest(nested, "items", ["u"])
     assert rows(flat) == sorted((d for d in data if d[0] is not None), key=repr)
     empty = [r for r in got if not r["items"]]
     assert {r["u"] for r in empty} == set(range(70)) - {d[0] for d in data}
-    assert all((r["bucket"], r["segment"]) == (0, 0) for r in empty)
+    assert all(r["page"] == 0 for r in empty)
+
+
+def test_pages_depend_on_the_own_children_only(spark):
+    parents = spark.range(0, 3).withColumnRenamed("id", "u")
+    own = [(1, i, f"e{i}") for i in range(0, 90, 3)]
+    others = [(2, i, "x") for i in range(1, 4000, 3)] + [(None, i, "y") for i in range(2, 900, 3)]
+    pages = lambda data: rows(nesting.nest(parents, spark.createDataFrame(data, "u long, ord long, e string"),
+                                           "u", ["e"], "ord", "items", page_size=8).filter("u = 1"))
+    assert pages(own) == pages(own + others) and len(pages(own)) == 4
 
 
 def test_small_parents_stay_one_row(spark):
@@ -95,32 +103,7 @@ def test_small_parents_stay_one_row(spark):
     children = spark.createDataFrame(data, "u long, ord long, e string")
     parents = spark.createDataFrame([(u,) for u in range(1, 5)], "u long")
     got = nesting.nest(parents, children, "u", ["e"], "ord", "items")
-    assert rows(got.select("u", "bucket", "segment", F.size("items"))) == [(1, 0, 0, 1), (2, 0, 0, 2), (3, 0, 0, 3), (4, 0, 0, 0)]
-
-
-def test_children_are_shuffled_once(spark, tmp_path):
-    path = str(tmp_path / "children")
-    spark.createDataFrame(_children(), "u long, ord long, e string").write.parquet(path)
-    parents = spark.range(0, 70).withColumnRenamed("id", "u")
-    nested = nesting.nest(parents, spark.read.parquet(path), "u", ["e"], "ord", "items")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(nested)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # Both sides of the join are shuffled on (key, bucket), the children nowhere else;
-    # the remaining exchanges carry one count per key.
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert sum("bucket" in line for line in exchanges) == 2
-    assert "SortMergeJoin" in plan
-
-
-def test_heavy_keys_are_bounded(spark):
-    df = spark.createDataFrame([(i % 10,) for i in range(1000)] + [(99,)] * 500, "k long")
-    assert rows(nesting.heavy_keys(df, "k", min_rows=50, max_keys=5).select("k")) == [(99,)]
-    assert nesting.heavy_keys(df, "k", min_rows=50).count() == 11
-    assert nesting.heavy_keys(df, "k", min_rows=1000).count() == 0
+    assert rows(got.select("u", "page", F.size("items"))) == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 0, 0)]
 
 
 def test_resolve_key(spark):
