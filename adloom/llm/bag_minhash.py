@@ -15,7 +15,8 @@ taken by an earlier point, which needs about places * ln(places) points a text.
 *Candidates.* Texts with equal multisets collapse first. Places are cut into bands; texts
 that share a band meet in its bucket. Each member is compared with the bucket's leader (the
 text with the most copies); where this leaves several groups, with two more leaders taken by
-chance; and then, among members still in different groups, all remaining pairs are compared.
+chance; and then, among members still in different groups, all remaining pairs are compared, but
+for those whose bitmaps of shingles show that too few can be common (an exact bound).
 So a bucket of n alike texts costs about n comparisons, and no two texts that meet in a bucket
 and are similar are left in different classes. (Of n texts in one bucket that are unlike each
 other nothing but all pairs can tell; six agreeing places make such buckets small.)
@@ -43,6 +44,8 @@ ROWS_PER_BAND = 6  # 0.8 is missed by all bands once in 1,400 pairs, 0.9 never i
 SHINGLE = 5
 SIMILARITY = 0.8
 
+BITMAP_WORDS = 32  # of 64 bits
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,14 +118,19 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: i
             whole = np.zeros((n, 2), dtype=np.uint64)
             for side, value in enumerate((mix(element ^ _STEP), mix(element + _STEP))):
                 np.add.at(whole[:, side], text, value * weight.astype(np.uint64))
+            # A bitmap of the shingles bounds what two texts can have in common.
+            bit = (mix(element + np.uint64(17)) >> np.uint64(53)).astype(np.int64) % (64 * BITMAP_WORDS)
+            bits = np.zeros((n, BITMAP_WORDS), dtype=np.uint64)
+            np.bitwise_or.at(bits, (text, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
             raw = whole.tobytes()
             group = [raw[16 * i : 16 * i + 16] if total[i] else None for i in range(n)]
             at = slice(first, first + n)
             flat = pa.array(band.view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat)
+            maps = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BITMAP_WORDS), pa.array(bits.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[at], batch.column(1)[at], pa.array(group, pa.binary()), pa.array(total), lists],
-                ["_id", "_h", "grp", "n", "bands"])
+                [batch.column(0)[at], batch.column(1)[at], pa.array(group, pa.binary()), pa.array(total), lists, maps],
+                ["_id", "_h", "grp", "n", "bands", "bits"])
 
 
 def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,11 +171,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     path = scratch_dir(spark, "near-duplicates")
     rows = docs.select(F.col(id_col).alias("_id"), F.hash(text_col).alias("_h"), F.col(text_col).alias("_text"))
     rows.mapInArrow(lambda b: _signed(b, shingle, bands, rows_per_band),
-                    f"_id {id_type}, _h int, grp binary, n long, bands array<long>").write.parquet(f"{path}/signed")
+                    f"_id {id_type}, _h int, grp binary, n long, bands array<long>, bits array<long>").write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     worded = signed.where(F.col("grp").isNotNull())
     (worded.groupBy("grp").agg(F.min(F.struct("_id", "_h")).alias("one"), F.min("_id").alias("least"), F.count("*").alias("copies"),
-                               F.first("n").alias("n"), F.first("bands").alias("bands"))
+                               F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
      .write.parquet(f"{path}/groups"))
     groups = spark.read.parquet(f"{path}/groups")
 
@@ -215,12 +223,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.least("grp", "pick.grp").alias("u"), F.greatest("grp", "pick.grp").alias("v")).distinct())
     edges = edges.unionAll(verify(mixed, "mixed"))
 
-    # What is left: every pair of a bucket across different components.
-    rest = apart(edges, "left")
+    # What is left: every pair of a bucket across different components, but for pairs whose bitmaps
+    # rule out enough common shingles.
+    def set_bits(words: F.Column) -> F.Column:
+        return F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(w))
+
+    known = groups.select("grp", "bits", (F.col("n") - set_bits(F.col("bits"))).alias("extra"))
+    rest = apart(edges, "left").join(known, "grp")
+    rest.write.parquet(f"{path}/left-bits")
+    rest = spark.read.parquet(f"{path}/left-bits")
     a, b = rest.alias("a"), rest.alias("b")
+    shared = set_bits(F.zip_with("a.bits", "b.bits", lambda x, y: x.bitwiseAND(y)))
+    possible = (shared + F.least("a.extra", "b.extra")) * (1 + similarity) >= (F.col("a.n") + F.col("b.n")) * similarity - 1e-6
     across = (a.join(b, F.col("a.bucket") == F.col("b.bucket"))
               .where((F.col("a.grp") < F.col("b.grp")) & (F.col("a.component") != F.col("b.component"))
-                     & (F.col("a.grp") != F.col("a.lead")) & (F.col("b.grp") != F.col("b.lead")) & alike_in_size("a.n", "b.n"))
+                     & (F.col("a.grp") != F.col("a.lead")) & (F.col("b.grp") != F.col("b.lead")) & alike_in_size("a.n", "b.n") & possible)
               .select(F.col("a.grp").alias("u"), F.col("b.grp").alias("v")).distinct())
     edges = edges.unionAll(verify(across, "across"))
     final = components(edges)
