@@ -17,4 +17,50 @@ QUERIES = {
     "op10_html_text": html_text.op10_html_text,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    return f"coalesce(regexp_extract_all({_LOWER.format(text)}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+
+
+# What learned models, tokenizers, signatures and byte windows decide, SQL does not express;
+# those queries are tested against brute force in tests/llm.
+ORACLE: dict[str, str] = {
+    "op3_decontamination": f"""WITH item AS (SELECT CAST(item_id AS VARCHAR) AS id, {_words("text")} AS w FROM benchmark),
+      parts AS (SELECT DISTINCT id, CASE WHEN len(w) < 10 THEN w ELSE w[k:k + 9] END AS part
+        FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS k FROM item WHERE len(w) > 0)),
+      doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+      size AS (SELECT DISTINCT len(part) AS n FROM parts),
+      place AS (SELECT doc_id, k, n, w[k:k + n - 1] AS part
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, size WHERE len(w) >= n)),
+      hit AS (SELECT doc_id, k, n, id FROM place JOIN parts USING (part)),
+      counted AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM hit) GROUP BY doc_id),
+      named AS (SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM hit GROUP BY doc_id)
+      SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+      FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op5_warc": """WITH page AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+      led AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM page)
+      SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+          (CAST('0x' || substr(hex, 1 + CAST(5 * (i // 4) AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM led""",
+    "op9_tool_calls": """WITH RECURSIVE call AS (SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN 'ask' ELSE 'configure' END AS name,
+          CASE WHEN turn > 0 THEN turn - 2 * ((turn + 3) // 4) END AS back FROM conversations WHERE role IN ('user', 'system')),
+      linked AS (SELECT c.*, d.turn AS dep FROM call c LEFT JOIN call d ON c.conv_id = d.conv_id AND c.back = d.turn),
+      placed AS (SELECT conv_id, turn, 0 AS level FROM linked WHERE dep IS NULL
+        UNION ALL SELECT l.conv_id, l.turn, p.level + 1 FROM linked l JOIN placed p ON l.conv_id = p.conv_id AND l.dep = p.turn),
+      answer AS (SELECT conv_id, turn - 1 AS turn, min(text) AS result, count(*) AS n FROM conversations
+        WHERE role IS NULL OR role NOT IN ('user', 'system') GROUP BY ALL),
+      judged AS (SELECT *, concat_ws('; ',
+          CASE WHEN name = 'ask' AND length(text) < 40 THEN '$.question: too short' WHEN name = 'configure' AND length(text) < 1 THEN '$.instructions: too short' END,
+          CASE WHEN back >= 0 AND dep IS NULL THEN concat('unknown dependency call-', conv_id, '-', back) END) AS errors FROM linked)
+      SELECT conv_id, concat('call-', conv_id, '-', turn) AS call_id, turn, name, CAST(level AS INTEGER) AS level,
+        row_number() OVER (PARTITION BY conv_id ORDER BY level, turn) - 1 AS call_order, CAST(coalesce(n, 0) AS BIGINT) AS n_results,
+        false AS orphan, errors = '' AS valid, errors,
+        concat('{"arguments":{', CASE WHEN name = 'ask' THEN concat('"question":', to_json(text), ',"turn":', turn) ELSE concat('"instructions":', to_json(text)) END,
+          '},"id":"call-', conv_id, '-', turn, '","name":"', name, '","result":', coalesce(CAST(to_json(result) AS VARCHAR), 'null'), '}') AS message
+      FROM judged JOIN placed USING (conv_id, turn) LEFT JOIN answer USING (conv_id, turn)
+      UNION ALL SELECT conv_id, concat('call-', conv_id, '-', turn), turn + 1, NULL, NULL, NULL, n, true, false, 'no call', NULL
+      FROM answer ANTI JOIN call USING (conv_id, turn)""",
+}
