@@ -17,8 +17,10 @@ a third of all texts is one row per task.
 
 *Long matches.* Stretches under a repeated prefix that are all alike repeat as a whole. Only
 stretches that differ under one prefix (the ends of passages, edited copies) are compared
-window by window; one representative of each stretch is enough, and prefixes with very
-many different stretches are split by window offset.
+window by window; one representative of each stretch is enough. A prefix with few different
+stretches is compared in one task. Under one with very many, no task gathers them: stretches whose
+surroundings of the prefix are met once on both sides are left out, and every window of the others is a
+row of its own that is counted, and joined, by its 128-bit fingerprint.
 
 Null and short texts have nothing to remove; repeated rows count as repeats; an empty table
 gives an empty result. Rows are told apart by id and text, so repeated ids do no harm, and
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import SpanHashes, mix, sliding_min, some_rows, text_chunks
+from adloom.llm.textops import _BYTE_VALUES, SpanHashes, mix, sliding_min, some_rows, text_chunks
 from adloom.session import scratch_dir
 
 SEED = 32
@@ -140,8 +142,8 @@ def _squeeze(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Record
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The stretches asked for, cut from their texts: one row per stretch and split."""
-    names = ["key", "split", "splits", "alone", "_id", "_h", "place", "bytes"]
+    """The stretches asked for, cut from their texts: one row per stretch."""
+    names = ["key", "alone", "_id", "_h", "place", "bytes"]
     expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         ids, hashes = batch.column(0), batch.column(1)
@@ -152,38 +154,77 @@ def _contexts(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.
             for w in wanted.as_py():
                 start, _, last = (int(x) for x in _unpacked(np.int64(w["place"])))
                 cut = text[start : start + last + min_bytes]
-                for split in range(w["splits"]):
-                    for column, value in zip(out, (w["key"], split, w["splits"], w["n"] == 1, row, row, w["place"], cut), strict=True):
-                        column.append(value)
-                    size += len(cut)
+                for column, value in zip(out, (w["key"], w["n"] == 1, row, row, w["place"], cut), strict=True):
+                    column.append(value)
+                size += len(cut)
             if size > 4 << 20 or row == batch.num_rows - 1:
-                rows = pa.array(out[4], pa.int64())
+                rows = pa.array(out[2], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_()),
-                     ids.take(rows), hashes.take(rows), pa.array(out[6], pa.int64()), pa.array(out[7], pa.binary())], names)
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), ids.take(rows), hashes.take(rows),
+                     pa.array(out[4], pa.int64()), pa.array(out[5], pa.binary())], names)
                 out, size = [[] for _ in names], 0
 
 
+def _laid_out(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column end to end, and the bounds of its values."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _sides(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Fingerprints of the prefix with what stands before it, and with what stands after it.
+
+    A window holds ``min_bytes - SEED`` bytes besides the prefix, so at least half of them on one
+    side: a window that is met again has a side that is met again."""
+    half = -(-(min_bytes - SEED) // 2)
+    for batch in some_rows(batches, 4_096):
+        if not batch.num_rows:
+            continue
+        start, shift, last = _unpacked(batch.column("place").to_numpy())
+        data, ends = _laid_out(batch.column("bytes"))
+        hashes, key = SpanHashes(data), mix(batch.column("key").to_numpy().view(np.uint64))
+        found = []
+        for salt, has, a, b in ((1, shift >= half, shift - half, shift + SEED), (2, shift - last <= min_bytes - SEED - half, shift, shift + SEED + half)):
+            side, at = np.zeros(len(key), dtype=np.uint64), np.flatnonzero(has)
+            side[at] = mix(hashes.of(ends[at] + a[at], ends[at] + b[at]) ^ key[at]) + np.uint64(salt)
+            found.append(pa.array(side.view(np.int64), mask=~has))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "before", "after"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Row per window of each stretch: its 128-bit fingerprint under its prefix, and its place in the text."""
+    for batch in some_rows(batches, max(1, (1 << 17) // (min_bytes - SEED + 1))):
+        if not batch.num_rows:
+            continue
+        start, _, last = _unpacked(batch.column("place").to_numpy())
+        data, ends = _laid_out(batch.column("bytes"))
+        key = mix(batch.column("key").to_numpy().view(np.uint64))
+        row = np.repeat(np.arange(len(last)), last + 1)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(last + 1) - (last + 1), last + 1)
+        at, rows = ends[row] + step, pa.array(row)
+        value = mix(SpanHashes(data).of(at, at + min_bytes) ^ key[row])
+        other = SpanHashes(mix(_BYTE_VALUES[data])).of(at, at + min_bytes)
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(rows) for c in ("alone", "_id", "_h")), _as_long(value), _as_long(other), _as_long(((start[row] + step) << 16) | min_bytes)],
+            ["alone", "_id", "_h", "value", "other", "span"])
+
+
 def _group_ends(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
-    key, split = batch.column("key").to_numpy(), batch.column("split").to_numpy()
-    return np.append(np.flatnonzero((key[1:] != key[:-1]) | (split[1:] != split[:-1])) + 1, len(key))
+    key = batch.column("key").to_numpy()
+    return np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
 
 
 def _repeated_windows(table: pa.Table, min_bytes: int) -> pa.RecordBatch | None:
     """Runs of windows, in stretches met once, that stand in another stretch of their group too."""
     place = table.column("place").to_numpy()
-    key, splits, split = (table.column(x).to_numpy() for x in ("key", "splits", "split"))
+    key = table.column("key").to_numpy()
     alone = table.column("alone").to_numpy(zero_copy_only=False)
-    start, shift, last = _unpacked(place)
+    start, _, last = _unpacked(place)
     blob = table.column("bytes").combine_chunks()
     blob = pa.concat_arrays(blob.chunks) if isinstance(blob, pa.ChunkedArray) else blob
-    ends = np.frombuffer(blob.buffers()[1], dtype=np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
-    data = np.frombuffer(blob.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]]
-    ends = ends - ends[0]
+    data, ends = _laid_out(blob)
     row = np.repeat(np.arange(len(place)), last + 1)
     step = np.arange(len(row)) - np.repeat(np.cumsum(last + 1) - (last + 1), last + 1)
-    mine = (shift[row] - step) % splits[row] == split[row]
-    row, step = row[mine], step[mine]
     if not len(row):
         return None
     at = ends[row] + step
@@ -207,7 +248,7 @@ def _repeated_windows(table: pa.Table, min_bytes: int) -> pa.RecordBatch | None:
 
 
 def _edge_spans(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Batches are sorted by (key, split); a group may go over several batches."""
+    """Batches are sorted by key; a group may go over several batches."""
     waiting: list[pa.RecordBatch] = []
 
     def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -227,7 +268,7 @@ def _edge_spans(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[p
         last = int(ends[-2]) if len(ends) > 1 else 0
         if waiting:
             tail = waiting[-1].slice(waiting[-1].num_rows - 1)
-            same = all(tail.column(c)[0].as_py() == batch.column(c)[0].as_py() for c in ("key", "split"))
+            same = tail.column("key")[0].as_py() == batch.column("key")[0].as_py()
             if same and not last:
                 waiting.append(batch)
                 continue
@@ -239,6 +280,25 @@ def _edge_spans(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[p
         yield from flush(pa.Table.from_batches(waiting))
 
 
+def _large_spans(contexts: DataFrame, schema: str, path: str, min_bytes: int) -> DataFrame:
+    """Windows that are met again, under prefixes with very many stretches: dealt by window, never by prefix."""
+    contexts.mapInArrow(lambda b: _sides(b, min_bytes), f"{schema}, before long, after long").write.parquet(f"{path}/stretches")
+    stretches = contexts.sparkSession.read.parquet(f"{path}/stretches")
+
+    def repeated(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.count("*").alias("_n")).where("_n >= 2").repartition(*by, "_n")
+
+    side = F.explode(F.array("before", "after")).alias("side")
+    again = repeated(stretches.select(side).where("side is not null"), "side").select("side")
+    kept = (stretches.select("*", side).where("side is not null").join(again, "side")
+            .drop("side", "before", "after").dropDuplicates(["_id", "_h", "key", "place"]))
+    kept.write.parquet(f"{path}/kept")
+    id_type = contexts.schema["_id"].dataType.simpleString()
+    windows = contexts.sparkSession.read.parquet(f"{path}/kept").mapInArrow(
+        lambda b: _windows(b, min_bytes), f"alone boolean, _id {id_type}, _h int, value long, other long, span long")
+    return windows.where("alone").join(repeated(windows, "value", "other"), ["value", "other"]).select("_id", "_h", "span")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200) -> DataFrame:
     """Row per text with repeats: ``_id``, ``_h`` (hash of the text) and ``spans``, a list
     of longs holding start (upper bits) and length (lower 16 bits) of covered runs, which may
@@ -265,19 +325,24 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stretches = spark.read.parquet(f"{path}/stretches")
     copied = mixed.join(stretches.where("n >= 2").select("key", "stretch"), ["key", "stretch"]).select("_id", "_h", whole)
 
-    # One offset per split at most: windows of different offsets are never equal.
-    splits = stretches.groupBy("key").agg(
-        F.least(F.ceil(F.count("*") / STRETCHES_PER_GROUP), F.lit(min_bytes - SEED + 1)).cast("int").alias("splits")).repartition("key", "splits")
-    wanted = (stretches.join(splits, "key")
-              .groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
-              .agg(F.collect_list(F.struct("key", "splits", "n", F.col("one.place").alias("place"))).alias("wanted")))
+    # As many windows at most are compared in one task as STRETCHES_PER_GROUP stretches of 200 bytes have.
+    most = max(1, min(STRETCHES_PER_GROUP, STRETCHES_PER_GROUP * 169 // (min_bytes - SEED + 1)))
+    sizes = stretches.groupBy("key").agg((F.count("*") > most).alias("large")).repartition("key", "large")
+    sized = stretches.join(sizes, "key")
     blobs = rows.mapInArrow(lambda b: _squeeze(b, "_text"), f"_id {id_type}, _h int, _text binary")
     same = [F.col("w._id").eqNullSafe(F.col("b._id")), F.col("w._h") == F.col("b._h")]
-    contexts = (blobs.alias("b").join(wanted.alias("w"), same).select("w._id", "w._h", "b._text", "w.wanted")
-                .mapInArrow(lambda b: _contexts(b, min_bytes),
-                            f"key long, split int, splits int, alone boolean, _id {id_type}, _h int, place long, bytes binary"))
-    edges = (contexts.repartition("key", "split").sortWithinPartitions("key", "split")
+    context = f"key long, alone boolean, _id {id_type}, _h int, place long, bytes binary"
+
+    def contexts(asked: DataFrame) -> DataFrame:
+        wanted = (asked.groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
+                  .agg(F.collect_list(F.struct("key", "n", F.col("one.place").alias("place"))).alias("wanted")))
+        return (blobs.alias("b").join(wanted.alias("w"), same).select("w._id", "w._h", "b._text", "w.wanted")
+                .mapInArrow(lambda b: _contexts(b, min_bytes), context))
+
+    edges = (contexts(sized.where("not large")).repartition("key").sortWithinPartitions("key")
              .mapInArrow(lambda b: _edge_spans(b, min_bytes), f"_id {id_type}, _h int, span long"))
+    if not sizes.where("large").isEmpty():
+        edges = edges.unionAll(_large_spans(contexts(sized.where("large")), context, f"{path}/large", min_bytes))
     return alike.unionAll(copied).unionAll(edges).groupBy("_id", "_h").agg(F.collect_list("span").alias("spans"))
 
 

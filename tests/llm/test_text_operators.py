@@ -83,6 +83,29 @@ def test_repeats_with_split_groups(spark, monkeypatch):
     assert [got[i] for i in range(60)] == repeats_by_brute_force([t.encode() for t in texts], 120)
 
 
+def test_no_task_gathers_a_common_line(spark, monkeypatch):
+    """Of a line in very many texts, a group in one task holds few stretches."""
+    monkeypatch.setattr(suffix_dedup, "STRETCHES_PER_GROUP", 20)
+    rng = random.Random(2)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    line, near = noise(100), [noise(60) for _ in range(2)]
+    texts = [noise(150) + line + noise(150) for _ in range(150)] + [noise(80) + near[k % 2] + line + noise(90) for k in range(6)]
+    gathered = suffix_dedup._edge_spans
+
+    def checked(batches, min_bytes):  # runs in the workers
+        batches = list(batches)
+        keys = Counter(k for b in batches for k in b.column("key").to_pylist())
+        assert max(keys.values(), default=0) <= 20
+        yield from gathered(iter(batches), min_bytes)
+
+    monkeypatch.setattr(suffix_dedup, "_edge_spans", checked)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.h) for r in
+           suffix_dedup.cut_repeats(frame, min_bytes=120).select("*", F.sha2("text", 256).alias("h")).collect()}
+    assert [got[i] for i in range(len(texts))] == repeats_by_brute_force([t.encode() for t in texts], 120)
+    assert sum(n for _, n, *_ in got.values()) > 0
+
+
 def classes_by_brute_force(texts: list[str | None]) -> list[int]:
     bags = []
     for t in texts:
