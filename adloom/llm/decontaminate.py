@@ -7,8 +7,11 @@ reaches ``window`` words, the last ``window`` words occur in an item; items shor
 window match as a whole. A hash test of short word runs first picks the stretches in which a
 match is possible at all (it has no false negatives), so the automaton sees only those.
 
-Items are collected in blocks of about ``BLOCK_BYTES`` of text (split by hash), and each block is
-one pass of the documents: a benchmark of any size works, with bounded broadcasts.
+Items that say the same under one id count once, and long ones are cut into pieces that share all but one word of a
+window. They are collected in blocks of about ``BLOCK_BYTES`` of text (split by hash). One block is scanned
+lazily. Of several, each is collected, broadcast, scanned against the texts, its hits are written below the scratch
+folder, and it is dropped before the next one: the driver and the executors hold one block at a time. The
+hits of all blocks are then merged by text (by 128-bit fingerprint) and joined to the documents, which are read once a block.
 
 Null or wordless texts and items have no words. Repeated item ids count once, a null item id is
 written ``null``. Empty tables, repeated rows and extra columns of any name are fine.
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.llm.textops import LETTERS_DIGITS, LOWER, SpanHashes, some_rows, text_chunks, word_spans
+from adloom.session import scratch_dir
 
 BLOCK_BYTES = 2 << 20
 GRAM = 4
@@ -207,38 +211,95 @@ def _scan(batches: Iterator[pa.RecordBatch], at: int, automaton: ItemAutomaton)
             [*batch.schema.names, "n_words", "hits", "items"])
 
 
-def _automata(spark: SparkSession, items: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[ItemAutomaton]:
+def _item_pieces(batches: Iterator[pa.RecordBatch], window: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Items as their words; one of over ``most_bytes`` in pieces, of which each window of its words is in one."""
+    for batch in some_rows(batches):
+        names, texts = [], []
+        for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words = item_words(text)
+            if not words:
+                continue
+            first, end, size = 0, 0, 0
+            while end < len(words):
+                size += len(words[end]) + 1
+                end += 1
+                if end == len(words) or (size > most_bytes and end - first >= window):
+                    names.append(name)
+                    texts.append(b" ".join(words[first:end]).decode())
+                    first, size = end - window + 1, 0
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["id", "text"])
+
+
+def _item_blocks(items: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, int]:
+    """Different items as pieces (id, text), and the number of blocks they make."""
     rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"), F.col(text_col).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES)
+    most = max(1, BLOCK_BYTES // 4)
+    pieces = rows.mapInArrow(lambda b: _item_pieces(b, window, most), "id string, text string").distinct()
+    total = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return pieces, -(-total // BLOCK_BYTES)
+
+
+def _automaton(pieces: DataFrame, window: int) -> ItemAutomaton:
+    return ItemAutomaton([(r.id, item_words(r.text)) for r in pieces.collect()], window)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits of all blocks as disjoint runs, in the order of the text."""
+    for batch in some_rows(batches):
+        out = []
+        for hits in batch.column("hits").to_pylist():
+            runs: list[dict] = []
+            for h in sorted(hits, key=lambda h: (h["first"], h["words"])):
+                if runs and h["first"] <= runs[-1]["first"] + runs[-1]["words"]:
+                    last = runs[-1]
+                    last["words"] = max(last["words"], h["first"] + h["words"] - last["first"])
+                    last["end"] = max(last["end"], h["end"])
+                else:
+                    runs.append(dict(h))
+            out.append(runs)
+        at = batch.schema.get_field_index("hits")
+        yield batch.set_column(at, "hits", pa.array(out, batch.schema.field("hits").type))
+
+
+def _hits_by_text(texts: DataFrame, pieces: DataFrame, blocks: int, window: int) -> DataFrame:
+    """Row per different text with hits: ``_a``, ``_b`` (its fingerprint), hits and items."""
+    spark = texts.sparkSession
+    path = scratch_dir(spark, "item-hits")
+    pieces.write.parquet(f"{path}/pieces")
+    pieces = spark.read.parquet(f"{path}/pieces")
+    schema = f"_a long, _b long, text string, n_words long, hits {HIT}, items array<string>"
     for block in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
-        yield ItemAutomaton([(r.id, item_words(r.text)) for r in part], window)
+        part = pieces.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
+        shared = spark.sparkContext.broadcast(_automaton(part, window))
+        (texts.mapInArrow(lambda b, a=shared: _scan(b, 2, a.value), schema).where(F.size("hits") > 0)
+         .select("_a", "_b", "hits", "items").write.parquet(f"{path}/hits/block={block}"))
+        shared.destroy()
+    # Copies of a text hold the same hits, so one of each block does.
+    found = spark.read.schema(f"_a long, _b long, hits {HIT}, items array<string>, block int").parquet(f"{path}/hits").dropDuplicates(["_a", "_b", "block"])
+    return (found.groupBy("_a", "_b").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+            .mapInArrow(_merged, f"_a long, _b long, hits {HIT}, items array<string>").repartition("_a", "_b"))  # dealt anew, so that the join can split a hot text
 
 
 def match_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_id: str = "item_id",
                 item_text: str = "text", window: int = 10) -> DataFrame:
-    """``docs`` with n_words, hits (runs of hit words: first word, words, byte range) and
-    items (ids, sorted as strings) at the end; hits of different blocks may overlap."""
+    """``docs`` with n_words, hits (disjoint runs of hit words: first word, words, byte range) and
+    items (ids, sorted as strings) at the end."""
     spark = docs.sparkSession
     names = docs.columns
     at = names.index(text_col)
     out = docs.toDF(*(f"c{i}" for i in range(len(names))))
     base = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])
     kinds = T.StructType([*base, T.StructField("n_words", T.LongType()), *T._parse_datatype_string(f"hits {HIT}, items array<string>").fields])
-    automata = list(_automata(spark, items, item_id, item_text, window)) or [ItemAutomaton([], window)]
-    for k, automaton in enumerate(automata):
-        shared = spark.sparkContext.broadcast(automaton)
-        scanned = out.select(*base.names).mapInArrow(lambda b, a=shared: _scan(b, at, a.value), kinds) if k == 0 else None
-        if k:
-            before = ["n_words", "hits", "items"]
-            wide = out.select(*base.names, *(F.col(x).alias(f"_{x}") for x in before))
-            wider = T.StructType([*base, *(T.StructField(f"_{x}", kinds[x].dataType) for x in before), *(kinds[x] for x in before)])
-            scanned = wide.mapInArrow(lambda b, a=shared: _scan(b, at, a.value), wider).select(
-                *base.names, "n_words", F.concat("_hits", "hits").alias("hits"),
-                F.array_sort(F.array_distinct(F.concat("_items", "items"))).alias("items"))
-        out = scanned
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "n_words", "hits", "items")
+    pieces, blocks = _item_blocks(items, item_id, item_text, window)
+    shared = spark.sparkContext.broadcast(_automaton(pieces, window) if blocks == 1 else ItemAutomaton([], window))
+    found = out.mapInArrow(lambda b: _scan(b, at, shared.value), kinds)
+    if blocks > 1:
+        text = F.col(f"c{at}")
+        prints = [F.xxhash64(text).alias("_a"), F.xxhash64(F.lit(1), text).alias("_b")]
+        hits = _hits_by_text(out.where(text.isNotNull()).select(*prints, text.alias("text")), pieces, blocks, window)
+        found = (found.drop("hits", "items").select("*", *prints).join(hits, ["_a", "_b"], "left")
+                 .select(*base.names, "n_words", *(F.coalesce(x, F.array().cast(kinds[x].dataType)).alias(x) for x in ("hits", "items"))))
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "n_words", "hits", "items")
 
 
 def _union_words(hits: str = "hits") -> F.Column:

@@ -224,6 +224,35 @@ def test_item_matches(spark, monkeypatch, seed):
     assert untouched <= set(kept) and all(kept[i] == docs[i] for i in untouched)
 
 
+def test_item_blocks_one_at_a_time(spark, monkeypatch):
+    """Blocks are dropped before the next one comes; repeated and long items keep to the block's size."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 400)
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"{rng.choice('abc')}{rng.randrange(9)}" for _ in range(n))
+    items = [(k, text(14)) for k in range(40)] + [(7, text(900)), (8, "p q r")] + [(99, "one two three " * 5)] * 300
+    docs = [text(12) + " " + items[k][1] + " " + items[k + 1][1] + " " + text(5) for k in range(8)] + [items[40][1], "x p q r y", "one two three " * 9, None] + [items[3][1]] * 20
+    live, most, real = set(), [0], type(spark.sparkContext).broadcast
+
+    def counted(context, value):
+        shared = real(context, value)
+        if value.ids:
+            live.add(shared)
+            most[0] = max(most[0], len(live))
+            assert sum(len(w) + 1 for w in value.ids) < 8 * 400 and len(value.go) < 2_000
+        end = shared.destroy
+        shared.destroy = lambda *a: (live.discard(shared), end(*a))
+        return shared
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = decontaminate.match_items(frame, spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: r for r in found.withColumn("n", decontaminate._union_words()).collect()}
+    assert most == [1] and not live
+    assert [(got[i].n_words, got[i].n, got[i]["items"]) for i in range(len(docs))] == items_by_brute_force(docs, items)
+    for r in got.values():  # disjoint runs, whatever the blocks
+        assert all(a["first"] + a["words"] < b["first"] for a, b in zip(r.hits, r.hits[1:]))
+
+
 def test_statistics(docs):
     def stats(t):
         t = t or ""
