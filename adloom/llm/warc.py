@@ -5,8 +5,9 @@ has already, a revisit) and a metadata record; the latter name the capture in
 WARC-Concurrent-To. Spark's text writer writes the files (records end in two CRLF, which is its line
 separator here), so any file system Spark reaches will do.
 
-Reading: files are parsed by Content-Length, never by searching for separators. Captures are
-hash-joined with what names them in WARC-Concurrent-To, giving one nested row per capture.
+Reading: files are inflated member by member and parsed record by record by Content-Length, never by
+searching for separators. Captures are hash-joined with what names them in WARC-Concurrent-To, giving one nested row
+per capture with all of it. A file is read by one task; those written here end at ``FILE_BYTES`` of records.
 
 A null html is an empty payload; null ids and urls are kept as such. Repeated rows give a
 capture each. Equal payloads are found by their SHA-1, and a payload shared by a third of all
@@ -29,6 +30,9 @@ from adloom.session import scratch_dir
 
 END = "\r\n\r\n"
 PAGES_PER_FILE = 4_000
+FILE_BYTES = 64 << 20  # of records before compression, and those of one more page
+_FEED = 16 << 10
+_ROWS, _ROW_BYTES = 2_000, 16 << 20  # in a batch
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"  # the tables carry no capture time
 
@@ -47,8 +51,10 @@ def _capture_id(page: object, part: str = "") -> str:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records, and the number of the file among those of the task."""
+    file = size = 0
     for batch in some_rows(batches):
-        out = []
+        out, files = [], []
         for page, url, html, digest, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             html = html or ""
             capture, uri = _capture_id(page), None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%")
@@ -66,7 +72,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append(_record("revisit", own, _HTTP))
             out.append(_record("metadata", [("WARC-Record-ID", _capture_id(page, ":metadata")), *named, ("Content-Type", "application/warc-fields")],
                                f"payloadLength: {len(html.encode())}\r\n"))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+            files += [file] * 3
+            size += sum(len(x.encode()) for x in out[-3:])
+            if size >= FILE_BYTES:
+                file, size = file + 1, 0
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(files, pa.int32())], ["value", "file"])
 
 
 def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -78,21 +88,68 @@ def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_c
     firsts = (rows.where(F.octet_length("_html") >= least_bytes).groupBy("_digest").agg(F.min("_id").alias("_first"))
               .repartition("_digest", "_first"))  # dealt anew, so that the join can split a hot payload
     known = rows.join(firsts, "_digest", "left").select("_id", "_url", "_html", "_digest", "_first")
-    (known.mapInArrow(_records, "value string").write.option("lineSep", END).option("compression", "gzip")
+    (known.mapInArrow(_records, "value string, file int").write.partitionBy("file").option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", 3 * PAGES_PER_FILE).text(path))
 
 
-def _parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode().split("\r\n")
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The bytes of a plain file, or of all members of a gzipped one, in turn."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    member = None
+    for at in range(0, len(data), _FEED):  # what follows a member is copied, so little is fed at a time
+        part = data[at : at + _FEED]
+        while part:
+            if member is None:
+                part = part.lstrip(b"\0")  # padding between members
+                if not part:
+                    break
+                member = zlib.decompressobj(31)
+            out = member.decompress(part)
+            if out:
+                yield out
+            part = member.unused_data
+            if member.eof:
+                member = None
+    if member is not None:
+        raise ValueError("a gzip member is cut short")
+
+
+def _parsed(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    chunks, buffer, at = iter(chunks), bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        chunk = next(chunks, None)
+        if chunk is None:
+            return False
+        del buffer[:at]
+        at = 0
+        buffer.extend(chunk)
+        return True
+
+    while True:
+        while buffer[at : at + 1] in (b"\r", b"\n") or (at == len(buffer) and more()):  # record ends
+            at += buffer[at : at + 1] in (b"\r", b"\n")
+        if at == len(buffer):
+            return
+        seen = 0
+        while (end := buffer.find(b"\r\n\r\n", at + seen)) < 0:
+            seen = max(0, len(buffer) - at - 3)
+            if not more():
+                raise ValueError("a WARC header is cut short")
+        version, *lines = buffer[at:end].decode(errors="replace").split("\r\n")
         if not version.startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines)}
+            raise ValueError(f"no WARC record at {version[:40]!r}")
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
         size = int(headers["content-length"])
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + len(END)
+        at = end + 4
+        while len(buffer) - at < size:
+            if not more():
+                raise ValueError("a WARC block is cut short")
+        yield headers, bytes(buffer[at : at + size])
+        at += size
 
 
 def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
@@ -103,22 +160,22 @@ def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.
     kinds = [pa.string()] * 8 + [pa.map_(pa.string(), pa.string()), pa.int64(), pa.string(), pa.binary()]
     for batch in batches:
         for content in batch.column(0):
-            data = content.as_py()
-            data = zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
             rows: list[tuple] = []
-            for headers, block in _parsed(data):
+            held = 0
+            for headers, block in _parsed(_inflated(content.as_py())):
                 kind, size, digest, payload = headers["warc-type"], None, None, None
                 if kind == "response":
-                    payload = block[block.index(b"\r\n\r\n") + 4 :]
+                    payload = block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
                     size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
                 elif kind == "metadata":
-                    stated = dict(x.split(": ", 1) for x in block.decode().split("\r\n") if ": " in x)
+                    stated = dict(x.split(": ", 1) for x in block.decode(errors="replace").split("\r\n") if ": " in x)
                     size = int(stated["payloadLength"]) if "payloadLength" in stated else None
                 more = [(k, v) for k, v in headers.items() if k not in fields and k != "content-length"]
                 rows.append((*(headers.get(f) for f in fields), more, size, digest, payload if with_payload else None))
-                if len(rows) == 2_000:
+                held += len(payload or b"") if with_payload else 0
+                if len(rows) == _ROWS or held >= _ROW_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
 
@@ -131,16 +188,20 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 
 def captures(records: DataFrame) -> DataFrame:
     """Nested row per capture: record_id, type, target_uri, date, payload_digest, found_digest,
-    refers_to, payload_bytes, payload, and the request and metadata that are concurrent to it."""
+    refers_to, payload_bytes, payload, and the requests and metadata that are concurrent to it: the
+    least of each, and all in ``requests`` and ``metadata_records`` (in order; null if there are none)."""
     shown = ["record_id", "target_uri", "content_type", "payload_bytes"]
     others = (records.where(F.col("concurrent_to").isNotNull() & F.col("type").isin("request", "metadata"))
               .groupBy(F.col("concurrent_to").alias("capture"))
-              .agg(*(F.min(F.when(F.col("type") == k, F.struct(*shown))).alias(k) for k in ("request", "metadata")))
+              .agg(*(F.array_sort(F.collect_list(F.when(F.col("type") == k, F.struct(*shown)))).alias(k) for k in ("request", "metadata")))
+              .select("capture", *(F.get(k, F.lit(0)).alias(k) for k in ("request", "metadata")),
+                      F.col("request").alias("requests"), F.col("metadata").alias("metadata_records"))
               .repartition("capture", "request"))
     found = records.where(F.col("type").isin("response", "revisit", "resource"))
     return found.alias("f").join(others.alias("o"), F.col("record_id") == F.col("capture"), "left").select(
         "record_id", "type", "target_uri", "date", "payload_digest", "found_digest", "refers_to",
-        F.coalesce("f.payload_bytes", "o.metadata.payload_bytes").alias("payload_bytes"), "payload", "request", "metadata")
+        F.coalesce("f.payload_bytes", "o.metadata.payload_bytes").alias("payload_bytes"), "payload", "request", "metadata",
+        "requests", "metadata_records")
 
 
 def _page_of(capture: str, id_type: str) -> F.Column:

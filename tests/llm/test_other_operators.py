@@ -1,6 +1,8 @@
 """Toxicity, language, archives, tool calls, page text and the pipeline."""
 
 import base64
+import glob
+import gzip
 import hashlib
 import html
 import json
@@ -86,6 +88,35 @@ def test_archive_round_trip(spark):
     assert warc.captures(warc.read_records(spark, empty)).count() == 0
 
 
+def test_archive_of_a_member_per_record(spark, tmp_path):
+    def record(kind, name, block, to=None):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n" + (f"WARC-Concurrent-To: <{to}>\r\n" if to else "")
+        return f"{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    large = np.random.default_rng(0).bytes(200_000)
+    records = [record("warcinfo", "i", b"software: x\r\n")]
+    for k in range(300):
+        records += [record("response", f"r{k}", b"HTTP/1.1 200 OK\r\n\r\n" + (large if k == 7 else b"page %d" % k)), record("request", f"q{k}", b"GET / HTTP/1.1\r\n\r\n", f"r{k}"),
+                    record("metadata", f"m{k}", b"a: 1\r\n", f"r{k}"), record("metadata", f"n{k}", b"b: 1\r\n", f"r{k}")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    found = warc.read_records(spark, f"file://{tmp_path}")
+    assert found.count() == len(records)
+    got = {r.record_id: r for r in warc.captures(found).collect()}
+    assert {n: bytes(r.payload) for n, r in got.items()} == {f"<r{k}>": large if k == 7 else b"page %d" % k for k in range(300)}
+    assert all([m.record_id for m in got[f"<r{k}>"].metadata_records] == [f"<m{k}>", f"<n{k}>"] and len(got[f"<r{k}>"].requests) == 1 for k in range(300))
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records))[:-9])
+    with pytest.raises(Exception, match="cut short"):
+        warc.read_records(spark, f"file://{tmp_path}").count()
+
+
+def test_archive_files_are_bounded_by_bytes(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i}" + "y" * 20_000_000) for i in range(6)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archive(pages, f"file://{tmp_path}/w")
+    sizes = [len(gzip.open(f).read()) for f in glob.glob(f"{tmp_path}/w/**/*.gz", recursive=True)]
+    assert len(sizes) > 1 and max(sizes) < warc.FILE_BYTES + 21_000_000
+    assert warc.captures(warc.read_records(spark, f"file://{tmp_path}/w", with_payload=False)).count() == 6
+
+
 def test_archive_query(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
     first: dict[str, int] = {}
