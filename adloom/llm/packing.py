@@ -74,17 +74,21 @@ class Tokenizer:
     """Ids of a byte-level BPE file as packed little-endian 32-bit numbers.
 
     The tokenizer never joins across a single blank between two visible characters, so
-    texts are encoded in such parts and the parts' ids are kept for the next time."""
+    texts are encoded in such parts and the parts' ids are kept for the next time. Texts that
+    contain an added token of the file (such as an end-of-text mark) are encoded whole by its own model."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer as Model
 
         self._model = Model.from_file(path)
-        self._model.encode_special_tokens = True
+        added = {t.content for t in self._model.get_added_tokens_decoder().values()}
+        self._added = re.compile("|".join(map(re.escape, sorted(added)))) if added else None
         self._fast = _rank_encoder(path)
         self._known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        if self._added and self._added.search(text):
+            return self._packed(self._model.encode(text, add_special_tokens=False).ids)
         parts = _SINGLE_SPACE.split(text) if _SPACE_RUN.search(text) else text.split(" ")
         parts[1:] = [" " + p for p in parts[1:]]
         known = self._known
@@ -105,7 +109,10 @@ class Tokenizer:
         return b"".join(out)
 
     def _encode(self, part: str) -> bytes:
-        ids = self._fast(part) if self._fast else self._model.encode(part, add_special_tokens=False).ids
+        return self._packed(self._fast(part) if self._fast else self._model.encode(part, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
 
 

@@ -333,6 +333,17 @@ def test_tokenizer_is_the_files():
         assert np.frombuffer(t.encode(text), "<u4").tolist() == t._model.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_the_files():
+    import public_tokenizers
+    from tokenizers import Tokenizer as Model
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fresh, t = Model.from_file(path), packing.Tokenizer(path)
+    for text in ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "  <|endoftext|>  ", "<|endoftext", "plain words, 12 of them"]:
+        assert np.frombuffer(t.encode(text), "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids
+    assert 50256 in fresh.encode("x <|endoftext|> y", add_special_tokens=False).ids
+
+
 def test_empty_tables(spark, nothing):
     import public_tokenizers
 
