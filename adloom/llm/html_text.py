@@ -1,8 +1,10 @@
 """Main text of web pages from their structure and a host-wide suffix array.
 
 Pages are cut into blocks of text in page order. A block is *main* inside an article or main
-element, *chrome* inside navigation, headers, footers, asides, forms and elements whose class,
-id or role says so (adverts, notices, comments and the like), and *loose* otherwise. Scripts,
+element, *chrome* inside navigation, headers, footers, asides, forms that hold no such element, and elements of
+which a whole token of class, id or role says so (adverts, notices, comments and the like), and *loose* otherwise.
+Tokens never mark html, body, main and article elements, nor headers inside main ones. A main element inside
+a marked one is main again; so is an article there if the page has no other main text. Scripts,
 styles and comments are no text.
 
 The token streams outside main elements form a suffix array per host, in which every suffix is ordered
@@ -46,11 +48,14 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_MARKS = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_MARKS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_PARTS = re.compile(r"[-_:]+")
+_HOLDERS = {"article", "main"}
+_UNMARKED = {"html", "body", *_HOLDERS}
 _SPACE = re.compile(r"\s+")
+_FORM = re.compile(r"<form", re.I)
 
-MAIN, LOOSE, CHROME = 0, 1, 2
+MAIN, LOOSE, CHROME, HELD = 0, 1, 2, 3  # held: an article inside a marked element
 
 
 @dataclass
@@ -59,12 +64,47 @@ class Block:
     text: str
 
 
-def _is_chrome(name: str, attributes: str) -> bool:
-    if name in DROPPED:
-        return True
+def _is_marked(attributes: str, inside_main: bool = False) -> bool:
+    """Whether a token of class, id or role consists of such words (``ad``, ``cookie-notice``; not ``has-sidebar``)."""
     if "=" not in attributes:
         return False
-    return any(w in CHROME_WORDS for m in _MARKS.finditer(attributes) for w in _WORDS.findall(m[1].lower()))
+    for m in _MARKS.finditer(attributes):
+        for token in m[1].strip("\"'").lower().split():
+            if all(w in CHROME_WORDS for w in _PARTS.split(token)) and not (inside_main and token == "header"):
+                return True
+    return False
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, re.Match | None]]:
+    """Begin and end of the text before each tag, and the tag; the text of raw elements is left out."""
+    at = 0
+    while (tag := _TAG.search(page, at)) is not None:
+        yield at, tag.start(), tag
+        at = tag.end()
+        if tag[2] and tag[2].lower() in RAW:  # ends at its own end tag only
+            end = re.compile(rf"</{tag[2]}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            at = len(page) if end is None else end.end()
+    yield at, len(page), None
+
+
+def _holding_forms(page: str) -> set[int]:
+    """Where forms begin that hold an article or main element."""
+    found: set[int] = set()
+    if not _FORM.search(page):
+        return found
+    open_forms: list[int] = []
+    for _, _, tag in _tags(page):
+        if tag is None:
+            break
+        name = (tag[1] or tag[2] or "").lower()
+        if name == "form" and tag[2]:
+            open_forms.append(tag.start())
+        elif name == "form" and open_forms:
+            open_forms.pop()
+        elif name in _HOLDERS and tag[2]:
+            found.update(open_forms)
+            open_forms = []
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -85,18 +125,13 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(kind, text))
             parts.clear()
 
-    at, raw = 0, None
-    while True:
-        if raw is not None:  # the text of a raw element ends at its own end tag only
-            end = re.compile(rf"</{raw}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at, raw = (len(page) if end is None else end.end()), None
-        tag = _TAG.search(page, at)
+    forms = _holding_forms(page)
+    open_soft: list[bool] = []  # chrome by marks alone, outside main elements
+    for begin, end, tag in _tags(page):
+        if end > begin:
+            parts.append(page[begin:end])
         if tag is None:
-            parts.append(page[at:])
             break
-        if tag.start() > at:
-            parts.append(page[at : tag.start()])
-        at = tag.end()
         ended, begun = tag[1], tag[2]
         if ended is not None:
             name = ended.lower()
@@ -105,7 +140,9 @@ def blocks(page: str) -> list[Block]:
             if name in open_names:
                 while open_names.pop() != name:
                     open_kinds.pop()
+                    open_soft.pop()
                 open_kinds.pop()
+                open_soft.pop()
                 new = open_kinds[-1] if open_kinds else LOOSE
                 if new != kind:
                     close()
@@ -113,7 +150,6 @@ def blocks(page: str) -> list[Block]:
         elif begun is not None:
             name = begun.lower()
             if name in RAW:
-                raw = name
                 continue
             if name not in INLINE:
                 close()
@@ -121,20 +157,32 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
             if name in VOID or tag[3].endswith("/"):
                 continue
-            new = kind
-            if kind != CHROME:
-                inner_header = name == "header" and kind == MAIN
-                if _is_chrome(name, tag[3]) and not inner_header:
-                    new = CHROME
-                elif name in ("article", "main"):
-                    new = MAIN
+            new, soft = kind, bool(open_soft) and open_soft[-1]
+            within = kind in (MAIN, HELD)
+            marks = name not in _UNMARKED and _is_marked(tag[3], within)
+            if name in DROPPED and not (name == "header" and within) and tag.start() not in forms:
+                new, soft = CHROME, False
+            elif kind == CHROME:
+                if soft and name == "main":
+                    new, soft = MAIN, False
+                elif soft and name == "article" and not _is_marked(tag[3]):
+                    new, soft = HELD, False
+            elif marks:
+                new, soft = CHROME, not within
+            elif name in _HOLDERS and kind != HELD:
+                new = MAIN
             if name not in INLINE or new != kind:
                 open_names.append(name)
                 open_kinds.append(new)
+                open_soft.append(soft)
                 if new != kind:
                     close()
                     kind = new
     close()
+    held = CHROME if any(b.kind == MAIN for b in out) else MAIN
+    for block in out:
+        if block.kind == HELD:
+            block.kind = held
     return out
 
 

@@ -194,6 +194,19 @@ def test_blocks(page, want):
     assert [b.text for b in html_text.blocks(page) if b.kind != html_text.CHROME] == want
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html class='no-ads'><body class='has-sidebar'><nav>no</nav><main>a</main></body>", ["a"]),
+    ("<body class='sidebar'><article>a</article>", ["a"]), ("<div id='page' class='menu-open'><article>a</article>b</div>", ["a", "b"]),
+    ("<article class='post comments-open'>a</article>", ["a"]), ("<div class='menu'>no<main><h1>a</h1>b</main>no</div>c", ["a", "b", "c"]),
+    ("<div class='widget'>no<article>a</article>no</div>", ["a"]), ("<div class='sidebar'><article>no</article></div><main>a</main>", ["a"]),
+    ("<div class='comments'><article class='comment'>no</article></div>a", ["a"]), ("<aside><article>no</article></aside>a", ["a"]),
+    ("<form id='aspnetForm'><input><header>no</header><article>a</article></form>", ["a"]), ("<form>no</form><form><main>a</main><form>no</form></form>", ["a"]),
+    ("<form>no<script>'<article>'</script><!-- <main> --></form>a", ["a"]), ("<article><div class='entry-header'><h1>T</h1></div>x</article>", ["T", "x"]),
+    ("<article><div class='header'>T</div>x<div class='comments'><article>no</article></div></article>", ["T", "x"]), ("<div data-role='menu'>a</div>", ["a"])])
+def test_blocks_of_marked_wrappers(page, want):
+    assert [b.text for b in html_text.blocks(page) if b.kind != html_text.CHROME] == want
+
+
 def test_host_repeats(spark):
     wide = "Site wide words that are on every page of this host here"
     page = lambda i: f"<div>{wide}</div><div>{' '.join(f'w{i}.{k}' for k in range(12))}</div>"
