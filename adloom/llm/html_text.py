@@ -8,18 +8,20 @@ a marked one is main again; so is an article there if the page has no other main
 styles and comments are no text.
 
 The token streams outside main elements form a suffix array per host, in which every suffix is ordered
-by the fingerprint of its first ``RUN`` tokens: suffixes of distinct pages that agree so
-far are repeated substrings. Each task sorts the suffixes of its own pages and keeps one row
-per distinct prefix with the least and greatest page; the shuffle merges these arrays, so a
-host with a third of all pages is one row per task and prefix. Runs of loose tokens covered by substrings of other pages are
-removed and unique runs stay. Main blocks are kept whatever repeats, chrome goes in any case.
-
-A null or empty html gives an empty text; a null url is a host of its own. Repeated rows are no
-distinct pages (equal id and url). An empty table gives none.
+by the fingerprint of its first ``RUN`` tokens. Pages of a host with equal text (copies under other
+addresses) count as one, by one of their streams. Each task sorts the suffixes of its own pages and keeps one row
+per distinct prefix with the number of pages; the shuffle merges these arrays, so a
+host with a third of all pages is one row per task and prefix. A prefix is repeated if at least ``LEAST_PAGES`` pages and the
+share ``SHARE`` of the host's pages hold it. Loose blocks that repeated prefixes cover as a whole are removed, and
+inside others covered runs of ``LONG_RUN`` tokens or more. A page of which that would leave nothing keeps its
+loose text. Main blocks are kept whatever repeats, chrome goes in any case.
+
+A null or empty html gives an empty text; a null url is a host of its own. An empty table gives none.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 import zlib
@@ -32,8 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.textops import mix, some_rows
+from adloom.session import scratch_dir
 
 RUN = 8  # tokens
+LONG_RUN = 24
+LEAST_PAGES, SHARE = 3, 0.05  # of a host
 
 # Element names and words of class, id and role attributes that mark what is not main text.
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes"}
@@ -208,10 +213,6 @@ def _host_seed(url: str | None) -> np.uint64:
     return np.uint64(hash_of(host))
 
 
-def _page_seed(page: object, url: str | None) -> int:
-    return int(mix(np.array([hash_of(f"{page} {url}")], dtype=np.uint64)).view(np.int64)[0])
-
-
 def _streams(found: list[Block]) -> tuple[list[str], list[tuple[int, int, int]]]:
     """Tokens outside main blocks, and (block, first token, tokens) of the loose ones."""
     tokens: list[str] = []
@@ -225,24 +226,54 @@ def _streams(found: list[Block]) -> tuple[list[str], list[tuple[int, int, int]]]
     return tokens, loose
 
 
+def _page_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host, fingerprint of the text and tokens outside main blocks, of pages with enough of them."""
+    for batch in some_rows(batches):
+        hosts, prints, streams = [], [], []
+        for url, html in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            found = blocks(html or "")
+            tokens, _ = _streams(found)
+            if len(tokens) >= RUN:
+                text = "\n\n".join(b.text for b in found if b.kind != CHROME)
+                hosts.append(_host_seed(url))
+                prints.append(hashlib.blake2b(text.encode(), digest_size=16).digest())
+                streams.append(" ".join(tokens))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.array(hosts, np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(streams, pa.string())], ["host", "print", "stream"])
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sorted array for each run of pages: prefix, least and greatest page."""
+    """One sorted array for each run of pages: prefix, host, pages."""
     for batch in some_rows(batches):
-        keys, pages = [], []
-        for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            tokens, _ = _streams(blocks(html or ""))
-            key = _fingerprints(tokens)
-            if len(key):
-                keys.append(mix(np.unique(key) ^ _host_seed(url)))
-                pages.append(np.full(len(keys[-1]), _page_seed(page, url)))
+        keys, hosts = [], []
+        for host, stream in zip(batch.column(0).to_numpy(), batch.column(1).to_pylist(), strict=True):
+            key = _fingerprints(stream.split(" "))
+            keys.append(mix(np.unique(key) ^ np.int64(host).view(np.uint64)))
+            hosts.append(np.full(len(keys[-1]), host))
         if not keys:
             continue
-        key, page = np.concatenate(keys), np.concatenate(pages)
+        key, host = np.concatenate(keys), np.concatenate(hosts)
         order = np.argsort(key, kind="stable")
-        key, page = key[order], page[order]
+        key, host = key[order], host[order]
         at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[at].view(np.int64)), pa.array(np.minimum.reduceat(page, at)), pa.array(np.maximum.reduceat(page, at))], ["key", "low", "high"])
+            [pa.array(key[at].view(np.int64)), pa.array(host[at]), pa.array(np.diff(np.append(at, len(key))))], ["key", "host", "n"])
+
+
+def _removed(found: list[Block], gone: np.ndarray, loose: list[tuple[int, int, int]]) -> dict[int, np.ndarray]:
+    """By loose block, the tokens to leave out: all, or long runs; none if nothing of the page would be left."""
+    out = {}
+    for k, first, n in loose:
+        own = gone[first : first + n].copy()
+        if not own.all():
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8)))
+            for a, b in edges.reshape(-1, 2):
+                if b - a < LONG_RUN:
+                    own[a:b] = False
+        out[k] = own
+    if all(b.kind != MAIN for b in found) and all(x.all() for x in out.values()):
+        return {}
+    return out
 
 
 def _joined(found: list[Block], covered: dict[int, np.ndarray] | None = None) -> str:
@@ -309,7 +340,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.zeros(len(tokens), dtype=bool)
             for at in repeated or []:
                 gone[at : at + RUN] = True
-            texts.append(_joined(found, {k: gone[first : first + n] for k, first, n in loose}))
+            texts.append(_joined(found, _removed(found, gone, loose)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["_id", "_url", "text"])
 
 
@@ -317,8 +348,14 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     """Row per page: the id and url columns and ``text``."""
     id_type = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).alias("_html"))
-    repeated = (rows.mapInArrow(_suffixes, "key long, low long, high long").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-                .where("low <> high").select("key", F.col("low").alias("_low")).repartition("key", "_low").select("key"))
+    path = scratch_dir(pages.sparkSession, "page-streams")
+    (rows.mapInArrow(_page_streams, "host long, print binary, stream string").groupBy("host", "print").agg(F.min("stream").alias("stream"))
+     .select("host", "stream").write.option("compression", "zstd").parquet(path))
+    streams = pages.sparkSession.read.schema("host long, stream string").parquet(path)
+    hosts = (streams.groupBy("host").agg(F.greatest(F.lit(LEAST_PAGES), F.ceil(F.count("*") * SHARE)).alias("least"))
+             .repartition("host", "least"))  # dealt anew, so that the join can split a hot host
+    repeated = (streams.mapInArrow(_suffixes, "key long, host long, n long").groupBy("key", "host").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_PAGES)
+                .join(hosts, "host").where(F.col("n") >= F.col("least")).select("key", "n").repartition("key", "n").select("key"))
     loose = rows.mapInArrow(_loose_suffixes, f"_id {id_type}, _url string, key long, at int")
     found = loose.join(repeated, "key").groupBy("_id", "_url").agg(F.collect_set("at").alias("_at"))
     plain = rows.mapInArrow(_plain, f"_id {id_type}, _url string, text string")

@@ -218,6 +218,21 @@ def test_host_repeats(spark):
     assert got == [*enumerate(unique), (9, ""), (10, ""), (11, f"{wide}\n\n{unique[0]}"), (12, wide), (13, wide), (14, lone), (14, lone)]
 
 
+def test_copies_and_quotes_are_no_host_repeats(spark):
+    words = lambda name, n: " ".join(f"{name}.{k}" for k in range(n))
+    wide, quote, long = words("wide", 12), words("quote", 10), words("long", 30)
+    text = {i: f"<div>{wide}</div><div>{words(f'p{i}', 20)}</div>" for i in range(6)}
+    rows = [(i, f"http://h.x/{i}", t) for i, t in text.items()] + [(10 + k, f"http://h.x/0?print={k}", text[0]) for k in range(4)]  # copies of page 0
+    rows += [(20 + k, f"http://h.x/q{k}", f"<div>{words(f'q{k}', 9)} {quote} {words(f'r{k}', 9)}</div>") for k in range(3)]
+    rows += [(30 + k, f"http://h.x/l{k}", f"<div>{words(f'l{k}', 9)} {long}</div>") for k in range(3)]
+    rows += [(40 + k, f"http://two.x/{k}", f"<div>{words('same', 40)}</div><div>{words('part', 9) if k else ''}</div>") for k in range(2)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == words(f"p{i}", 20) for i in range(6)) and all(got[10 + k] == words("p0", 20) for k in range(4))
+    assert all(got[20 + k] == f"{words(f'q{k}', 9)} {quote} {words(f'r{k}', 9)}" for k in range(3))
+    assert all(got[30 + k] == words(f"l{k}", 9) for k in range(3))
+    assert got[40] == words("same", 40) and got[41] == f"{words('same', 40)}\n\n{words('part', 9)}"
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     names, counts = docs.columns, [docs.count()]
