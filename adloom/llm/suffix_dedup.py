@@ -1,4 +1,4 @@
-"""Removal of long repeated byte strings through a logarithmic family of suffix arrays.
+"""Removal of long repeated byte strings by winnowing, with a logarithmic family of prefix fingerprints.
 
 Every byte covered by a string of ``min_bytes`` that also starts anywhere else (same text
 included) is removed; strings are judged on the input. Matches never cross texts.
@@ -9,11 +9,11 @@ position, so equal windows name the same suffix. A suffix entry holds the finger
 its first ``SEED`` bytes (its place in the array), and the fingerprint of the whole stretch
 that its windows cover.
 
-*Index family.* In each task every chunk of new texts gets its own suffix array; it is
-merge-scanned into the levels already there, and levels of about equal size merge, so the
-task keeps O(log chunks) sorted arrays. What a task hands to the shuffle is one array with a
-row per distinct prefix, and the shuffle merges the arrays of all tasks. A prefix held by
-a third of all texts is one row per task.
+*Index family.* In each task every chunk of new texts gets its own sorted array of prefix
+fingerprints and counts, and levels of about equal size merge, so the task keeps O(log chunks) sorted arrays. What a
+task hands to the shuffle is one array with a row per distinct prefix, and the shuffle merges the arrays of all tasks.
+A prefix held by a third of all texts is one row per task. The levels are not kept after the run: a new batch
+is matched by a run over old and new texts.
 
 *Long matches.* Stretches under a repeated prefix that are all alike repeat as a whole. Only
 stretches that differ under one prefix (the ends of passages, edited copies) are compared
