@@ -43,7 +43,7 @@ _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _printable_bytes() -> dict[str, int]:
+def byte_signs() -> dict[str, int]:
     """The signs that stand for the 256 bytes in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     signs = {chr(b): b for b in plain}
@@ -65,7 +65,7 @@ def _rank_encoder(path: str):
     if (model.get("type", "BPE") != "BPE" or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space")
             or not cut.get("use_regex", True) or model.get("dropout") or model.get("ignore_merges") or order != sorted(order)):
         return None
-    signs, special = _printable_bytes(), {t["content"] for t in spec.get("added_tokens", [])}
+    signs, special = byte_signs(), {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(signs[c] for c in token): i for token, i in vocab.items() if token not in special}
     return tiktoken.Encoding("byte-level", pat_str=CUT_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from adloom.llm import bag_minhash, decision_list, decontaminate, html_text, language, packing, suffix_dedup, tool_calls, toxicity, warc
+from adloom.llm import (bag_minhash, decision_list, decontaminate, hard_negatives, html_text, language, line_dedup, packing, suffix_dedup,
+                        token_alignment, tool_calls, toxicity, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_near_duplicates": bag_minhash.op8_near_duplicates,
     "op9_tool_calls": tool_calls.op9_tool_calls,
     "op10_html_text": html_text.op10_html_text,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -63,4 +67,23 @@ ORACLE: dict[str, str] = {
       FROM judged JOIN placed USING (conv_id, turn) LEFT JOIN answer USING (conv_id, turn)
       UNION ALL SELECT conv_id, concat('call-', conv_id, '-', turn), turn + 1, NULL, NULL, NULL, n, true, false, 'no call', NULL
       FROM answer ANTI JOIN call USING (conv_id, turn)""",
+    "op11_hard_negatives": """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      pair AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+      positive AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM pair WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+      SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+        other AS negative_id, positive_score, score AS negative_score
+      FROM positive JOIN pair USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+      QUALIFY rank <= 3""",
+    "op12_line_dedup": f"""WITH line AS (SELECT n, k, lines[k] AS line, {_LOWER.format("trim(lines[k], e' \\t\\n\\x0B\\f\\r')")} AS key
+        FROM (SELECT n, lines, unnest(range(1, len(lines) + 1)) AS k
+          FROM (SELECT row_number() OVER () AS n, string_split(coalesce(text, ''), e'\n') AS lines FROM documents))),
+      common AS (SELECT key FROM line WHERE key <> '' GROUP BY key HAVING count(DISTINCT n) >= 10),
+      kept AS (SELECT n, count(*) AS n_lines, count(c.key) AS n_dropped, coalesce(string_agg(line, e'\n' ORDER BY k) FILTER (c.key IS NULL), '') AS text
+        FROM line LEFT JOIN common c ON line.key = c.key GROUP BY n)
+      SELECT doc_id, n_lines, n_dropped, sha256(kept.text) AS kept_sha256
+      FROM (SELECT row_number() OVER () AS n, doc_id FROM documents) JOIN kept USING (n)""",
 }

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
 
@@ -47,6 +48,19 @@ def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
             yield batch.slice(at, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = CHUNK_BYTES, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``limit`` bytes of text in a column; a longer text comes alone."""
+    for batch in batches:
+        texts = batch.column(column).cast(pa.large_string()).fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            done = ends[first - 1] if first else 0
+            last = min(max(int(np.searchsorted(ends, done + limit, side="right")), first + 1), first + rows)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))
