@@ -4,35 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.operators.ranks import LIMIT, with_rank
+
 # A collecting task may hold 128 such arrays at once before Spark turns to sorting.
 PAGE_SIZE = 10_000
-RANGES_PER_DOUBLING = 64
 
 
 def nest(parents: DataFrame, children: DataFrame, key: str, fields: Sequence[str], order: str,
-         into: str, page_size: int = PAGE_SIZE) -> DataFrame:
+         into: str, page_size: int = PAGE_SIZE, limit: int = LIMIT) -> DataFrame:
     """Every parent with its children as ``into: array<struct<order, fields>>``.
 
     A parent's children in order are cut into pages of ``page_size``: one row per page, numbered
     from 0, and one empty page for a parent without children. Page and content depend on
     the parent's own children only, and reading pages in turn gives them in order.
 
-    No task holds all children of a hot key: a child's number is its rank among the children of its parent
-    in one range of ordinals (at most 63 * RANGES_PER_DOUBLING ranges, whatever the size) plus
-    the counts of the parent's earlier ranges. ``order`` is a non-negative bigint.
+    No task holds all children of a hot key: a child's number is found in ranges of at most ``limit``
+    children (:func:`~adloom.operators.ranks.with_rank`). ``order`` is a non-negative bigint.
     """
-    ordinal_range = F.floor(F.log2(F.col(order) + 1) * RANGES_PER_DOUBLING)
-    rows = children.filter(F.col(key).isNotNull()).select(key, order, *fields, ordinal_range.alias("_range"))
-    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n")).select(
-        key, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy(key, "_range").orderBy(order)) - 1
-    numbered = rows.withColumn("_within", within).join(starts, [key, "_range"])
+    rows = children.filter(F.col(key).isNotNull()).select(key, order, *fields)
+    numbered = with_rank(rows, [key], order, "_number", limit=limit)
     pages = (
-        numbered.groupBy(key, F.floor((F.col("_start") + F.col("_within")) / page_size).cast("bigint").alias("page"))
+        numbered.groupBy(key, F.expr(f"_number div {page_size}").alias("page"))
         .agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias(into))
     )
     empty = F.array().cast(pages.schema[into].dataType)

@@ -2,36 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Ordinals are cut into ranges that widen with the ordinal: this many per doubling.
-RANGES_PER_DOUBLING = 64
+from adloom.operators.ranks import LIMIT, with_rank
 
 
 def first_appearance_ids(df: DataFrame, value: str, ordinal: str, id_name: str,
-                         keep_null: bool = False) -> DataFrame:
-    """One row per distinct value with a dense id by first appearance.
+                         keep_null: bool = False, limit: int = LIMIT) -> DataFrame:
+    """One row per distinct value with a dense id by first appearance; ``ordinal`` is a non-negative bigint.
 
-    A dense id needs a global rank. Ranking happens inside ordinal ranges, in
-    parallel; an id is the rank in its range plus the number of values in all
-    earlier ranges. There are at most 63 * RANGES_PER_DOUBLING = 4,032 ranges
-    whatever the data size, so the single-task running sum over them and the
-    broadcast of its result are bounded. ``ordinal`` is a non-negative bigint.
-    """
+    A dense id needs a global rank. It is worked out in ranges of at most ``limit`` values, in parallel, by
+    :func:`~adloom.operators.ranks.with_rank`. Values that first appear at one ordinal follow their own order."""
     source = df if keep_null else df.filter(F.col(value).isNotNull())
-    firsts = (
-        source.groupBy(value).agg(F.min(ordinal).alias("_first"))
-        .withColumn("_range", F.floor(F.log2(F.col("_first") + 1) * RANGES_PER_DOUBLING))
-    )
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        firsts.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    in_range = Window.partitionBy("_range").orderBy("_first", value)
-    return (
-        firsts.withColumn("_rank", F.row_number().over(in_range))
-        .join(F.broadcast(offsets), "_range")
-        .select((F.col("_rank") + F.col("_offset")).cast("bigint").alias(id_name), value)
-    )
+    firsts = source.groupBy(value).agg(F.min(ordinal).alias("_first"))
+    return with_rank(firsts, [], "_first", "_rank", limit=limit, ties=[value]).select((F.col("_rank") + 1).alias(id_name), value)

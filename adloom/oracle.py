@@ -425,7 +425,8 @@ ORACLE: dict[str, str] = {
         FROM changes WHERE event_id % 13 <> 0 AND created_at IS NULL""",
     "tweet_dead_letters": "SELECT translate(coalesce(text, ''), chr(10) || chr(13), '  ') AS value FROM conversations WHERE role = 'system'",
     "wiki_table": f"""WITH {WIKI} SELECT domain, strftime(CAST(created_at[:19] AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS created_at,
-        page_title, max(user_id) AS user_id FROM kept WHERE created_at IS NOT NULL GROUP BY ALL""",
+        page_title, max({{'arrival': event_id % 3, 'user_id': user_id}}).user_id AS user_id
+      FROM kept WHERE created_at IS NOT NULL GROUP BY ALL""",
     "tweet_minutes": """
       WITH sent AS (SELECT role AS author_id, coalesce(text, '') AS text,
         CASE WHEN role <> 'system' THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 20 + turn) END AS ts
@@ -438,8 +439,66 @@ ORACLE: dict[str, str] = {
 # Stored and read back, these give what their computed twins give.
 ORACLE["json_export"] = ORACLE["cost_efficiency"]
 ORACLE["csv_reviews"] = ORACLE["product_stats"]
-ORACLE["review_upsert"] = f"""SELECT product_id, review_date, review_id, customer_id,
-    CASE WHEN star_rating >= 3 THEN 1 ELSE star_rating END AS star_rating, stage
-  FROM ({ORACLE["reviews_by_product"]}) CROSS JOIN (VALUES ('before'), ('folded')) AS stages(stage)"""
+ORACLE["review_upsert"] = f"""WITH clean AS ({ORACLE["reviews_by_product"]})
+  SELECT product_id, review_date, review_id, customer_id,
+    CASE WHEN star_rating >= 3 THEN 1 WHEN star_rating = 2 AND stage = 'later' THEN 5 ELSE star_rating END AS star_rating, stage
+  FROM clean CROSS JOIN (VALUES ('before'), ('folded'), ('later')) AS stages(stage)
+  UNION ALL SELECT product_id, review_date, concat(review_id, '-again'), customer_id, star_rating, 'later' FROM clean"""
 ORACLE["campaign_mart"] = ORACLE["campaign_summary"]
 ORACLE["stored_documents"] = ORACLE["top_categories"]
+ORACLE["campaign_state"] = ORACLE["campaign_summary"]
+ORACLE["advertiser_state"] = f"""WITH {AD_EVENTS}, {CAMPAIGNS}
+  SELECT advertiser_id, count(event_id) AS impressions, CAST({CLICKS} AS BIGINT) AS clicks, CAST(sum(ad_cost) AS DOUBLE) AS total_spend,
+    {CTR} AS ctr, {pct("sum(ad_revenue)", "sum(ad_cost)", 1)} AS roas
+  FROM ad_events JOIN campaigns USING (campaign_id) GROUP BY advertiser_id"""
+
+
+def _inferred(source: str, table: str, columns: dict[str, str]) -> str:
+    """The narrowest kind that all filled cells of a column fit; ``columns`` maps names to SQL."""
+    fits = {
+        "boolean": "regexp_full_match(lower(c), 'true|false')",
+        "int": "regexp_full_match(c, '[+-]?[0-9]+') AND TRY_CAST(c AS INTEGER) IS NOT NULL",
+        "bigint": "regexp_full_match(c, '[+-]?[0-9]+') AND TRY_CAST(c AS BIGINT) IS NOT NULL",
+        "decimal(38,0)": "regexp_full_match(c, '[+-]?[0-9]+') AND TRY_CAST(c AS DECIMAL(38,0)) IS NOT NULL",
+        "double": "regexp_full_match(c, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')",
+        "date": "regexp_full_match(c, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(c AS DATE) IS NOT NULL",
+        "timestamp_ntz": "regexp_full_match(c, '[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-9]{2})?') AND TRY_CAST(c AS TIMESTAMP) IS NOT NULL",
+    }
+    kind = "CASE WHEN count(c) = 0 THEN 'string' " + " ".join(
+        f"WHEN count(*) FILTER ({test}) = count(c) THEN '{name}'" for name, test in fits.items()) + " ELSE 'string' END"
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{name}' AS column_name, {kind} AS data_type, count(*) AS cells, count(c) AS filled
+        FROM (SELECT nullif(trim({sql}), '') AS c FROM {source})""" for name, sql in columns.items())
+
+
+_QUOTED = {name: tuple(f'"{c}"' for c in columns) for name, columns in {
+    "events": ("EventID", "UserID", "CampaignName", "AdvertiserName", "CampaignTargetingInterest", "Device", "Location", "Timestamp",
+               "BidAmount", "AdCost", "AdRevenue", "WasClicked", "ClickTimestamp"),
+    "users": ("UserID", "Age", "Gender", "Location", "Interests", "SignupDate"),
+    "campaigns": ("CampaignID", "CampaignName", "AdvertiserName", "CampaignStartDate", "CampaignEndDate", "TargetingCriteria",
+                  "AdSlotSize", "Budget", "RemainingBudget")}.items()}
+_REVIEW_CELLS = {"product_id": "product_id", "review_date": "raw_date", "review_id": "review_id", "customer_id": "customer_id",
+                 "star_rating": "coalesce(CAST(star_rating AS VARCHAR), 'none')", "review_headline": "review_headline",
+                 "review_body": "review_body", "verified_purchase": "verified_purchase"}
+ORACLE["csv_inferred_types"] = f"""WITH {RAW_USERS}, {RAW_CAMPAIGNS}, {RAW_EVENTS}, {RAW_REVIEWS}
+  """ + " UNION ALL ".join([
+    *(_inferred(f"raw_{table}", table, {c.strip('"'): c for c in columns} | ({"ingest_ord": "CAST(ingest_ord AS VARCHAR)"} if table != "events" else {}))
+      for table, columns in _QUOTED.items()),
+    _inferred("raw_reviews", "reviews", _REVIEW_CELLS)])
+ORACLE["csv_typed_campaigns"] = f"""WITH {RAW_CAMPAIGNS} SELECT CAST(CampaignID AS INTEGER) AS CampaignID, CampaignName, AdvertiserName,
+    CampaignStartDate, CampaignEndDate, TargetingCriteria, AdSlotSize, CAST(Budget AS DOUBLE) AS Budget,
+    CAST(RemainingBudget AS DOUBLE) AS RemainingBudget FROM raw_campaigns"""
+_KINDS = """CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'bigint' ELSE lower(type) END"""
+ORACLE["message_fields"] = f"""WITH {WIKI},
+  sent AS (SELECT 'wiki' AS topic, CASE WHEN event_id % 13 = 0 THEN substring(value, 1, 40) ELSE value END AS value FROM (
+      SELECT event_id, concat('{{"meta":{{"domain":"', domain, '"', CASE WHEN created_at IS NOT NULL THEN concat(',"dt":"', created_at, '"') ELSE '' END,
+        '}},"performer":{{"user_text":"', user_id, '","user_is_bot":', CASE WHEN user_is_bot THEN 'true' ELSE 'false' END,
+        '}},"page_title":"', page_title, '"}}') AS value FROM changes)
+    UNION ALL SELECT 'tweets', CAST(to_json(map_from_entries(list_filter([('author_id', role), ('text', text), ('created_at', 'x'), ('lang', 'en')],
+        lambda x: x[2] IS NOT NULL))) AS VARCHAR) FROM conversations)
+  SELECT topic, fullkey AS path, {_KINDS} AS kind, count(*) AS rows
+  FROM (SELECT topic, value FROM sent WHERE json_valid(value)) s, json_tree(s.value) GROUP BY ALL
+  UNION ALL SELECT topic, '$', 'unreadable', count(*) FROM sent WHERE NOT json_valid(value) GROUP BY topic"""
+ORACLE["open_tweets"] = """SELECT role AS author, text, concat('{"created_at":"', CASE WHEN role IS DISTINCT FROM 'system' THEN
+      strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 20 + turn), '%Y-%m-%dT%H:%M:%S') ELSE 'some day' END, '","lang":"en"}') AS rest
+  FROM conversations"""

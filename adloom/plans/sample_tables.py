@@ -184,8 +184,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _lineitem_with(spark, sf_dir, needs).select(*[F.expr(RAW_REVIEW[c][0]).alias(c) for c in wanted])
 
 
-def wiki_changes(events: DataFrame) -> DataFrame:
-    """Interaction log as wiki change messages. Works on batches and on streams.
+def wiki_changes(events: DataFrame, *keep: str) -> DataFrame:
+    """Interaction log as wiki change messages, with the columns to ``keep``. Works on batches and on streams.
 
     Titles repeat within a minute, so keys collide; every 13th message is cut short
     and every 17th lacks its time."""
@@ -201,14 +201,14 @@ def wiki_changes(events: DataFrame) -> DataFrame:
                  (F.col("event_type") == "error").alias("user_is_bot")).alias("performer"),
         title.alias("page_title")))
     cut = F.when(F.col("event_id") % 13 == 0, F.substring(message, 1, 40)).otherwise(message)
-    return events.select(cut.alias("value"))
+    return events.select(*keep, cut.alias("value"))
 
 
-def tweets(conversations: DataFrame) -> DataFrame:
-    """Conversation turns as tweet messages; system turns carry no readable time."""
+def tweets(conversations: DataFrame, *keep: str) -> DataFrame:
+    """Conversation turns as tweet messages, with the columns to ``keep``; system turns carry no readable time."""
     seconds = F.col("conv_id") * 20 + F.col("turn")
     created = text.iso_text(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds))
-    return conversations.select(F.to_json(F.struct(
+    return conversations.select(*keep, F.to_json(F.struct(
         F.col("role").alias("author_id"), "text",
         F.when(F.col("role") == "system", F.lit("some day")).otherwise(created).alias("created_at"),
         F.lit("en").alias("lang"))).alias("value"))

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from adloom import schemas, session
 from adloom.functions import text
 from adloom.operators import profile
-from adloom.plans import ad_kpis, ad_marts, documents, etl, reviews, star_schema
+from adloom.plans import ad_kpis, ad_marts, documents, etl, live_marts, reviews, star_schema
 from adloom.plans import sample_tables as t
-from adloom.sources import files, messages, tables
-from adloom.streaming import keyed_sink, tweets, wiki
+from adloom.sources import files, inference, messages, open_messages, tables
+from adloom.streaming import keyed_sink, states, tweets, wiki
 from adloom.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -385,29 +385,27 @@ def keyed_review_pages(spark: SparkSession, sf: str) -> DataFrame:
 REVIEW_COLUMNS = "product_id string, review_date date, review_id string, customer_id string, star_rating int"
 
 
-def _review_loads(spark: SparkSession, sf: str) -> str:
-    """Two overlapping loads of reviews by product: the second lowers some ratings, and brings rows again."""
-    path = session.scratch_dir(spark, "review-loads")
+def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads of reviews by product: the second lowers some ratings and brings rows again. Read before and
+    after folding, and with a load after that, which brings new keys and replaces folded ones."""
+    path, key = session.scratch_dir(spark, "review-loads"), list(reviews.BY_PRODUCT)
+    layout = ["product_id"], [F.desc("review_date"), F.asc("review_id")]
     clean = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN).drop("review_headline", "review_body")
-    key = list(reviews.BY_PRODUCT)
-    write = keyed_sink.append_batches(path, key, ["star_rating"], ["product_id"], [F.desc("review_date"), F.asc("review_id")])
-    write(clean, 0)
-    again = clean.filter(F.col("star_rating") >= 3)
-    write(again.withColumn("star_rating", F.lit(1)), 1)
-    return path
+    load = keyed_sink.append_batches(path, key, ["star_rating"], *layout)
 
+    def keep(stage: str) -> DataFrame:
+        found = keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"])
+        found.withColumn("stage", F.lit(stage)).write.parquet(f"{path}-{stage}")
+        return spark.read.parquet(f"{path}-{stage}")
 
-def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """A second load replaces the rows it brings, read before and after folding, and with a load after that."""
-    path = _review_loads(spark, sf)
-    key = list(reviews.BY_PRODUCT)
-    read = lambda: keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"])
-    before = read().withColumn("stage", F.lit("before"))
-    stored = f"{path}-before"
-    before.write.parquet(stored)
-    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], ["product_id"], [F.desc("review_date"), F.asc("review_id")])
-    folded = read().withColumn("stage", F.lit("folded"))
-    return _text(spark.read.parquet(stored).unionByName(folded), "review_date")
+    load(clean, 0)
+    load(clean.filter(F.col("star_rating") >= 3).withColumn("star_rating", F.lit(1)), 1)
+    stages = keep("before")
+    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], *layout)
+    stages = stages.unionByName(keep("folded"))
+    second = clean.withColumn("review_id", F.concat("review_id", F.lit("-again")))
+    load(second.unionByName(clean.filter(F.col("star_rating") == 2).withColumn("star_rating", F.lit(5))), 2)
+    return _text(stages.unionByName(keep("later")), "review_date")
 
 
 def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
@@ -422,6 +420,33 @@ def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, f"{path}/out/product_stats")
 
 
+def _typed_inputs(spark: SparkSession, sf: str, base: str) -> dict[str, str]:
+    """The raw inputs as CSV files with headers, reviews with semicolons; separator by table."""
+    raw = {"events": t.raw_events(spark, sf), "users": t.raw_users(spark, sf), "campaigns": t.raw_campaigns(spark, sf),
+           "reviews": t.raw_reviews(spark, sf).drop("written")}
+    separators = {name: ";" if name == "reviews" else "," for name in raw}
+    for name, df in raw.items():
+        files.write_csv(df, f"{base}/{name}", sep=separators[name])
+    return separators
+
+
+def csv_inferred_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of all columns of the raw files, from all their cells."""
+    base, found = session.scratch_dir(spark, "inferred"), None
+    for name, sep in _typed_inputs(spark, sf, base).items():
+        types = inference.column_types(inference.cell_profile(files.read_csv(spark, f"{base}/{name}", sep=sep)))
+        types = types.withColumn("table_name", F.lit(name))
+        found = types if found is None else found.unionByName(types)
+    return found
+
+
+def csv_typed_campaigns(spark: SparkSession, sf: str) -> DataFrame:
+    """Campaigns loaded with the types found; no type is named here."""
+    base = session.scratch_dir(spark, "typed")
+    files.write_csv(t.raw_campaigns(spark, sf).drop("ingest_ord"), base)
+    return _text(inference.read_typed_csv(spark, base), "CampaignStartDate")
+
+
 def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents stored nested; categories asked from the stored form."""
     path = session.scratch_dir(spark, "documents")
@@ -458,21 +483,81 @@ def wiki_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("value string").text(f"{base}/dead")
 
 
+ARRIVALS = 3
+
+
+def _arrivals(rows: DataFrame, number: str, path: str):
+    """Message texts that arrive in a folder in several portions, which cover all rows; yields after each."""
+    for k in range(ARRIVALS):
+        rows.where(F.col(number) % ARRIVALS == k).select("value").write.mode("append").text(path)
+        yield k
+
+
 def wiki_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Both jobs run again on every arrival of messages, whose keys collide; the table is folded before the last."""
     base = session.scratch_dir(spark, "wiki-table")
-    processed = messages.read_messages(spark, "text", _filtered_topic(spark, sf, base))
-    drain(wiki.table_job(processed, f"{base}/pages", f"{base}/table-progress"))
+    events = t.table(spark, sf, "events")
+    for k in _arrivals(t.wiki_changes(events, "event_id"), "event_id", f"{base}/raw"):
+        if k == ARRIVALS - 1:
+            wiki.fold_pages(spark, f"{base}/pages")
+        raw = messages.read_messages(spark, "text", f"{base}/raw")
+        drain(wiki.filter_job(raw, f"{base}/filter-progress", "text", f"{base}/processed"))
+        processed = messages.read_messages(spark, "text", f"{base}/processed")
+        drain(wiki.table_job(processed, f"{base}/pages", f"{base}/table-progress"))
     utc = F.to_utc_timestamp("created_at", F.current_timezone())
     return wiki.read_pages(spark, f"{base}/pages").withColumn("created_at", F.date_format(utc, "yyyy-MM-dd HH:mm:ss"))
 
 
 def tweet_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    """Minutes read from folded files and later ones together: minutes are folded before the last arrival of tweets."""
     base = session.scratch_dir(spark, "tweet-minutes")
-    sent = t.tweets(_follow(spark, sf, "conversations"))
-    drain(tweets.minute_job(sent, f"{base}/minutes", f"{base}/progress"))
+    for k in _arrivals(t.tweets(t.table(spark, sf, "conversations"), "conv_id"), "conv_id", f"{base}/raw"):
+        if k == ARRIVALS - 1:
+            tweets.fold_minutes(spark, f"{base}/minutes")
+        drain(tweets.minute_job(messages.read_messages(spark, "text", f"{base}/raw"), f"{base}/minutes", f"{base}/progress"))
     return tweets.read_minutes(spark, f"{base}/minutes")
 
 
+def _campaign_states(spark: SparkSession, sf: str) -> DataFrame:
+    """States from a stream of ad events in three micro-batches, the second of which is run twice; folded before the last."""
+    base, sums = session.scratch_dir(spark, "campaign-state"), live_marts.campaign_sums()
+    t.ad_events(spark, sf, "event_id", "campaign_id", "ad_cost", "ad_revenue").repartition(ARRIVALS).write.parquet(f"{base}/events")
+    write = states.append_states(f"{base}/states", sums)
+
+    def write_again(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id == 1 else 1):
+            write(batch, batch_id)
+        if batch_id == 1:
+            states.fold_states(spark, f"{base}/states", sums)
+
+    source = spark.readStream.schema(spark.read.parquet(f"{base}/events").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    drain(source.writeStream.option("checkpointLocation", f"{base}/progress").foreachBatch(write_again))
+    return states.read_states(spark, f"{base}/states", sums)
+
+
+def campaign_state(spark: SparkSession, sf: str) -> DataFrame:
+    return live_marts.campaign_summary(_campaign_states(spark, sf))
+
+
+def advertiser_state(spark: SparkSession, sf: str) -> DataFrame:
+    return live_marts.advertiser_report(_campaign_states(spark, sf), t.ad_campaigns(spark, sf))
+
+
+TWEET_FIELDS = {"author": ("$.author_id", "string"), "text": ("$.text", "string")}
+
+
+def message_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field of the wiki messages and the tweets, found without a schema."""
+    wiki_topic = t.wiki_changes(t.table(spark, sf, "events")).select(F.lit("wiki").alias("topic"), "value")
+    tweet_topic = t.tweets(t.table(spark, sf, "conversations")).select(F.lit("tweets").alias("topic"), "value")
+    return open_messages.message_fields(wiki_topic.unionByName(tweet_topic), by=("topic",))
+
+
+def open_tweets(spark: SparkSession, sf: str) -> DataFrame:
+    """Tweets as two named fields and all others as they came."""
+    return open_messages.open_columns(t.tweets(t.table(spark, sf, "conversations")), TWEET_FIELDS)
+
+
 def tweet_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     """System turns are sent as plain text, which is no tweet; all others as tweets."""
     base = session.scratch_dir(spark, "tweet-dead")
@@ -511,6 +596,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     schema_violations, invalid_enums, column_profile_events, column_profile_users, column_profile_campaigns,
     campaign_cost_per_click, overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
     keyed_review_pages, stored_documents,
-    review_upsert, csv_reviews,
+    review_upsert, csv_reviews, csv_inferred_types, csv_typed_campaigns, message_fields, open_tweets, campaign_state, advertiser_state,
     wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, tweet_dead_letters, csv_replay,
 )}

@@ -1,19 +1,17 @@
 """A keyed table fed by numbered batches, of a stream or of repeated loads: each appended in its
-own folder, read as last write per key, and folded into a base from time to time."""
+own folder, read as last write per key, and folded into runs of growing size (:mod:`~adloom.streaming.tiers`)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from adloom.operators.ranking import latest_per_key
 from adloom.sources.tables import cluster_for_reads
-
-BATCH = "batch_id"
+from adloom.streaming import tiers
+from adloom.streaming.tiers import BATCH
 
 
 def append_batches(path: str, key: Sequence[str], written: Sequence[str], partition_key: Sequence[str],
@@ -39,50 +37,31 @@ def upsert_stream(rows: DataFrame, path: str, checkpoint: str, key: Sequence[str
     )
 
 
-def _folds(path: str) -> str:
-    return f"{path.rstrip('/')}-folds"
+def last_fold(spark: SparkSession, path: str) -> int | None:
+    """The last batch id held by a folded run; None if nothing was folded."""
+    return tiers.manifest(spark, path).upto
 
 
-def last_fold(spark: SparkSession, path: str) -> int | None:
-    """The last batch id held by the newest folded base; None if nothing was folded."""
-    try:
-        return spark.read.schema(f"{BATCH} bigint").json(_folds(path)).agg(F.max(BATCH)).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _layout(schema: str, key: Sequence[str], written: Sequence[str], partition_key: Sequence[str] = (),
+            clustering: Sequence[Column] = ()) -> tiers.Layout:
+    def read(spark: SparkSession, folder: str, batched: bool) -> DataFrame:
+        return spark.read.schema(f"{schema}, {BATCH} bigint" if batched else schema).parquet(folder)
+
+    def write(rows: DataFrame, folder: str) -> None:
+        cluster_for_reads(rows, partition_key, clustering).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
+    return tiers.Layout(read, write, lambda rows: latest_per_key(rows, key, [BATCH, *written]).drop(BATCH))
 
 
 def read_upserted(spark: SparkSession, path: str, schema: str, key: Sequence[str],
                   written: Sequence[str]) -> DataFrame:
-    """The table as of now: per key the row of the latest batch. Reads the newest folded base and
-    the batches after it; the folders of earlier batches are pruned."""
-    fields = f"{schema}, {BATCH} bigint"
-    rows = spark.read.schema(fields).parquet(path)
-    upto = last_fold(spark, path)
-    if upto is not None:
-        base = spark.read.schema(schema).parquet(f"{path.rstrip('/')}-base-{upto}").withColumn(BATCH, F.lit(upto).cast("bigint"))
-        rows = rows.filter(F.col(BATCH) > upto).unionByName(base)
-    return latest_per_key(rows, key, [BATCH, *written]).drop(BATCH)
+    """The table as of now: per key the row of the latest batch, out of the folded runs and the
+    batches after them."""
+    return tiers.current(spark, path, _layout(schema, key, written))
 
 
 def compact(spark: SparkSession, path: str, schema: str, key: Sequence[str], written: Sequence[str],
-            partition_key: Sequence[str], clustering: Sequence[Column]) -> int | None:
-    """Folds the base and all batches there are into a new base, while a stream or further loads may go on.
-
-    The base is written in full before it is named in the list of folds, so readers see the old or
-    the new one, and a failed run is simply repeated. Returns the last batch id it holds."""
-    batches = spark.read.schema(f"{schema}, {BATCH} bigint").parquet(path)
-    upto = batches.agg(F.max(BATCH)).first()[0]
-    before = last_fold(spark, path)
-    if upto is None or (before is not None and upto <= before):
-        return before
-    rows = batches.filter(F.col(BATCH) <= upto)
-    if before is not None:
-        base = spark.read.schema(schema).parquet(f"{path.rstrip('/')}-base-{before}").withColumn(BATCH, F.lit(before).cast("bigint"))
-        rows = rows.filter(F.col(BATCH) > before).unionByName(base)
-    current = latest_per_key(rows, key, [BATCH, *written]).drop(BATCH)
-    cluster_for_reads(current, partition_key, clustering).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").parquet(f"{path.rstrip('/')}-base-{upto}")
-    spark.createDataFrame([(upto,)], f"{BATCH} bigint").coalesce(1).write.mode("append").json(_folds(path))
-    return upto
+            partition_key: Sequence[str], clustering: Sequence[Column], fanout: int = tiers.FANOUT) -> int | None:
+    """Folds the batches since the last fold, while a stream or further loads may go on; older runs are
+    rewritten only when ``fanout`` of a size have come together. Returns the last batch id that is folded."""
+    return tiers.fold(spark, path, _layout(schema, key, written, partition_key, clustering), fanout)

@@ -14,6 +14,8 @@ from adloom.functions import text
 from adloom.functions.shape import column_or
 from adloom.sources.files import read_csv, write_csv
 from adloom.sources.messages import message_writer, to_messages
+from adloom.streaming import tiers
+from adloom.streaming.tiers import BATCH
 
 UNKNOWN_MINUTE = "unknown_time"
 FIELDS = ("author_id", "created_at", "text")
@@ -97,11 +99,25 @@ def minute_job(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWri
     )
 
 
+def _read_folder(spark: SparkSession, folder: str, batched: bool) -> DataFrame:
+    batch = [T.StructField(BATCH, T.LongType())] if batched else []
+    raw = read_csv(spark, folder, multi_line=True, schema=T.StructType([*schemas.text_schema(*FIELDS, "time_key").fields, *batch]))
+    return raw.select(*[F.coalesce(c, F.lit("")).alias(c) for c in FIELDS], "time_key", *(f.name for f in batch))
+
+
+# Rows have no key, so nothing of them is combined; what a fold changes is the number of files.
+_LAYOUT = tiers.Layout(_read_folder, lambda rows, folder: write_csv(_by_minute(rows), folder, partition_by=("time_key",)), lambda rows: rows.drop(BATCH))
+
+
 def read_minutes(spark: SparkSession, path: str) -> DataFrame:
-    """All minutes written so far, empty cells as empty text."""
-    raw = read_csv(spark, path, multi_line=True, schema=T.StructType(
-        [*schemas.text_schema(*FIELDS, "time_key").fields, T.StructField("batch_id", T.LongType())]))
-    return raw.select(*[F.coalesce(c, F.lit("")).alias(c) for c in FIELDS], "time_key")
+    """All minutes written so far, folded or not, empty cells as empty text."""
+    return tiers.current(spark, path, _LAYOUT)
+
+
+def fold_minutes(spark: SparkSession, path: str, fanout: int = tiers.FANOUT) -> int | None:
+    """Puts the files of the batches since the last fold together, few per minute, while batches go on
+    arriving; late rows of a minute are folded like any other."""
+    return tiers.fold(spark, path, _LAYOUT, fanout)
 
 
 def compact_minutes(spark: SparkSession, path: str, target: str) -> None:

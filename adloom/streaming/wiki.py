@@ -3,7 +3,7 @@ type the messages and store them by site."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -11,7 +11,7 @@ from adloom import schemas
 from adloom.functions import text
 from adloom.functions.shape import present
 from adloom.sources.messages import message_writer, to_messages
-from adloom.streaming.keyed_sink import read_upserted, upsert_stream
+from adloom.streaming.keyed_sink import compact, read_upserted, upsert_stream
 
 # The sites that are kept.
 ALLOWED_DOMAINS = ("en.wikipedia.org", "www.wikidata.org", "commons.wikimedia.org")
@@ -71,12 +71,20 @@ def dead_letter_job(messages: DataFrame, checkpoint: str, fmt: str = "kafka", pa
     return message_writer(unreadable(messages), checkpoint, fmt, path, **options)
 
 
+def _by_site() -> tuple[list[str], list[Column]]:
+    return ["domain"], [F.desc("created_at"), F.asc("page_title")]
+
+
 def table_job(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Upserts pages by (site, time, title), newest first within a site. Two edits
     with one key in one batch differ in the user only; the larger name is kept."""
-    return upsert_stream(typed_pages(messages), path, checkpoint, PAGE_KEY, ["user_id"],
-                         ["domain"], [F.desc("created_at"), F.asc("page_title")])
+    return upsert_stream(typed_pages(messages), path, checkpoint, PAGE_KEY, ["user_id"], *_by_site())
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return read_upserted(spark, path, PAGE_SCHEMA, PAGE_KEY, ["user_id"])
+
+
+def fold_pages(spark: SparkSession, path: str) -> int | None:
+    """Folds the batches since the last fold; the job may go on meanwhile."""
+    return compact(spark, path, PAGE_SCHEMA, PAGE_KEY, ["user_id"], *_by_site())

@@ -7,6 +7,7 @@ from adloom.operators import nesting
 from adloom.operators.lookup import duplicate_keys, orphan_keys, resolve_key
 from adloom.operators.profile import column_profile
 from adloom.operators.ranking import latest_per_key, top_per_group, top_rows
+from adloom.operators.ranks import RANGE, with_rank, with_ranges
 from adloom.operators.surrogate import first_appearance_ids
 from conftest import plan_of, rows
 
@@ -134,3 +135,44 @@ def test_profile_counts_exactly(spark):
 def test_profile_of_an_all_null_column(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "i int, n string")
     assert rows(column_profile(df)) == [("i", "int", 2, 0, 2), ("n", "string", 0, 2, 0)]
+
+
+def _ranked_rows(n=3000):
+    """One group holds a third of the rows; ordinals bunch up at both ends and spread over 60 bits."""
+    rng = random.Random(11)
+    spots = [lambda: rng.randrange(400), lambda: 2**40 + rng.randrange(50), lambda: rng.randrange(2**60), lambda: 2**62 + rng.randrange(400)]
+    seen, data = set(), []
+    while len(data) < n:
+        group, order = (0 if rng.random() < 0.34 else rng.randrange(1, 40)), rng.choice(spots)()
+        if (group, order) not in seen:
+            seen.add((group, order))
+            data.append((group, order, f"v{len(data)}"))
+    return data
+
+
+@pytest.mark.parametrize("limit, fanout", [(20, 4), (64, 1024), (10_000, 1024)])
+def test_ranks_of_a_hot_group_in_small_windows(spark, limit, fanout):
+    data = _ranked_rows()
+    df = spark.createDataFrame(data, "g long, o long, v string").repartition(6)
+    expected = []
+    for g in {d[0] for d in data}:
+        expected += [(*d, k) for k, d in enumerate(sorted((d for d in data if d[0] == g), key=lambda d: d[1]))]
+    assert rows(with_rank(df, ["g"], "o", "rank", limit=limit, fanout=fanout)) == sorted(expected, key=repr)
+    placed, counts = with_ranges(df, ["g"], "o", limit, fanout)
+    assert placed.groupBy("g", RANGE).count().agg(F.max("count")).first()[0] <= limit
+    assert counts.agg(F.sum("_n")).first()[0] == len(data)
+
+
+def test_ranks_without_a_group_and_with_ties(spark):
+    data = [(k // 3, f"{k % 3}") for k in range(300)]
+    df = spark.createDataFrame(data, "o long, v string").repartition(5)
+    assert rows(with_rank(df, [], "o", "rank", limit=10, ties=["v"])) == sorted(((o, v, k) for k, (o, v) in enumerate(data)), key=repr)
+    assert with_rank(df.limit(0), [], "o", "rank").collect() == []
+
+
+def test_hot_user_is_nested_in_small_windows(spark):
+    data = _children()
+    children = spark.createDataFrame(data, "u long, ord long, e string").repartition(5)
+    parents = spark.createDataFrame([(u, f"name{u}") for u in range(70)], "u long, name string")
+    whole = rows(nesting.nest(parents, children, "u", ["e"], "ord", "items", page_size=7))
+    assert rows(nesting.nest(parents, children, "u", ["e"], "ord", "items", page_size=7, limit=10)) == whole

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from adloom.plans import sample_tables as t
 from adloom.registry import QUERIES
 from adloom.sources.messages import read_messages, to_messages
-from adloom.streaming import keyed_sink, tweets, wiki
+from adloom.plans import live_marts
+from adloom.sources import folders
+from adloom.streaming import keyed_sink, states, tiers, tweets, wiki
 from adloom.streaming.run import drain, start
 from conftest import rows
 
@@ -186,3 +188,96 @@ def test_registered_streams_read_a_table_in_many_files(spark, tiny, box):
 def test_kafka_is_a_format_parameter(spark):
     with pytest.raises(Exception, match="kafka"):
         read_messages(spark, "kafka", subscribe="input", **{"kafka.bootstrap.servers": "nowhere:9092"})
+
+
+SCHEMA = "k long, v long"
+
+
+def _load(spark, path, batch_id, pairs):
+    write = keyed_sink.append_batches(path, ["k"], ["v"], ["k"], [])
+    write(spark.createDataFrame(pairs, SCHEMA), batch_id)
+
+
+def _now(spark, path):
+    return dict(tuple(r) for r in keyed_sink.read_upserted(spark, path, SCHEMA, ["k"], ["v"]).collect())
+
+
+def _fold(spark, path, fanout=3):
+    return keyed_sink.compact(spark, path, SCHEMA, ["k"], ["v"], ["k"], [], fanout)
+
+
+def test_folds_rewrite_what_arrived_and_retire_what_they_replaced(spark, box):
+    """A large first load, then many small ones with colliding keys; a fold after each."""
+    path, expected, written = box("table"), {}, []
+    for batch in range(12):
+        pairs = [(k, batch) for k in (range(5000) if batch == 0 else range(batch * 7, batch * 7 + 20))]
+        _load(spark, path, batch, pairs)
+        expected |= dict(pairs)
+        assert _now(spark, path) == expected  # runs and a batch after them
+        assert _fold(spark, path) == batch
+        assert _now(spark, path) == expected  # runs alone
+        written.append(spark.read.parquet(f"{path}-base-{batch}").count())
+    # Levels of up to two runs: 1, 1, then three become one of the next level. The large load is rewritten
+    # with the third and the ninth fold only.
+    assert [k for k, n in enumerate(written) if n >= 5000] == [0, 2, 8]
+    assert sum(n for n in written if n < 5000) < 12 * 20 * 3
+    runs = tiers.manifest(spark, path).runs
+    assert [(r.first, r.last) for r in sorted(runs, key=lambda r: r.first)] == [(0, 8), (9, 11)]
+    # What the last two manifests do not name is gone: runs, batches and older manifests.
+    kept = [n for n in os.listdir(os.path.dirname(path)) if "-base-" in n]
+    assert sorted(kept) == ["table-base-10", "table-base-11", "table-base-8", "table-base-9"]
+    assert [n for n in os.listdir(path) if n.startswith("batch_id")] == ["batch_id=11"]
+    assert sorted(os.listdir(f"{path}-folds")) == ["11", "12"]
+    assert _fold(spark, path) == 11 and _now(spark, path) == expected
+
+
+def test_a_fold_that_failed_is_repeated(spark, box):
+    path = box("table")
+    _load(spark, path, 0, [(1, 1), (2, 2)])
+    _fold(spark, path)
+    _load(spark, path, 1, [(2, 5)])
+    folders.remove(spark, f"{path}/batch_id=7")  # nothing there, nothing happens
+    # A run written without its manifest, and a batch folder without its end mark, count for nothing.
+    spark.createDataFrame([(9, 9)], SCHEMA).write.parquet(f"{path}-base-1")
+    assert _now(spark, path) == {1: 1, 2: 5}
+    assert _fold(spark, path) == 1
+    assert _now(spark, path) == {1: 1, 2: 5}
+    # Batch 1 comes once more after its fold, as a stream that was stopped may send it.
+    _load(spark, path, 1, [(2, 5)])
+    assert _now(spark, path) == {1: 1, 2: 5} and _fold(spark, path) == 1
+
+
+def test_states_add_up_and_replays_count_once(spark, tiny, box):
+    sums = live_marts.campaign_sums()
+    events = t.ad_events(spark, tiny, "event_id", "campaign_id", "ad_cost", "ad_revenue").withColumn("third", F.abs(F.hash("event_id")) % 3)
+    write = states.append_states(box("states"), sums)
+    whole = rows(live_marts.campaign_summary(sums.of(events)))
+    for batch in range(3):
+        for _ in range(2):  # each is run twice
+            write(events.where(F.col("third") == batch), batch)
+        if batch:
+            assert states.fold_states(spark, box("states"), sums) == batch
+    assert rows(live_marts.campaign_summary(states.read_states(spark, box("states"), sums))) == whole
+    write(events.where("third = 1"), 1)  # and once more after it was folded
+    assert rows(live_marts.campaign_summary(states.read_states(spark, box("states"), sums))) == whole
+    total = states.read_states(spark, box("states"), sums, keys=[]).first()
+    assert total.impressions == events.count()
+    # A state of a batch is one row per key, whatever the batch holds.
+    assert spark.read.parquet(f"{box('states')}/batch_id=1").groupBy("campaign_id").count().where("count > 1").count() == 0
+
+
+def test_minutes_are_read_over_folds_and_later_batches(spark, box):
+    job = lambda: tweets.minute_job(text_stream(spark, box("in")), box("out"), box("c"))
+    expected = []
+    for k in range(5):
+        post(box("in"), f"{k}.json", tweet("2022-05-03T17:08:45", f"t{k}"), tweet("2022-05-03T17:09:45", f'late "{k}",\n'), tweet("some day", "", ""))
+        expected += [("03_05_2022_17_08", "2022-05-03T17:08:45", f"t{k}", "1"), ("03_05_2022_17_09", "2022-05-03T17:09:45", f'late "{k}",\n', "1"),
+                     ("unknown_time", "some day", "", "")]
+        drain(job())
+        assert minutes_of(spark, box("out")) == sorted(expected, key=repr)
+        if k % 2:
+            assert tweets.fold_minutes(spark, box("out"), fanout=2) == k
+            assert minutes_of(spark, box("out")) == sorted(expected, key=repr)
+    assert [r.last for r in tiers.manifest(spark, box("out")).runs] == [3]
+    found = [f for _, _, fs in os.walk(f"{box('out')}-base-3") for f in fs if f.endswith(".csv")]
+    assert len(found) <= 6  # three minutes, few files each
