@@ -24,19 +24,23 @@ def _counted(rows: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     return rows.groupBy(*group, RANGE).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
 
 
-def with_ranges(rows: DataFrame, group: Sequence[str], order: str, limit: int = LIMIT, fanout: int = FANOUT) -> tuple[DataFrame, DataFrame]:
+def with_ranges(rows: DataFrame, group: Sequence[str], order: str, limit: int = LIMIT, fanout: int = FANOUT) -> tuple[DataFrame, DataFrame | None]:
     """Rows with the start of their range as ``_range`` (-1 where a group is one range), and the number of
-    rows of each range as ``_n``.
+    rows of each range as ``_n``; None instead of these if every group is one range.
 
     ``order`` is a non-negative bigint, and group columns are not null. A group has about as many ranges as its rows
     divided by ``limit``, times the fanout at most. More than ``limit`` rows with one ordinal stay in one range."""
     spark = rows.sparkSession
-    folder, step = scratch_dir(spark, "ranges"), 0
     placed = rows.withColumn(RANGE, F.lit(-1).cast("bigint"))
+    several = F.col("_low") < F.col("_high")
+    most = _counted(placed, group, order).agg(F.max(F.when(several, F.col("_n")))).first()[0]
+    if most is None or most <= limit:
+        return placed, None
+    folder, step = scratch_dir(spark, "ranges"), 0
     while True:
         _counted(placed, group, order).write.parquet(f"{folder}/{step}")
         counts = spark.read.parquet(f"{folder}/{step}")
-        full = counts.where((F.col("_n") > limit) & (F.col("_low") < F.col("_high")))
+        full = counts.where((F.col("_n") > limit) & several)
         if full.isEmpty():
             return placed, counts.select(*group, RANGE, "_n")
         width = F.expr(f"(_high - _low) div {fanout} + 1")
@@ -50,6 +54,9 @@ def with_rank(rows: DataFrame, group: Sequence[str], order: str, into: str, limi
     """Rows with their place 0, 1, 2, ... by ``order`` within their group as ``into``; rows of one ordinal
     follow the columns ``ties``."""
     placed, counts = with_ranges(rows, group, order, limit, fanout)
+    if counts is None:  # each group fits one window
+        inside = F.row_number().over(Window.partitionBy(*group).orderBy(order, *ties)) - 1
+        return placed.drop(RANGE).withColumn(into, inside.cast("bigint"))
     earlier = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, RANGE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(*group, RANGE).orderBy(order, *ties)) - 1

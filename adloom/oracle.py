@@ -502,3 +502,12 @@ ORACLE["message_fields"] = f"""WITH {WIKI},
 ORACLE["open_tweets"] = """SELECT role AS author, text, concat('{"created_at":"', CASE WHEN role IS DISTINCT FROM 'system' THEN
       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 20 + turn), '%Y-%m-%dT%H:%M:%S') ELSE 'some day' END, '","lang":"en"}') AS rest
   FROM conversations"""
+ORACLE["document_export"] = ORACLE["user_documents"]
+ORACLE["profile_of_loads"] = f"""SELECT column_name, filled, "empty", true AS near FROM ({ORACLE["column_profile_events"]})"""
+ORACLE["lookup_batch"] = f"""WITH clean AS ({ORACLE["reviews_by_product"]})
+  SELECT review_id, customer_id, product_id, review_date, star_rating FROM clean
+  WHERE review_id IN (SELECT min(review_id) FROM clean GROUP BY customer_id)"""
+ORACLE["bucketed_engagements"] = ORACLE["user_engagements"]
+ORACLE["paced_replay"] = """SELECT n AS number, role AS author_id, text,
+    strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(n // 12), '%Y-%m-%dT%H:%M:%S') AS created_at
+  FROM (SELECT *, row_number() OVER (ORDER BY conv_id * 100000 + turn, role NULLS FIRST, text NULLS FIRST) - 1 AS n FROM conversations)"""

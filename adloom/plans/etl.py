@@ -23,12 +23,12 @@ def load_star_schema(spark: SparkSession, campaigns_csv: str, users_csv: str, ev
                      limit: int | None = None) -> DataFrame:
     """Dimensions first, then the facts that refer to them. ``limit`` bounds the load
     to the first events of the file. Returns the key violations found, empty if none."""
-    raw_campaigns, raw_users = _raw(spark, campaigns_csv), _raw(spark, users_csv)
-
     def store(df: DataFrame, name: str) -> DataFrame:
         write_table(df, f"{out}/{name}", mode="overwrite")
         return read_table(spark, f"{out}/{name}")
 
+    # Files that several tables come from are parsed once.
+    raw_campaigns, raw_users = store(_raw(spark, campaigns_csv), "staged_campaigns"), store(_raw(spark, users_csv), "staged_users")
     locations = store(star_schema.dim_locations(raw_users, INGEST_ORDER), "locations")
     advertisers = store(star_schema.dim_advertisers(raw_campaigns, INGEST_ORDER), "advertisers")
     campaigns = store(star_schema.dim_campaigns(raw_campaigns, advertisers, locations), "campaigns")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom import schemas
 from adloom.functions import flags, text
 from adloom.functions.shape import column_or, drop_present, keep_present, rename_present, strip_headers
-from adloom.operators.lookup import duplicate_keys, orphan_keys, resolve_key
+from adloom.operators.lookup import resolve_key
 from adloom.operators.surrogate import first_appearance_ids
 
 UNKNOWN_ID = 0
@@ -83,28 +84,44 @@ def fact_events(raw_events: DataFrame, campaigns: DataFrame, locations: DataFram
     return keep_present(typed, schemas.FACT_EVENTS)
 
 
+def _rule_rows(df: DataFrame, unique: dict[str, str], known: dict[str, str], offered: dict[str, str]) -> DataFrame:
+    """(rule, number, text, used, known) of a table in one pass: keys that have to be unique, values that some
+    other table has to have, and keys this one offers for that; each named rule -> column."""
+    kinds = dict(df.dtypes)
+
+    def entry(rule: str, column: str, used: int, there: int):
+        number = kinds[column] in ("tinyint", "smallint", "int", "bigint")
+        return F.struct(F.lit(rule).alias("rule"), (F.col(column) if number else F.lit(None)).cast("bigint").alias("number"),
+                        (F.lit(None) if number else F.col(column)).cast("string").alias("text"), F.lit(used).alias("used"), F.lit(there).alias("known"))
+
+    entries = [entry(rule, c, 1, 1) for rule, c in unique.items()]
+    entries += [F.when(F.col(c).isNotNull(), entry(rule, c, 1, 0)) for rule, c in known.items()]
+    entries += [F.when(F.col(c).isNotNull(), entry(rule, c, 0, 1)) for rule, c in offered.items()]
+    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+
 def schema_violations(locations: DataFrame, advertisers: DataFrame, users: DataFrame,
                       campaigns: DataFrame, events: DataFrame) -> DataFrame:
     """What key constraints of a database would reject: values that break each rule
-    and the rows they are on. Rules that hold are listed with zeros."""
-    checks = {
-        "locations.country_name unique": duplicate_keys(locations, ["country_name"]),
-        "advertisers.advertiser_name unique": duplicate_keys(advertisers, ["advertiser_name"]),
-        "users.user_id unique": duplicate_keys(users, ["user_id"]),
-        "campaigns.campaign_id unique": duplicate_keys(campaigns, ["campaign_id"]),
-        "events.event_id unique": duplicate_keys(events, ["event_id"]),
-        "users.location_id known": orphan_keys(users, "location_id", locations, "location_id"),
-        "campaigns.target_location_id known": orphan_keys(campaigns, "target_location_id", locations, "location_id"),
-        "events.campaign_id known": orphan_keys(events, "campaign_id", campaigns, "campaign_id"),
-        "events.location_id known": orphan_keys(events, "location_id", locations, "location_id"),
-        "events.user_id known": orphan_keys(events, "user_id", users, "user_id"),
-    }
-    counted = [
-        bad.agg(F.count(F.lit(1)).alias("bad_values"), F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
-        .select(F.lit(rule).alias("rule"), "bad_values", "bad_rows")
-        for rule, bad in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    and the rows they are on. Rules that hold are listed with zeros.
+
+    Every table is read once and turned into narrow rows of (rule, value), which map tasks collapse to one row per value;
+    a single shuffle brings uses and keys together."""
+    unique = {"locations.country_name unique": "country_name", "advertisers.advertiser_name unique": "advertiser_name",
+              "users.user_id unique": "user_id", "campaigns.campaign_id unique": "campaign_id", "events.event_id unique": "event_id"}
+    known = {"users.location_id known": "location_id", "campaigns.target_location_id known": "target_location_id",
+             "events.campaign_id known": "campaign_id", "events.location_id known": "location_id", "events.user_id known": "user_id"}
+    # The column of the other table that each value has to be in.
+    offers = {"locations": {"users.location_id known": "location_id", "campaigns.target_location_id known": "location_id", "events.location_id known": "location_id"},
+              "campaigns": {"events.campaign_id known": "campaign_id"}, "users": {"events.user_id known": "user_id"}}
+    tables = {"locations": locations, "advertisers": advertisers, "users": users, "campaigns": campaigns, "events": events}
+    own = lambda rules, name: {r: c for r, c in rules.items() if r.startswith(f"{name}.")}
+    rows = [_rule_rows(df, own(unique, name), own(known, name), offers.get(name, {})) for name, df in tables.items()]
+    per_value = reduce(DataFrame.unionByName, rows).groupBy("rule", "number", "text").agg(F.sum("used").alias("rows"), F.max("known").alias("known"))
+    bad = per_value.filter(F.when(F.col("rule").endswith("unique"), F.col("rows") > 1).otherwise(F.col("known") == 0))
+    found = bad.groupBy("rule").agg(F.count(F.lit(1)).alias("bad_values"), F.sum("rows").alias("bad_rows"))
+    rules = events.sparkSession.createDataFrame(pa.table({"rule": [*unique, *known]}))
+    return rules.join(found, "rule", "left").select("rule", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("bad_values", "bad_rows")))
 
 
 def invalid_enums(events: DataFrame, users: DataFrame) -> DataFrame:

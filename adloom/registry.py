@@ -17,7 +17,7 @@ from adloom.functions import text
 from adloom.operators import profile
 from adloom.plans import ad_kpis, ad_marts, documents, etl, live_marts, reviews, star_schema
 from adloom.plans import sample_tables as t
-from adloom.sources import files, inference, messages, open_messages, tables
+from adloom.sources import files, inference, json_documents, messages, open_messages, tables
 from adloom.streaming import keyed_sink, states, tweets, wiki
 from adloom.streaming.run import drain
 
@@ -28,6 +28,7 @@ START, END = "1995-07-01", "2001-07-01"
 BUDGET_START, BUDGET_END = "1995-01-01", "2002-01-01"
 # Both ends count.
 SHOWN_FROM, SHOWN_TO = "2024-01-02T00:00:00", "2024-01-30T00:00:00"
+ARRIVALS = 3  # portions in which loads and messages come
 
 
 def _text(df: DataFrame, *names: str) -> DataFrame:
@@ -144,9 +145,13 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return _document_heads(_documents(spark, sf))
+
+
+def _document_heads(docs: DataFrame) -> DataFrame:
     """Document head per user, with sizes and sums over the nested parts."""
     clicks = F.flatten(F.transform("impressions", lambda i: i["clicks"]))
-    return _documents(spark, sf).groupBy(
+    return docs.groupBy(
         "_id", "demographics.age", "demographics.gender", "demographics.location", "demographics.signup_date",
         F.array_join("interests", "|").alias("interests"),
     ).agg(F.sum(F.size("impressions")).alias("impressions"), F.sum(F.size(clicks)).alias("clicks"))
@@ -265,16 +270,16 @@ def dim_advertisers(spark: SparkSession, sf: str) -> DataFrame:
     return star_schema.dim_advertisers(t.raw_campaigns(spark, sf), "ingest_ord")
 
 
-def _campaigns(spark: SparkSession, sf: str) -> DataFrame:
-    return star_schema.dim_campaigns(t.raw_campaigns(spark, sf), dim_advertisers(spark, sf), dim_locations(spark, sf))
+def _campaigns(spark: SparkSession, sf: str, locations: DataFrame | None = None) -> DataFrame:
+    return star_schema.dim_campaigns(t.raw_campaigns(spark, sf), dim_advertisers(spark, sf), locations or dim_locations(spark, sf))
 
 
 def dim_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     return _double(_text(_campaigns(spark, sf), "start_date", "end_date"), "budget")
 
 
-def _users(spark: SparkSession, sf: str) -> DataFrame:
-    return star_schema.dim_users(t.raw_users(spark, sf), dim_locations(spark, sf))
+def _users(spark: SparkSession, sf: str, locations: DataFrame | None = None) -> DataFrame:
+    return star_schema.dim_users(t.raw_users(spark, sf), locations or dim_locations(spark, sf))
 
 
 def dim_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,7 +291,8 @@ def user_interests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return star_schema.fact_events(t.raw_events(spark, sf), _campaigns(spark, sf), dim_locations(spark, sf))
+    locations = dim_locations(spark, sf)
+    return star_schema.fact_events(t.raw_events(spark, sf), _campaigns(spark, sf, locations), locations)
 
 
 def fact_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,8 +300,18 @@ def fact_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_violations(spark: SparkSession, sf: str) -> DataFrame:
-    return star_schema.schema_violations(
-        dim_locations(spark, sf), dim_advertisers(spark, sf), _users(spark, sf), _campaigns(spark, sf), _facts(spark, sf))
+    """The rules of the star schema, checked on the stored tables: each is written once and read once."""
+    base = session.scratch_dir(spark, "star")
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        tables.write_table(df, f"{base}/{name}", mode="overwrite")
+        return tables.read_table(spark, f"{base}/{name}")
+
+    locations, advertisers = store(dim_locations(spark, sf), "locations"), store(dim_advertisers(spark, sf), "advertisers")
+    campaigns = store(star_schema.dim_campaigns(t.raw_campaigns(spark, sf), advertisers, locations), "campaigns")
+    users = store(star_schema.dim_users(t.raw_users(spark, sf), locations), "users")
+    events = store(star_schema.fact_events(t.raw_events(spark, sf), campaigns, locations), "events")
+    return star_schema.schema_violations(locations, advertisers, users, campaigns, events)
 
 
 def invalid_enums(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,6 +470,46 @@ def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     return documents.top_categories(documents.impressions_of(tables.read_table(spark, path)))
 
 
+def document_export(spark: SparkSession, sf: str) -> DataFrame:
+    """All user documents as one indented JSON list, written in parts and read back."""
+    path = session.scratch_dir(spark, "document-export")
+    docs = _documents(spark, sf)
+    json_documents.write_json_list(docs.orderBy("_id", "page"), path)
+    return _document_heads(json_documents.read_json_list(spark, path, docs.schema))
+
+
+def profile_of_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of events that came in three loads, from stored sketches; distinct values are within 3 %."""
+    path, events = session.scratch_dir(spark, "load-profiles"), t.raw_events(spark, sf)
+    for load in range(ARRIVALS):
+        profile.store_sketches(events.where(F.pmod(F.xxhash64("EventID"), F.lit(ARRIVALS)) == load), path, load)
+    exact = profile.column_profile(events).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.03
+    return profile.profile_of_loads(spark, path).join(exact, "column_name").select("column_name", "filled", "empty", near.alias("near"))
+
+
+def lookup_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """One review of every customer, looked up by review id in the copy laid out by product."""
+    path = session.scratch_dir(spark, "lookups")
+    clean = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN)
+    tables.write_keyed(clean, path, ["product_id"], [F.desc("review_date"), F.asc("review_id")], lookups=["review_id", "customer_id"])
+    stored = tables.read_table(spark, path)
+    wanted = stored.groupBy("customer_id").agg(F.min("review_id").alias("review_id"))
+    found = tables.lookup_batch(stored, wanted, "review_id")
+    return _text(found.select("review_id", "customer_id", "product_id", "review_date", "star_rating"), "review_date")
+
+
+def bucketed_engagements(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicked events with their campaigns, both stored in equal buckets by campaign."""
+    base = session.scratch_dir(spark, "buckets")
+    name = f"adloom_{base.rsplit('-', 1)[-1]}"
+    events = t.ad_events(spark, sf, "event_id", "campaign_id", "user_id", "event_timestamp", "ad_revenue")
+    tables.write_bucketed(events, f"{name}_events", f"{base}/events", ["campaign_id"], 8)
+    tables.write_bucketed(t.ad_campaigns(spark, sf), f"{name}_campaigns", f"{base}/campaigns", ["campaign_id"], 8)
+    found = ad_kpis.user_engagements(spark.table(f"{name}_events"), spark.table(f"{name}_campaigns"), t.ad_advertisers(spark, sf))
+    return _text(found, "timestamp")
+
+
 # --- streams ----------------------------------------------------------------
 
 def _follow(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -483,9 +539,6 @@ def wiki_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("value string").text(f"{base}/dead")
 
 
-ARRIVALS = 3
-
-
 def _arrivals(rows: DataFrame, number: str, path: str):
     """Message texts that arrive in a folder in several portions, which cover all rows; yields after each."""
     for k in range(ARRIVALS):
@@ -582,6 +635,18 @@ def csv_replay(spark: SparkSession, sf: str) -> DataFrame:
         "d.author_id", "d.text", F.col("d.created_at").isNotNull().cast("string").alias("has_time"))
 
 
+def paced_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns replayed at twelve a second of the clock, in their order, ten minutes a batch."""
+    base, rate, seconds = session.scratch_dir(spark, "paced"), 12, 600
+    turns = t.table(spark, sf, "conversations").select((F.col("conv_id") * 100_000 + F.col("turn")).alias("ordinal"), F.col("role").alias("author_id"), "text")
+    sent = tweets.number_rows(turns, "ordinal", f"{base}/numbered", ties=("author_id", "text"))
+    numbered = spark.read.parquet(f"{base}/numbered").drop("ordinal")
+    tweets.replay_paced(tweets.paced_job(numbered, f"{base}/topic", f"{base}/progress", "2024-01-01 00:00:00", rate, seconds), sent, rate, seconds)
+    fields = "number long, author_id string, text string, created_at string"
+    topic = spark.read.schema("value string").text(f"{base}/topic/*")
+    return topic.select(F.from_json("value", fields).alias("d")).select("d.*")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     campaign_performance, advertiser_spending, cost_efficiency, regional_analysis, engaged_users,
     budget_consumption, campaign_device, device_performance, campaign_summary, advertiser_total,
@@ -597,5 +662,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     campaign_cost_per_click, overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
     keyed_review_pages, stored_documents,
     review_upsert, csv_reviews, csv_inferred_types, csv_typed_campaigns, message_fields, open_tweets, campaign_state, advertiser_state,
+    document_export, profile_of_loads, lookup_batch, bucketed_engagements, paced_replay,
     wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, tweet_dead_letters, csv_replay,
 )}

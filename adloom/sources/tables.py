@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +50,17 @@ def cluster_for_reads(df: DataFrame, partition_key: Sequence[str], clustering: S
 
 def write_keyed(df: DataFrame, path: str, partition_key: Sequence[str], clustering: Sequence[Column],
                 primary_key: Sequence[str] = (), written: Sequence[str] = (), mode: str = "overwrite",
-                folders: bool = False, only_touched: bool = False, fmt: str = "parquet") -> None:
+                folders: bool = False, only_touched: bool = False, fmt: str = "parquet", lookups: Sequence[str] = ()) -> None:
     """Writes a query-first table. Given a primary key, only the last write per key
     is kept. ``folders`` makes one directory per partition key: for keys with few
     values, such as a month. With ``only_touched`` an overwrite replaces just the
-    folders that the new rows belong to."""
+    folders that the new rows belong to. ``lookups`` are columns other than the key that rows
+    are looked up by (:func:`lookup`): each file gets a Bloom filter of their values."""
     rows = latest_per_key(df, primary_key, written) if primary_key else df
     writer = cluster_for_reads(rows, partition_key, clustering).write.format(fmt).mode(mode).option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static")
+    for column in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if folders:
         writer = writer.partitionBy(*partition_key)
     writer.save(path)
@@ -70,3 +75,33 @@ def read_by_key(table: DataFrame, key: Mapping[str, object], clustering: Sequenc
     if clustering:
         rows = rows.orderBy(*clustering)
     return rows.limit(limit) if limit is not None else rows
+
+
+# Values a scan tests one by one against the filters and dictionaries of each row group.
+PUSHED = 64
+
+
+def lookup(table: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
+    """Rows with one of a few values of a column that the table is not sorted by.
+
+    Equality tests reach the scan, which passes over row groups whose Bloom filter or dictionary has none of the values."""
+    wanted = list(dict.fromkeys(v for v in values if v is not None))
+    if len(wanted) > PUSHED:
+        raise ValueError(f"more than {PUSHED} values: give them as a frame to lookup_batch")
+    return table.filter(reduce(or_, (F.col(column) == F.lit(v) for v in wanted), F.lit(False)))
+
+
+def lookup_batch(table: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose value in ``column`` is among ``keys``, each once however often a key is listed.
+
+    Few keys are tested in the scan, as in :func:`lookup`; more are joined, where Spark filters the scan at run time."""
+    wanted = keys.select(column).where(F.col(column).isNotNull()).distinct()
+    few = [r[0] for r in wanted.limit(PUSHED + 1).collect()]
+    return lookup(table, column, few) if len(few) <= PUSHED else table.join(wanted, column, "left_semi")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: Sequence[str], buckets: int) -> None:
+    """A catalog table dealt into buckets by key. Tables with equal buckets are joined on that key, and
+    grouped by it, without moving their rows again, however often that is done."""
+    (df.repartition(buckets, *key).write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*key)
+     .option("path", path).saveAsTable(name))

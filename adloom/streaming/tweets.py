@@ -12,8 +12,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from adloom import schemas
 from adloom.functions import text
 from adloom.functions.shape import column_or
+from adloom.operators.ranks import with_rank
 from adloom.sources.files import read_csv, write_csv
 from adloom.sources.messages import message_writer, to_messages
+from adloom.sources.tables import cluster_for_reads
 from adloom.streaming import tiers
 from adloom.streaming.tiers import BATCH
 
@@ -48,6 +50,48 @@ def replay_job(rows: DataFrame, checkpoint: str, fmt: str = "kafka", path: str |
     return message_writer(to_messages(replay_payload(rows)), checkpoint, fmt, path, **options)
 
 
+def number_rows(rows: DataFrame, order: str, path: str, ties: tuple[str, ...] = ()) -> int:
+    """Stores rows with their place 0, 1, 2, ... as ``number``, laid out by it; returns how many there are."""
+    cluster_for_reads(with_rank(rows, [], order, "number", ties=ties), ["number"], []).write.parquet(path)
+    return rows.sparkSession.read.parquet(path).count()
+
+
+def paced_job(numbered: DataFrame, path: str, checkpoint: str, start: str, rate: int = 12, seconds: int = 1) -> DataStreamWriter:
+    """Replays numbered rows at an exact rate: ``rate`` messages per second of a clock that starts at ``start``.
+
+    The clock is a stream of numbers, ``rate * seconds`` per batch; a batch sends the rows of its numbers, each with the
+    second it is due as ``created_at``. Its rows are found by their number, so a batch costs what it
+    sends, and it owns a folder, so one that is run again sends nothing twice. Triggered every ``seconds``, the clock
+    keeps the time of the wall."""
+    spark = numbered.sparkSession
+    per_batch = rate * seconds
+    clock = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", per_batch).option("numPartitions", 1)
+             .option("advanceMillisPerBatch", 1000 * seconds).option("startTimestamp", 0).load())
+    begin = F.lit(start).cast("timestamp_ntz")
+
+    def send(ticks: DataFrame, batch_id: int) -> None:
+        first, last = ticks.agg(F.min("value"), F.max("value")).first()
+        due = numbered.filter(F.col("number").between(first, last)).join(ticks.select(F.col("value").alias("number")), "number")
+        at = begin + F.make_dt_interval(secs=F.expr(f"number div {rate}"))
+        sent = due.withColumn("created_at", text.iso_text(at)).orderBy("number")
+        to_messages(sent).write.mode("overwrite").text(f"{path}/{BATCH}={batch_id}")
+
+    return clock.writeStream.option("checkpointLocation", checkpoint).foreachBatch(send)
+
+
+def replay_paced(writer: DataStreamWriter, rows: int, rate: int, seconds: int, every: str = "0 seconds") -> None:
+    """Runs a paced replay until all rows are sent."""
+    batches = -(-rows // (rate * seconds))
+    query = writer.trigger(processingTime=every).start()
+    try:
+        while batches and query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < batches - 1):
+            query.awaitTermination(0.05)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
     """JSON fields as ``d``, and whether the text was a JSON object at all."""
     schema = T.StructType([*schemas.TWEET.fields, T.StructField(BROKEN, T.StringType())])

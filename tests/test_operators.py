@@ -160,7 +160,8 @@ def test_ranks_of_a_hot_group_in_small_windows(spark, limit, fanout):
     assert rows(with_rank(df, ["g"], "o", "rank", limit=limit, fanout=fanout)) == sorted(expected, key=repr)
     placed, counts = with_ranges(df, ["g"], "o", limit, fanout)
     assert placed.groupBy("g", RANGE).count().agg(F.max("count")).first()[0] <= limit
-    assert counts.agg(F.sum("_n")).first()[0] == len(data)
+    assert (counts is None) == (limit == 10_000)
+    assert counts is None or counts.agg(F.sum("_n")).first()[0] == len(data)
 
 
 def test_ranks_without_a_group_and_with_ties(spark):

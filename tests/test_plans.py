@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adloom import schemas
+from adloom.operators.profile import column_profile
 from adloom.plans import ad_kpis, ad_marts, reviews, star_schema
 from adloom.plans import sample_tables as t
 from adloom.registry import QUERIES
@@ -253,7 +254,8 @@ def test_scans_read_only_what_they_need(spark, tiny):
 
 # Streams and stored tables: building the frame runs the job.
 RUNS_WHILE_BUILT = {"wiki_filter", "wiki_dead_letters", "wiki_table", "tweet_minutes", "csv_replay", "csv_bulk_load",
-                    "json_export", "append_load", "campaign_mart", "keyed_review_pages", "stored_documents"}
+                    "json_export", "append_load", "campaign_mart", "keyed_review_pages", "stored_documents",
+                    "campaign_state", "advertiser_state", "message_fields", "document_export", "paced_replay", "review_upsert"}
 
 
 def test_rewritten_tables_give_the_same_results(spark, tiny, tmp_path):
@@ -278,3 +280,16 @@ def test_no_plan_has_a_cross_join_or_python(spark, tiny):
         plan = plan_of(query(spark, tiny))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
             assert word not in plan, f"{word} in {name}"
+
+
+def test_key_checks_read_every_table_once(spark, tiny):
+    plan = plan_of(QUERIES["schema_violations"](spark, tiny))
+    assert plan.count("FileScan") == 5
+    assert plan.count("Exchange hashpartitioning") <= 3  # of values, of rules, and for the join with the rules
+
+
+def test_profile_sends_numbers_as_numbers(spark):
+    df = spark.range(100).selectExpr("id", "cast(id as int) AS i", "id % 2 = 0 AS b", "date_add(date'2024-01-01', cast(id as int)) AS d")
+    plan = plan_of(column_profile(df))
+    assert "string" not in plan.split("Exchange hashpartitioning")[-1].split("Exchange")[0].lower().replace("tostring", "")
+    assert plan.count("Range (") == 1
