@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adloom.registry import BUDGET_END, BUDGET_START, END, SHOWN_FROM, SHOWN_TO, START
+from adloom.registry import BUDGET_END, BUDGET_START, END, REVIEW_TABLES, SHOWN_FROM, SHOWN_TO, START
 
 DEVICE = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Mobile'
     WHEN o_orderpriority = '3-MEDIUM' THEN 'Tablet' WHEN o_orderpriority IS NOT NULL THEN 'Desktop' END"""
@@ -403,7 +403,6 @@ ORACLE: dict[str, str] = {
     "first_events": f"""SELECT event_id AS ingest_ord, concat('e', event_id) AS EventID,
         concat('Campaign_', {K}) AS CampaignName, {iso("ts")} AS "Timestamp"
       FROM events ORDER BY event_id LIMIT 750""",
-    "csv_bulk_load": f"WITH {FACTS} SELECT event_id, campaign_id, device, ad_cost FROM fact_events",
     "append_load": f"""WITH {DIMS} SELECT advertiser_id, advertiser_name FROM dim_advertisers
       UNION ALL SELECT advertiser_id, advertiser_name FROM dim_advertisers""",
     "keyed_review_pages": f"""WITH {RAW_REVIEWS},
@@ -438,6 +437,11 @@ ORACLE: dict[str, str] = {
 
 # Stored and read back, these give what their computed twins give.
 ORACLE["json_export"] = ORACLE["cost_efficiency"]
+ORACLE["csv_bulk_load"] = ORACLE["fact_events"]
+ORACLE["csv_review_tables"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, CAST({who} AS VARCHAR) AS who, concat_ws('/', {", ".join(["''", *(f'"{c}"' for c in what)])}) AS what,
+      CAST({number or "NULL"} AS BIGINT) AS number FROM ({ORACLE[{"customers_by_period": "customer_marts"}.get(name, name)]})"""
+    for name, (who, what, number) in REVIEW_TABLES.items())
 ORACLE["csv_reviews"] = ORACLE["product_stats"]
 ORACLE["review_upsert"] = f"""WITH clean AS ({ORACLE["reviews_by_product"]})
   SELECT product_id, review_date, review_id, customer_id,

@@ -361,7 +361,10 @@ def csv_bulk_load(spark: SparkSession, sf: str) -> DataFrame:
     path = session.scratch_dir(spark, "bulk-load")
     files.write_csv(_facts(spark, sf), path, header=False)
     loaded = files.read_csv(spark, path, schemas.text_schema(*schemas.FACT_EVENTS), header=False)
-    return _double(loaded.select("event_id", text.to_long(F.col("campaign_id")).alias("campaign_id"), "device", "ad_cost"), "ad_cost")
+    whole = {c: text.to_long(F.col(c)) for c in ("campaign_id", "user_id", "location_id")}
+    moments = {c: text.to_wall_clock(F.col(c)).cast("string") for c in ("event_timestamp", "click_timestamp")}
+    typed = loaded.withColumns(whole | moments | {"was_clicked": F.col("was_clicked").try_cast("boolean")})
+    return _double(typed, "bid_amount", "ad_cost", "ad_revenue")
 
 
 def json_export(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,8 +427,8 @@ def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _text(stages.unionByName(keep("later")), "review_date")
 
 
-def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """Reviews from a CSV whose header has more columns in another order and some ratings as 5.0."""
+def _loaded_reviews(spark: SparkSession, sf: str) -> str:
+    """The load of a CSV whose header has more columns in another order and some ratings as 5.0; where its tables are."""
     path = session.scratch_dir(spark, "csv-reviews")
     raw = t.raw_reviews(spark, sf)
     other = raw.select(F.lit("X").alias("marketplace"), "customer_id", "review_id",
@@ -433,7 +436,37 @@ def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
                        "verified_purchase", "product_id", "review_body", "review_date", "review_headline")
     files.write_csv(other, f"{path}/csv")
     etl.load_reviews(spark, f"{path}/csv", f"{path}/out")
-    return tables.read_table(spark, f"{path}/out/product_stats")
+    return f"{path}/out"
+
+
+def csv_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """One table of the load, as it is."""
+    return tables.read_table(spark, f"{_loaded_reviews(spark, sf)}/product_stats")
+
+
+# Of the eight tables of the load: whom a row is about, what it says besides, and its number. Of rows written
+# twice, which is kept follows the order of the file, and there rows of one key differ in what is left out here.
+REVIEW_TABLES = {
+    "reviews_by_product": ("product_id", ("review_date", "review_id"), None),
+    "reviews_by_product_rating": ("product_id", ("review_date", "review_id"), "star_rating"),
+    "reviews_by_customer": ("customer_id", ("review_date", "review_id"), None),
+    "top_products_by_period": ("product_id", ("period",), "review_count"),
+    "customers_by_period": ("customer_id", ("mart", "period"), "review_count"),
+    "product_stats": ("product_id", (), "total_reviews"),
+    "customer_activity": ("customer_id", (), "verified_reviews_count"),
+    "product_trends": ("product_id", ("year", "month"), "review_count"),
+}
+
+
+def csv_review_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight tables of the load, in one shape."""
+    out, found = _loaded_reviews(spark, sf), None
+    for name, (who, what, number) in REVIEW_TABLES.items():
+        rows = tables.read_table(spark, f"{out}/{name}").select(
+            F.lit(name).alias("table_name"), F.col(who).cast("string").alias("who"), F.concat_ws("/", F.lit(""), *(F.col(c).cast("string") for c in what)).alias("what"),
+            (F.lit(None) if number is None else F.col(number)).cast("bigint").alias("number"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 def _typed_inputs(spark: SparkSession, sf: str, base: str) -> dict[str, str]:
@@ -661,7 +694,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     schema_violations, invalid_enums, column_profile_events, column_profile_users, column_profile_campaigns,
     campaign_cost_per_click, overall_performance, sql_text_report, first_events, csv_bulk_load, json_export, append_load, campaign_mart,
     keyed_review_pages, stored_documents,
-    review_upsert, csv_reviews, csv_inferred_types, csv_typed_campaigns, message_fields, open_tweets, campaign_state, advertiser_state,
+    review_upsert, csv_reviews, csv_review_tables, csv_inferred_types, csv_typed_campaigns, message_fields, open_tweets, campaign_state, advertiser_state,
     document_export, profile_of_loads, lookup_batch, bucketed_engagements, paced_replay,
     wiki_filter, wiki_dead_letters, wiki_table, tweet_minutes, tweet_dead_letters, csv_replay,
 )}
