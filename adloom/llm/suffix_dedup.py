@@ -23,7 +23,7 @@ surroundings of the prefix are met once on both sides are left out, and every wi
 row of its own that is counted, and joined, by its 128-bit fingerprint.
 
 Null and short texts have nothing to remove; repeated rows count as repeats; an empty table
-gives an empty result. Rows are told apart by id and text, so repeated ids do no harm, and
+gives an empty result. Rows are told apart by id and 128 bits of the text, so repeated or null ids do no harm, and
 extra columns of any name are kept as they are.
 """
 
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import _BYTE_VALUES, SpanHashes, mix, sliding_min, some_rows, text_chunks
+from adloom.llm.textops import _BYTE_VALUES, SpanHashes, mix, sliding_min, some_rows, text_chunks, text_mark
 from adloom.session import scratch_dir
 
 SEED = 32
@@ -143,7 +143,7 @@ def _squeeze(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Record
 
 def _contexts(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     """The stretches asked for, cut from their texts: one row per stretch."""
-    names = ["key", "alone", "_id", "_h", "place", "bytes"]
+    names = ["key", "alone", "large", "_id", "_h", "place", "bytes"]
     expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         ids, hashes = batch.column(0), batch.column(1)
@@ -154,14 +154,14 @@ def _contexts(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.
             for w in wanted.as_py():
                 start, _, last = (int(x) for x in _unpacked(np.int64(w["place"])))
                 cut = text[start : start + last + min_bytes]
-                for column, value in zip(out, (w["key"], w["n"] == 1, row, row, w["place"], cut), strict=True):
+                for column, value in zip(out, (w["key"], w["n"] == 1, w["large"], row, row, w["place"], cut), strict=True):
                     column.append(value)
                 size += len(cut)
             if size > 4 << 20 or row == batch.num_rows - 1:
-                rows = pa.array(out[2], pa.int64())
+                rows = pa.array(out[3], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), ids.take(rows), hashes.take(rows),
-                     pa.array(out[4], pa.int64()), pa.array(out[5], pa.binary())], names)
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.bool_()), ids.take(rows), hashes.take(rows),
+                     pa.array(out[5], pa.int64()), pa.array(out[6], pa.binary())], names)
                 out, size = [[] for _ in names], 0
 
 
@@ -295,24 +295,24 @@ def _large_spans(contexts: DataFrame, schema: str, path: str, min_bytes: int) ->
     kept.write.parquet(f"{path}/kept")
     id_type = contexts.schema["_id"].dataType.simpleString()
     windows = contexts.sparkSession.read.parquet(f"{path}/kept").mapInArrow(
-        lambda b: _windows(b, min_bytes), f"alone boolean, _id {id_type}, _h int, value long, other long, span long")
+        lambda b: _windows(b, min_bytes), f"alone boolean, _id {id_type}, _h binary, value long, other long, span long")
     return windows.where("alone").join(repeated(windows, "value", "other"), ["value", "other"]).select("_id", "_h", "span")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200) -> DataFrame:
-    """Row per text with repeats: ``_id``, ``_h`` (hash of the text) and ``spans``, a list
+    """Row per text with repeats: ``_id``, ``_h`` (128 bits of the text) and ``spans``, a list
     of longs holding start (upper bits) and length (lower 16 bits) of covered runs, which may
     overlap. ``min_bytes`` is from SEED to 30,000."""
     if not SEED <= min_bytes <= 30_000:
         raise ValueError("min_bytes out of range")
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("_id"), F.hash(text_col).alias("_h"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_mark(text_col).alias("_h"), F.col(text_col).alias("_text"))
     arrays = rows.select("_text").mapInArrow(lambda b: _prefix_arrays(b, min_bytes), "key long, n long, low long, high long")
     repeated = (arrays.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
                 .where("n >= 2").select("key", (F.col("low") < F.col("high")).alias("mixed"))
                 .repartition("key", "mixed"))  # dealt anew, so that the join below can split a hot key
-    entries = rows.mapInArrow(lambda b: _entries(b, min_bytes), f"_id {id_type}, _h int, key long, stretch long, place long")
+    entries = rows.mapInArrow(lambda b: _entries(b, min_bytes), f"_id {id_type}, _h binary, key long, stretch long, place long")
     path = scratch_dir(spark, "suffix-matches")
     entries.join(repeated, "key").write.parquet(f"{path}/matches")
     matches = spark.read.parquet(f"{path}/matches")
@@ -328,22 +328,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # As many windows at most are compared in one task as STRETCHES_PER_GROUP stretches of 200 bytes have.
     most = max(1, min(STRETCHES_PER_GROUP, STRETCHES_PER_GROUP * 169 // (min_bytes - SEED + 1)))
     sizes = stretches.groupBy("key").agg((F.count("*") > most).alias("large")).repartition("key", "large")
-    sized = stretches.join(sizes, "key")
-    blobs = rows.mapInArrow(lambda b: _squeeze(b, "_text"), f"_id {id_type}, _h int, _text binary")
+    blobs = rows.mapInArrow(lambda b: _squeeze(b, "_text"), f"_id {id_type}, _h binary, _text binary")
     same = [F.col("w._id").eqNullSafe(F.col("b._id")), F.col("w._h") == F.col("b._h")]
-    context = f"key long, alone boolean, _id {id_type}, _h int, place long, bytes binary"
-
-    def contexts(asked: DataFrame) -> DataFrame:
-        wanted = (asked.groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
-                  .agg(F.collect_list(F.struct("key", "n", F.col("one.place").alias("place"))).alias("wanted")))
-        return (blobs.alias("b").join(wanted.alias("w"), same).select("w._id", "w._h", "b._text", "w.wanted")
-                .mapInArrow(lambda b: _contexts(b, min_bytes), context))
-
-    edges = (contexts(sized.where("not large")).repartition("key").sortWithinPartitions("key")
-             .mapInArrow(lambda b: _edge_spans(b, min_bytes), f"_id {id_type}, _h int, span long"))
+    context = f"key long, alone boolean, large boolean, _id {id_type}, _h binary, place long, bytes binary"
+    wanted = (stretches.join(sizes, "key").groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
+              .agg(F.collect_list(F.struct("key", "n", "large", F.col("one.place").alias("place"))).alias("wanted")))
+    # All texts that hold a stretch move once; the stretches cut from them are stored for both ways on.
+    (blobs.alias("b").join(wanted.alias("w"), same).select("w._id", "w._h", "b._text", "w.wanted")
+     .mapInArrow(lambda b: _contexts(b, min_bytes), context).write.parquet(f"{path}/contexts"))
+    contexts = spark.read.parquet(f"{path}/contexts")
+    small, large = (contexts.where(c).drop("large") for c in ("not large", "large"))
+    edges = small.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _edge_spans(b, min_bytes), f"_id {id_type}, _h binary, span long")
     if not sizes.where("large").isEmpty():
-        edges = edges.unionAll(_large_spans(contexts(sized.where("large")), context, f"{path}/large", min_bytes))
-    return alike.unionAll(copied).unionAll(edges).groupBy("_id", "_h").agg(F.collect_list("span").alias("spans"))
+        edges = edges.unionAll(_large_spans(large, context.replace("large boolean, ", ""), f"{path}/large", min_bytes))
+    # Equal rows bring the same spans, each of which counts once.
+    return alike.unionAll(copied).unionAll(edges).groupBy("_id", "_h").agg(F.collect_set("span").alias("spans"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
@@ -378,9 +377,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = docs.columns
     at = names.index(text_col)
     # Positional names: extra columns may bear any name.
-    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.hash(text_col).alias("_h"))
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), text_mark(text_col).alias("_h"))
     kinds = [T.StructField(f"c{i}", T.BinaryType() if i == at else f.dataType) for i, f in enumerate(docs.schema)]
-    blobs = plain.mapInArrow(lambda b: _squeeze(b, f"c{at}"), T.StructType([*kinds, T.StructField("_h", T.IntegerType())]))
+    blobs = plain.mapInArrow(lambda b: _squeeze(b, f"c{at}"), T.StructType([*kinds, T.StructField("_h", T.BinaryType())]))
     same = [F.col(f"b.c{names.index(id_col)}").eqNullSafe(F.col("s._id")), F.col("b._h") == F.col("s._h")]
     joined = blobs.alias("b").join(spans.alias("s"), same, "left").select(*(f"b.c{i}" for i in range(len(names))), "s.spans")
     counts = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
 
@@ -51,8 +53,7 @@ def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
 def by_bytes(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = CHUNK_BYTES, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text in a column; a longer text comes alone."""
     for batch in batches:
-        texts = batch.column(column).cast(pa.large_string()).fill_null("")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < batch.num_rows:
             done = ends[first - 1] if first else 0
@@ -61,6 +62,11 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = CH
             first = last
 
 
+def text_mark(text: Column | str) -> Column:
+    """128 bits that tell texts apart; null is like empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))
