@@ -50,7 +50,7 @@ ORACLE: dict[str, str] = {
           (CAST('0x' || substr(hex, 1 + CAST(5 * (i // 4) AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
         CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM led""",
     "op9_tool_calls": """WITH RECURSIVE call AS (SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN 'ask' ELSE 'configure' END AS name,
-          CASE WHEN turn > 0 THEN turn - 2 * ((turn + 3) // 4) END AS back FROM conversations WHERE role IN ('user', 'system')),
+          turn - 2 AS back FROM conversations WHERE role IN ('user', 'system')),
       linked AS (SELECT c.*, d.turn AS dep FROM call c LEFT JOIN call d ON c.conv_id = d.conv_id AND c.back = d.turn),
       placed AS (SELECT conv_id, turn, 0 AS level FROM linked WHERE dep IS NULL
         UNION ALL SELECT l.conv_id, l.turn, p.level + 1 FROM linked l JOIN placed p ON l.conv_id = p.conv_id AND l.dep = p.turn),
