@@ -10,7 +10,7 @@ searching for separators. Captures are hash-joined with what names them in WARC-
 per capture with all of it. A file is read by one task; those written here end at ``FILE_BYTES`` of records.
 
 A null html is an empty payload; null ids and urls are kept as such. Repeated rows give a
-capture each. Equal payloads are found by their SHA-1, and a payload shared by a third of all
+capture each, with an id of its own. Equal payloads are found by their SHA-1, and a payload shared by a third of all
 pages is one row per task in that aggregate and a split join. An empty table gives none.
 """
 
@@ -46,8 +46,9 @@ def _record(kind: str, headers: list[tuple[str, str | None]], block: str) -> str
     return "WARC/1.1\r\n" + "\r\n".join(head) + END + block
 
 
-def _capture_id(page: object, part: str = "") -> str:
-    return f"<urn:page:{'' if page is None else quote(str(page), safe='')}{part}>"
+def _capture_id(page: object, digest: str, number: int, part: str = "") -> str:
+    """Of its own for each row, also where page ids are null or repeat."""
+    return f"<urn:page:{'' if page is None else quote(str(page), safe='')}:{digest}:{number}{part}>"
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,22 +56,23 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     file = size = 0
     for batch in some_rows(batches):
         out, files = [], []
-        for page, url, html, digest, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for page, number, url, html, digest, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             html = html or ""
-            capture, uri = _capture_id(page), None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%")
+            base32 = base64.b32encode(bytes.fromhex(digest)).decode()
+            capture, uri = _capture_id(page, base32, number), None if url is None else quote(url, safe=":/?#[]@!$&'()*+,;=%")
             named = [("WARC-Target-URI", uri), ("WARC-Concurrent-To", capture)]
-            payload = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
-            response = first is None or first == page
-            out.append(_record("request", [("WARC-Record-ID", _capture_id(page, ":request")), *named, ("Content-Type", "application/http; msgtype=request")],
+            payload = f"sha1:{base32}"
+            response = first is None or first["_id"] == page
+            out.append(_record("request", [("WARC-Record-ID", _capture_id(page, base32, number, ":request")), *named, ("Content-Type", "application/http; msgtype=request")],
                                f"GET {uri or '/'} HTTP/1.1{END}"))
             own = [("WARC-Record-ID", capture), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", payload),
                    ("Content-Type", "application/http; msgtype=response")]
             if response:
                 out.append(_record("response", own, _HTTP + html))
             else:
-                own += [("WARC-Refers-To", _capture_id(first)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+                own += [("WARC-Refers-To", _capture_id(first["_id"], base32, first["_number"])), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
                 out.append(_record("revisit", own, _HTTP))
-            out.append(_record("metadata", [("WARC-Record-ID", _capture_id(page, ":metadata")), *named, ("Content-Type", "application/warc-fields")],
+            out.append(_record("metadata", [("WARC-Record-ID", _capture_id(page, base32, number, ":metadata")), *named, ("Content-Type", "application/warc-fields")],
                                f"payloadLength: {len(html.encode())}\r\n"))
             files += [file] * 3
             size += sum(len(x.encode()) for x in out[-3:])
@@ -84,10 +86,12 @@ def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_c
     """Writes gzipped WARC files below ``path``. Payloads of at least ``least_bytes`` that
     were met under a lower id become revisits."""
     html = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), html.alias("_html"), F.sha1(html).alias("_digest"))
-    firsts = (rows.where(F.octet_length("_html") >= least_bytes).groupBy("_digest").agg(F.min("_id").alias("_first"))
+    rows = pages.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_number"), F.col(url_col).cast("string").alias("_url"),
+                        html.alias("_html"), F.sha1(html).alias("_digest"))
+    named = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_number")  # a null id is first of its payload only if no other is
+    firsts = (rows.where(F.octet_length("_html") >= least_bytes).groupBy("_digest").agg(F.min(named).alias("_first"))
               .repartition("_digest", "_first"))  # dealt anew, so that the join can split a hot payload
-    known = rows.join(firsts, "_digest", "left").select("_id", "_url", "_html", "_digest", "_first")
+    known = rows.join(firsts, "_digest", "left").select("_id", "_number", "_url", "_html", "_digest", "_first")
     (known.mapInArrow(_records, "value string, file int").write.partitionBy("file").option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", 3 * PAGES_PER_FILE).text(path))
 
@@ -205,7 +209,7 @@ def captures(records: DataFrame) -> DataFrame:
 
 
 def _page_of(capture: str, id_type: str) -> F.Column:
-    inner = F.regexp_extract(capture, "^<urn:page:(.*)>$", 1)
+    inner = F.regexp_extract(capture, "^<urn:page:([^:]*):", 1)
     return F.when(F.col(capture).isNotNull() & (inner != ""), F.url_decode(inner)).cast(id_type)
 
 
