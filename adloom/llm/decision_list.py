@@ -62,10 +62,14 @@ def _repeated_words(words: Column) -> Column:
     return _let(words, counted)
 
 
+STATISTICS = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines"}
+
+
 def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (longs) and
-    n_upper, n_lines (for the learner) at the end, the text left out."""
-    kept = [c for c in docs.columns if c != text_col]
+    n_upper, n_lines (for the learner) at the end, the text left out. Columns of the input that are named
+    like one of these are replaced by it."""
+    kept = [c for c in docs.columns if c != text_col and c.lower() not in STATISTICS]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
