@@ -1,9 +1,11 @@
 """Main text of web pages from their structure and a host-wide suffix array.
 
-Pages are cut into blocks of text in page order. A block is *main* inside an article or main
-element, *chrome* inside navigation, headers, footers, asides, forms that hold no such element, and elements of
-which a whole token of class, id or role says so (adverts, notices, comments and the like), and *loose* otherwise.
-Tokens never mark html, body, main and article elements, nor headers inside main ones. A main element inside
+Pages are read once, by a scanner that passes over every sign a bounded number of times, into blocks of text in page order, which are
+stored with a number for each page. A block is *main* inside an article or main
+element, *chrome* inside navigation, headers, footers, asides, forms that hold no such element, hidden elements, and elements of
+which a token of class, id or role says so (adverts, notices, comments and the like), and *loose* otherwise. A token says
+so if it consists of such words, or begins or ends with one (``share-buttons``, ``post-comments``) and has no word of state or
+layout (``has-sidebar``, ``menu-open``). Tokens never mark html, body, main and article elements, nor headers inside main ones. A main element inside
 a marked one is main again; so is an article there if the page has no other main text. Scripts,
 styles and comments are no text.
 
@@ -16,7 +18,8 @@ share ``SHARE`` of the host's pages hold it. Loose blocks that repeated prefixes
 inside others covered runs of ``LONG_RUN`` tokens or more. A page of which that would leave nothing keeps its
 loose text. Main blocks are kept whatever repeats, chrome goes in any case.
 
-A null or empty html gives an empty text; a null url is a host of its own. An empty table gives none.
+A null or empty html gives an empty text; a null url is a host of its own. Rows that repeat an id, an url or both
+are pages of their own. A tag that never ends is text. Very long pages are read whole. Extra columns are left out. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -25,15 +28,17 @@ import hashlib
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm.textops import mix, some_rows
+from adloom.llm.textops import by_bytes, mix, some_rows
 from adloom.session import scratch_dir
 
 RUN = 8  # tokens
@@ -47,16 +52,26 @@ DROPPED = {"nav", "menu", "header", "footer", "aside", "form", "dialog", "templa
 CHROME_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
                 "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "menu", "modal", "nav", "navbar",
                 "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "search", "share", "sharing", "sidebar", "social",
-                "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+                "sponsor", "sponsored", "subscribe", "toolbar", "widget", "cookiebar", "cookiebanner", "sharebar", "adslot", "adbox"}
+# Words that make a token tell a state or a layout instead.
+STATE_WORDS = {"has", "no", "not", "with", "without", "is", "open", "opened", "closed", "on", "off", "enabled", "disabled", "active", "inactive", "visible",
+               "wrap", "wrapper", "content", "layout", "page", "body", "main", "article", "text", "entry"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
           "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
+_COMMENT_END = re.compile(r"--!?>")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
+_STYLE = re.compile(r"""(?<![\w-])style\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _MARKS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PARTS = re.compile(r"[-_:]+")
 _HOLDERS = {"article", "main"}
 _UNMARKED = {"html", "body", *_HOLDERS}
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
 _FORM = re.compile(r"<form", re.I)
 
@@ -69,27 +84,74 @@ class Block:
     text: str
 
 
+class Tag(NamedTuple):
+    start: int
+    name: str  # in lower case; empty for comments, declarations and the like
+    closing: bool
+    attributes: str
+
+
+def _marks(token: str, inside_main: bool) -> bool:
+    """Whether a token says chrome (``ad``, ``cookie-notice``, ``share-buttons``; not ``has-sidebar``, ``menu-open``)."""
+    words = [w for w in _PARTS.split(token) if w]
+    if not words or (inside_main and words[-1] == "header"):
+        return False
+    if all(w in CHROME_WORDS for w in words):
+        return True
+    return not STATE_WORDS.intersection(words) and (words[0] in CHROME_WORDS or words[-1] in CHROME_WORDS)
+
+
 def _is_marked(attributes: str, inside_main: bool = False) -> bool:
-    """Whether a token of class, id or role consists of such words (``ad``, ``cookie-notice``; not ``has-sidebar``)."""
-    if "=" not in attributes:
+    """Whether class, id or role have a token that says chrome."""
+    return "=" in attributes and any(_marks(token, inside_main) for m in _MARKS.finditer(attributes) for token in m[1].strip("\"'").lower().split())
+
+
+def _is_hidden(attributes: str) -> bool:
+    lowered = attributes.lower()
+    if "hidden" not in lowered and "display" not in lowered:
         return False
-    for m in _MARKS.finditer(attributes):
-        for token in m[1].strip("\"'").lower().split():
-            if all(w in CHROME_WORDS for w in _PARTS.split(token)) and not (inside_main and token == "header"):
-                return True
-    return False
+    bare = _QUOTED.sub('""', attributes)
+    return bool(_HIDDEN.search(bare)) or any(_UNSEEN.search(m[1]) for m in _STYLE.finditer(attributes))
+
 
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag ends whose attributes begin at ``at``; -1 if nowhere. A quote that is never closed
+    does not count, which can happen once for each kind of quote."""
+    while (stop := _STOP.search(page, at)) is not None:
+        sign = stop[0]
+        if sign == ">":
+            return stop.end()
+        closed = page.find(sign, stop.end())
+        at = stop.end() if closed < 0 else closed + 1
+    return -1
 
-def _tags(page: str) -> Iterator[tuple[int, int, re.Match | None]]:
+
+def _tags(page: str) -> Iterator[tuple[int, int, Tag | None]]:
     """Begin and end of the text before each tag, and the tag; the text of raw elements is left out."""
-    at = 0
-    while (tag := _TAG.search(page, at)) is not None:
-        yield at, tag.start(), tag
-        at = tag.end()
-        if tag[2] and tag[2].lower() in RAW:  # ends at its own end tag only
-            end = re.compile(rf"</{tag[2]}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = len(page) if end is None else end.end()
-    yield at, len(page), None
+    begin = at = 0
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = _COMMENT_END.search(page, start + 2)
+            tag, after = Tag(start, "", False, ""), len(page) if end is None else end.end()
+        else:
+            closing = page.startswith("</", start)
+            name = _NAME.match(page, start + 1 + closing)
+            if name is None and not page.startswith(("<!", "<?"), start):
+                at = start + 1
+                continue
+            if name is None or closing:
+                after = page.find(">", start) + 1
+            else:
+                after = _tag_end(page, name.end())
+            if after <= 0:  # no tag ends from here on
+                break
+            tag = Tag(start, name[0].lower(), closing, page[name.end() : after - 1]) if name else Tag(start, "", False, "")
+        yield begin, start, tag
+        begin = at = after
+        if tag.name in RAW and not tag.closing:  # ends at its own end tag only
+            end = _RAW_ENDS[tag.name].search(page, at)
+            begin = at = len(page) if end is None else end.end()
+    yield begin, len(page), None
 
 
 def _holding_forms(page: str) -> set[int]:
@@ -101,12 +163,11 @@ def _holding_forms(page: str) -> set[int]:
     for _, _, tag in _tags(page):
         if tag is None:
             break
-        name = (tag[1] or tag[2] or "").lower()
-        if name == "form" and tag[2]:
-            open_forms.append(tag.start())
-        elif name == "form" and open_forms:
+        if tag.name == "form" and not tag.closing:
+            open_forms.append(tag.start)
+        elif tag.name == "form" and open_forms:
             open_forms.pop()
-        elif name in _HOLDERS and tag[2]:
+        elif tag.name in _HOLDERS and not tag.closing:
             found.update(open_forms)
             open_forms = []
     return found
@@ -117,6 +178,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     open_names: list[str] = []
+    open_count: Counter[str] = Counter()
     open_kinds: list[int] = []
     kind = LOOSE
 
@@ -137,40 +199,40 @@ def blocks(page: str) -> list[Block]:
             parts.append(page[begin:end])
         if tag is None:
             break
-        ended, begun = tag[1], tag[2]
-        if ended is not None:
-            name = ended.lower()
+        name = tag.name
+        if tag.closing:
             if name not in INLINE:
                 close()
-            if name in open_names:
-                while open_names.pop() != name:
+            if open_count.get(name):
+                while (ended := open_names.pop()) != name:
+                    open_count[ended] -= 1
                     open_kinds.pop()
                     open_soft.pop()
+                open_count[name] -= 1
                 open_kinds.pop()
                 open_soft.pop()
                 new = open_kinds[-1] if open_kinds else LOOSE
                 if new != kind:
                     close()
                     kind = new
-        elif begun is not None:
-            name = begun.lower()
+        elif name:
             if name in RAW:
                 continue
             if name not in INLINE:
                 close()
             elif name == "br":
                 parts.append(" ")
-            if name in VOID or tag[3].endswith("/"):
+            if name in VOID or tag.attributes.endswith("/"):
                 continue
             new, soft = kind, bool(open_soft) and open_soft[-1]
             within = kind in (MAIN, HELD)
-            marks = name not in _UNMARKED and _is_marked(tag[3], within)
-            if name in DROPPED and not (name == "header" and within) and tag.start() not in forms:
+            marks = name not in _UNMARKED and _is_marked(tag.attributes, within)
+            if (name in DROPPED and not (name == "header" and within) and tag.start not in forms) or (name not in ("html", "body") and _is_hidden(tag.attributes)):
                 new, soft = CHROME, False
             elif kind == CHROME:
                 if soft and name == "main":
                     new, soft = MAIN, False
-                elif soft and name == "article" and not _is_marked(tag[3]):
+                elif soft and name == "article" and not _is_marked(tag.attributes):
                     new, soft = HELD, False
             elif marks:
                 new, soft = CHROME, not within
@@ -178,6 +240,7 @@ def blocks(page: str) -> list[Block]:
                 new = MAIN
             if name not in INLINE or new != kind:
                 open_names.append(name)
+                open_count[name] += 1
                 open_kinds.append(new)
                 open_soft.append(soft)
                 if new != kind:
@@ -226,20 +289,40 @@ def _streams(found: list[Block]) -> tuple[list[str], list[tuple[int, int, int]]]
     return tokens, loose
 
 
+_STORED = "host long, kinds array<tinyint>, texts array<string>"
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as their blocks."""
+    for batch in by_bytes(batches, column=2):
+        hosts, kinds, texts = [], [], []
+        for url, html in zip(*(batch.column(k).to_pylist() for k in (1, 2)), strict=True):
+            found = blocks(html or "")
+            hosts.append(_host_seed(url))
+            kinds.append([b.kind for b in found])
+            texts.append([b.text for b in found])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(3), pa.array(np.array(hosts, np.uint64).view(np.int64)), pa.array(kinds, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string()))],
+            ["_id", "_url", "host", "kinds", "texts"])
+
+
+def _blocks_of(kinds: list[int], texts: list[str]) -> list[Block]:
+    return [Block(k, t) for k, t in zip(kinds, texts, strict=True)]
+
+
 def _page_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Host, fingerprint of the text and tokens outside main blocks, of pages with enough of them."""
     for batch in some_rows(batches):
         hosts, prints, streams = [], [], []
-        for url, html in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-            found = blocks(html or "")
+        for host, kinds, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = _blocks_of(kinds, texts)
             tokens, _ = _streams(found)
             if len(tokens) >= RUN:
                 text = "\n\n".join(b.text for b in found if b.kind != CHROME)
-                hosts.append(_host_seed(url))
+                hosts.append(host)
                 prints.append(hashlib.blake2b(text.encode(), digest_size=16).digest())
                 streams.append(" ".join(tokens))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.array(hosts, np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(streams, pa.string())], ["host", "print", "stream"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(prints, pa.binary()), pa.array(streams, pa.string())], ["host", "print", "stream"])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,78 +375,58 @@ def _joined(found: list[Block], covered: dict[int, np.ndarray] | None = None) ->
     return "\n\n".join(texts)
 
 
-def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages without loose blocks: nothing of theirs hangs on other pages."""
-    for batch in some_rows(batches):
-        rows, texts = [], []
-        for row, html in enumerate(batch.column(2).to_pylist()):
-            found = blocks(html or "")
-            if all(b.kind != LOOSE for b in found):
-                rows.append(row)
-                texts.append(_joined(found))
-        at = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(texts, pa.string())], ["_id", "_url", "text"])
-
-
 def _loose_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page number, prefix, place) of the substrings that touch loose tokens."""
     for batch in some_rows(batches):
-        for row, (_, url, html) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
-            found = blocks(html or "")
-            tokens, loose = _streams(found)
-            if not loose:
+        for number, host, kinds, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            tokens, loose = _streams(_blocks_of(kinds, texts))
+            if not loose or len(tokens) < RUN:
                 continue
-            key = mix(_fingerprints(tokens) ^ _host_seed(url)) if len(tokens) >= RUN else np.zeros(0, np.uint64)
+            key = mix(_fingerprints(tokens) ^ np.int64(host).view(np.uint64))
             near = np.zeros(len(key), dtype=bool)
-            for _, first, n in loose:  # only substrings that touch loose tokens matter
+            for _, first, n in loose:
                 near[max(0, first - RUN + 1) : first + n] = True
             at = np.flatnonzero(near)
-            n = len(at)
-            one = batch.slice(row, 1)
-            if n:
-                take = pa.array(np.zeros(n, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [one.column(0).take(take), one.column(1).take(take), pa.array(key[at].view(np.int64)), pa.array(at.astype(np.int32))],
-                    ["_id", "_url", "key", "at"])
-
-
-def _with_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in some_rows(batches):
-        yield batch.filter(pa.array([any(b.kind == LOOSE for b in blocks(x or "")) for x in batch.column(2).to_pylist()], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), number)), pa.array(key[at].view(np.int64)), pa.array(at.astype(np.int32))], ["number", "key", "at"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in some_rows(batches):
-        texts = []
-        for html, repeated in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            found = blocks(html or "")
+        out = []
+        for kinds, texts, repeated in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+            found = _blocks_of(kinds, texts)
             tokens, loose = _streams(found)
             gone = np.zeros(len(tokens), dtype=bool)
             for at in repeated or []:
                 gone[at : at + RUN] = True
-            texts.append(_joined(found, _removed(found, gone, loose)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["_id", "_url", "text"])
+            out.append(_joined(found, _removed(found, gone, loose)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["_id", "_url", "text"])
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Row per page: the id and url columns and ``text``."""
-    id_type = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).alias("_html"))
-    path = scratch_dir(pages.sparkSession, "page-streams")
-    (rows.mapInArrow(_page_streams, "host long, print binary, stream string").groupBy("host", "print").agg(F.min("stream").alias("stream"))
-     .select("host", "stream").write.option("compression", "zstd").parquet(path))
-    streams = pages.sparkSession.read.schema("host long, stream string").parquet(path)
+    id_type, url_type = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_site"), F.col(html_col).cast("string").alias("_html"), F.col(url_col).alias("_url"))
+    spark, path = pages.sparkSession, scratch_dir(pages.sparkSession, "page-blocks")
+    (rows.mapInArrow(_read, f"_id {id_type}, _url {url_type}, {_STORED}").withColumn("number", F.monotonically_increasing_id())
+     .write.option("compression", "zstd").parquet(f"{path}/pages"))
+    stored = spark.read.parquet(f"{path}/pages")  # numbers stay as they were written
+    (stored.select("host", "kinds", "texts").mapInArrow(_page_streams, "host long, print binary, stream string").groupBy("host", "print").agg(F.min("stream").alias("stream"))
+     .select("host", "stream").write.option("compression", "zstd").parquet(f"{path}/streams"))
+    streams = spark.read.schema("host long, stream string").parquet(f"{path}/streams")
     hosts = (streams.groupBy("host").agg(F.greatest(F.lit(LEAST_PAGES), F.ceil(F.count("*") * SHARE)).alias("least"))
              .repartition("host", "least"))  # dealt anew, so that the join can split a hot host
     repeated = (streams.mapInArrow(_suffixes, "key long, host long, n long").groupBy("key", "host").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_PAGES)
                 .join(hosts, "host").where(F.col("n") >= F.col("least")).select("key", "n").repartition("key", "n").select("key"))
-    loose = rows.mapInArrow(_loose_suffixes, f"_id {id_type}, _url string, key long, at int")
-    found = loose.join(repeated, "key").groupBy("_id", "_url").agg(F.collect_set("at").alias("_at"))
-    plain = rows.mapInArrow(_plain, f"_id {id_type}, _url string, text string")
-    same = [F.col("p._id").eqNullSafe(F.col("f._id")), F.col("p._url").eqNullSafe(F.col("f._url"))]
-    page = f"_id {id_type}, _url string, _html string"
-    joined = rows.mapInArrow(_with_loose, page).alias("p").join(found.alias("f"), same, "left").select("p._id", "p._url", "p._html", "f._at")
-    cut = joined.mapInArrow(_cut, f"_id {id_type}, _url string, text string")
-    return plain.unionAll(cut).select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text")
+    is_loose = F.array_contains("kinds", F.lit(LOOSE).cast("tinyint"))
+    loose = stored.where(is_loose)
+    found = (loose.select("number", "host", "kinds", "texts").mapInArrow(_loose_suffixes, "number long, key long, at int").join(repeated, "key")
+             .groupBy("number").agg(F.collect_set("at").alias("at")))
+    columns = ("_id", "_url", "kinds", "texts")
+    # Pages without loose blocks wait for nothing: none of theirs hangs on other pages.
+    plain = stored.where(~is_loose).select(*columns, F.lit(None).cast("array<int>").alias("at"))
+    cut = plain.unionAll(loose.join(found, "number", "left").select(*columns, "at")).mapInArrow(_cut, f"_id {id_type}, _url {url_type}, text string")
+    return cut.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
