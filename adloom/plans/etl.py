@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adloom import schemas
 from adloom.plans import ad_kpis, ad_marts, documents, reviews, star_schema
 from adloom.sources.files import INGEST_ORDER, export_results, first_rows, read_csv, with_ingest_order
+from adloom.sources.json_documents import write_json_lists
 from adloom.sources.tables import read_table, write_keyed, write_table
 
 
@@ -58,6 +59,11 @@ def export_kpi_reports(spark: SparkSession, star: str, out: str, start: str, end
     export_results(kpi_reports(spark, star, start, end), out)
 
 
+def export_kpi_document(spark: SparkSession, star: str, out: str, start: str, end: str) -> None:
+    """All KPI reports as one indented JSON document: a list of records by title, empty for a report without rows."""
+    write_json_lists(kpi_reports(spark, star, start, end), out)
+
+
 def load_lookup_marts(spark: SparkSession, star: str, out: str) -> None:
     """Stored answers to the lookups by campaign, advertiser and user. A request reads
     the few row groups its key falls into and recomputes nothing."""

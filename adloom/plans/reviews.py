@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom import schemas
 from adloom.functions import flags, text
 from adloom.functions.shape import present
 from adloom.operators.ranking import latest_per_key, top_per_group
@@ -34,24 +35,19 @@ def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], writt
 
 
 def reviews_by_product(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
-    return _keyed(reviews, BY_PRODUCT, (
-        "product_id", "review_date", "review_id", "customer_id", "star_rating",
-        "review_headline", "review_body"), written)
+    return _keyed(reviews, BY_PRODUCT, schemas.REVIEWS_BY_PRODUCT, written)
 
 
 def reviews_by_product_rating(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
     """The rating is part of this key, so rows without one are left out."""
-    return _keyed(reviews, BY_PRODUCT_RATING, (
-        "product_id", "star_rating", "review_date", "review_id", "customer_id",
-        "review_headline", "review_body"), written)
+    return _keyed(reviews, BY_PRODUCT_RATING, schemas.REVIEWS_BY_PRODUCT_RATING, written)
 
 
 def reviews_by_customer(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
     """A narrow copy, so the bodies are never shuffled. It holds what the product
     copy holds, hence rows need a product too."""
     with_product = reviews.filter(F.col("product_id").isNotNull())
-    return _keyed(with_product, BY_CUSTOMER, (
-        "customer_id", "review_date", "review_id", "product_id", "star_rating", "review_headline"), written)
+    return _keyed(with_product, BY_CUSTOMER, schemas.REVIEWS_BY_CUSTOMER, written)
 
 
 def newest_reviews(keyed: DataFrame, partition_key: Sequence[str], limit: int = 10) -> DataFrame:

@@ -39,10 +39,7 @@ def dim_campaigns(raw_campaigns: DataFrame, advertisers: DataFrame, locations: D
     parsed = raw_campaigns.withColumns(text.targeting_fields(F.col("TargetingCriteria")))
     with_ids = resolve_key(parsed, advertisers, "AdvertiserName", "advertiser_name", "advertiser_id", "advertiser_id")
     with_ids = resolve_key(with_ids, locations, "target_country", "country_name", "location_id", "target_location_id")
-    renamed = rename_present(drop_present(with_ids, "AdvertiserName", "TargetingCriteria", "target_country"), {
-        "CampaignID": "campaign_id", "CampaignName": "campaign_name",
-        "CampaignStartDate": "start_date", "CampaignEndDate": "end_date", "Budget": "budget",
-        "AdSlotSize": "ad_slot_size", "RemainingBudget": "remaining_budget"})
+    renamed = rename_present(drop_present(with_ids, "AdvertiserName", "TargetingCriteria", "target_country"), schemas.CAMPAIGN_NAMES)
     typed = _parse_present(renamed, {
         "campaign_id": text.to_long, "start_date": text.to_day, "end_date": text.to_day,
         "budget": text.to_money, "remaining_budget": text.to_double})
@@ -50,10 +47,7 @@ def dim_campaigns(raw_campaigns: DataFrame, advertisers: DataFrame, locations: D
 
 
 def _users(raw_users: DataFrame) -> DataFrame:
-    return rename_present(raw_users, {
-        "UserID": "user_id", "Age": "age", "Gender": "gender", "SignupDate": "signup_date",
-        "RegistrationDate": "signup_date", "Location": "location", "Interests": "interests",
-    }).withColumn("user_id", text.to_long(F.col("user_id")))
+    return rename_present(raw_users, schemas.USER_NAMES).withColumn("user_id", text.to_long(F.col("user_id")))
 
 
 def dim_users(raw_users: DataFrame, locations: DataFrame) -> DataFrame:
@@ -73,10 +67,7 @@ def fact_events(raw_events: DataFrame, campaigns: DataFrame, locations: DataFram
     events = strip_headers(raw_events)
     events = resolve_key(events, campaigns, "CampaignName", "campaign_name", "campaign_id", "campaign_id", UNKNOWN_ID)
     events = resolve_key(events, locations, "Location", "country_name", "location_id", "location_id", UNKNOWN_ID)
-    renamed = rename_present(events, {
-        "EventID": "event_id", "UserID": "user_id", "Device": "device", "Timestamp": "event_timestamp",
-        "BidAmount": "bid_amount", "AdCost": "ad_cost", "WasClicked": "was_clicked",
-        "ClickTimestamp": "click_timestamp", "AdRevenue": "ad_revenue"})
+    renamed = rename_present(events, schemas.EVENT_NAMES)
     typed = _parse_present(renamed, {
         "user_id": text.to_long, "event_timestamp": text.to_wall_clock, "bid_amount": text.to_money,
         "ad_cost": text.to_money, "was_clicked": flags.clicked_truthy,

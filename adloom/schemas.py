@@ -42,6 +42,35 @@ FACT_EVENTS = (
     "bid_amount", "ad_cost", "was_clicked", "click_timestamp", "ad_revenue",
 )
 
+# Names of raw columns in the star-schema tables.
+CAMPAIGN_NAMES = {
+    "CampaignID": "campaign_id", "CampaignName": "campaign_name",
+    "CampaignStartDate": "start_date", "CampaignEndDate": "end_date", "Budget": "budget",
+    "AdSlotSize": "ad_slot_size", "RemainingBudget": "remaining_budget",
+}
+USER_NAMES = {
+    "UserID": "user_id", "Age": "age", "Gender": "gender", "SignupDate": "signup_date",
+    "RegistrationDate": "signup_date", "Location": "location", "Interests": "interests",
+}
+EVENT_NAMES = {
+    "EventID": "event_id", "UserID": "user_id", "Device": "device", "Timestamp": "event_timestamp",
+    "BidAmount": "bid_amount", "AdCost": "ad_cost", "WasClicked": "was_clicked",
+    "ClickTimestamp": "click_timestamp", "AdRevenue": "ad_revenue",
+}
+
+# Columns of the keyed review tables.
+REVIEWS_BY_PRODUCT = (
+    "product_id", "review_date", "review_id", "customer_id", "star_rating",
+    "review_headline", "review_body",
+)
+REVIEWS_BY_PRODUCT_RATING = (
+    "product_id", "star_rating", "review_date", "review_id", "customer_id",
+    "review_headline", "review_body",
+)
+REVIEWS_BY_CUSTOMER = (
+    "customer_id", "review_date", "review_id", "product_id", "star_rating", "review_headline",
+)
+
 # Enumerations of the star schema.
 DEVICES = ("Mobile", "Desktop", "Tablet")
 GENDERS = ("Male", "Female")
@@ -53,7 +82,7 @@ CLICK = T.StructType([
     T.StructField("ad_revenue", T.DoubleType()),
 ])
 
-# Wiki change messages as they arrive, and as the filter job passes them on.
+# Wiki change messages as they arrive, and as the filter job passes them on.
 WIKI_INPUT = T.StructType([
     T.StructField("meta", text_schema("domain", "dt")),
     T.StructField("performer", T.StructType([

@@ -66,6 +66,11 @@ def test_reports_and_lookup_marts(spark, star, tmp_path):
     for title, df in reports.items():
         lines = [json.loads(x) for p in (tmp_path / "json" / title).glob("*.json") for x in p.read_text().splitlines()]
         assert len(lines) == df.count() and len(lines) > 0
+    etl.export_kpi_document(spark, out, str(tmp_path / "document"), "1995-01-01", "2002-01-01")
+    parts = sorted((tmp_path / "document").glob("part-*"))
+    document = json.loads("".join(p.read_text() for p in parts))
+    assert {title: len(found) for title, found in document.items()} == {title: df.count() for title, df in reports.items()}
+    assert document["device_performance"] == [json.loads(x) for x in reports["device_performance"].toJSON().collect()]
     etl.load_lookup_marts(spark, out, str(tmp_path / "marts"))
     events = tables.read_table(spark, f"{out}/events")
     some = events.filter("ad_revenue > 0 and campaign_id > 0").first()
