@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.components import components
-from adloom.llm.textops import NOT_BLANK, SpanHashes, mix, some_rows, text_chunks, word_spans
+from adloom.llm.textops import NOT_BLANK, SpanHashes, by_bytes, mix, some_rows, text_chunks, text_mark, word_spans
 from adloom.session import scratch_dir
 
 BANDS = 24
@@ -105,7 +105,7 @@ def bag_signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n_
 
 
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_bytes(batches, column=2):
         for first, data, offsets in text_chunks(batch.column(2)):
             n = len(offsets) - 1
             text, element, weight = shingle_multisets(data, offsets, shingle)
@@ -164,17 +164,19 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, least: float) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
                     similarity: float = SIMILARITY, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND) -> DataFrame:
-    """Row per input row: ``_id``, ``_h`` (hash of the text), ``class_id`` (least id of the class, null only if all are; a
-    text without words is its own class), ``n_shingles`` and ``n_links`` (different texts linked directly)."""
+    """Row per input row: ``_id``, ``_h`` (128 bits of the text), ``class_id`` (least id of the class, null only if all are; a
+    text without words is its own class), ``n_shingles`` and ``head``: rows of one id and text in each class have it, so
+    keeping one row of these keeps one row of the class, also where ids are null or repeat. A row without words has it."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     path = scratch_dir(spark, "near-duplicates")
-    rows = docs.select(F.col(id_col).alias("_id"), F.hash(text_col).alias("_h"), F.col(text_col).alias("_text"))
+    first = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_h")  # null ids come last
+    rows = docs.select(F.col(id_col).alias("_id"), text_mark(text_col).alias("_h"), F.col(text_col).alias("_text"))
     rows.mapInArrow(lambda b: _signed(b, shingle, bands, rows_per_band),
-                    f"_id {id_type}, _h int, grp binary, n long, bands array<long>, bits array<long>").write.parquet(f"{path}/signed")
+                    f"_id {id_type}, _h binary, grp binary, n long, bands array<long>, bits array<long>").write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     worded = signed.where(F.col("grp").isNotNull())
-    (worded.groupBy("grp").agg(F.min(F.struct("_id", "_h")).alias("one"), F.min("_id").alias("least"), F.count("*").alias("copies"),
+    (worded.groupBy("grp").agg(F.min(first).alias("one"), F.min("_id").alias("least"), F.count("*").alias("copies"),
                                F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
      .write.parquet(f"{path}/groups"))
     groups = spark.read.parquet(f"{path}/groups")
@@ -187,7 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = spark.read.parquet(f"{path}/buckets")
 
     wanted = buckets.select("grp").distinct().join(groups.select("grp", "one"), "grp")
-    packed = rows.mapInArrow(_blobs, f"_id {id_type}, _h int, blob binary")
+    packed = rows.mapInArrow(_blobs, f"_id {id_type}, _h binary, blob binary")
     same = [F.col("b._id").eqNullSafe(F.col("w.one._id")), F.col("b._h") == F.col("w.one._h")]
     packed.alias("b").join(wanted.alias("w"), same).select("w.grp", "b.blob").dropDuplicates(["grp"]).write.parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
@@ -242,20 +244,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = edges.unionAll(verify(across, "across"))
     final = components(edges)
 
-    links = (edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-             .groupBy("u").agg(F.count("*").alias("n_links")).withColumnRenamed("u", "grp"))
-    classed = (groups.select("grp", "least").join(final.withColumnRenamed("node", "grp"), "grp", "left").join(links, "grp", "left")
-               .select("grp", "least", F.coalesce("component", "grp").alias("component"),
-                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    heads = classed.groupBy("component").agg(F.min("least").alias("class_id"))
-    named = classed.join(heads, "component").select("grp", "class_id", "n_links")
-    return (worded.join(named, "grp").select("_id", "_h", "class_id", F.col("n").alias("n_shingles"), "n_links")
+    classed = (groups.select("grp", "least", "one").join(final.withColumnRenamed("node", "grp"), "grp", "left")
+               .select("grp", "least", "one", F.coalesce("component", "grp").alias("component")))
+    heads = classed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("one").alias("head"))
+    named = classed.join(heads, "component").select("grp", "class_id", "head")
+    is_head = F.col("_id").eqNullSafe(F.col("head._id")) & (F.col("_h") == F.col("head._h"))
+    return (worded.join(named, "grp").select("_id", "_h", "class_id", F.col("n").alias("n_shingles"), is_head.alias("head"))
             .unionAll(signed.where(F.col("grp").isNull()).select("_id", "_h", F.col("_id").alias("class_id"),
-                                                                 F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"))))
+                                                                 F.col("n").alias("n_shingles"), F.lit(True).alias("head"))))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs)
-    return found.select(F.col("_id").alias("doc_id"), "class_id", (F.col("_id") == F.col("class_id")).alias("is_representative"),
-                        "n_links", "n_shingles")
+    return found.select(F.col("_id").alias("doc_id"), "class_id", F.col("head").alias("is_representative"), "n_shingles")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import LETTERS_DIGITS, LOWER, SpanHashes, some_rows, text_chunks, word_spans
+from adloom.llm.textops import LETTERS_DIGITS, LOWER, SpanHashes, by_bytes, some_rows, text_chunks, word_spans
 from adloom.session import scratch_dir
 
 BLOCK_BYTES = 2 << 20
@@ -178,7 +178,7 @@ def _stretches(automaton: ItemAutomaton, hashes: SpanHashes, n_words: int, text_
 
 def _scan(batches: Iterator[pa.RecordBatch], at: int, automaton: ItemAutomaton) -> Iterator[pa.RecordBatch]:
     hit_type = pa.list_(pa.struct([(x, pa.int64()) for x in ("first", "words", "start", "end")]))
-    for batch in batches:
+    for batch in by_bytes(batches, at, 4 << 20):
         n = batch.num_rows
         counts = np.zeros(n, dtype=np.int64)
         hits: list[list] = [[] for _ in range(n)]

@@ -22,6 +22,7 @@ import zlib
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -34,7 +35,8 @@ from adloom.llm.textops import some_rows
 from adloom.session import scratch_dir
 
 END_ID = 0
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 600_000  # parts with their ids, some 100 MB
+_KEPT_WORDS = 100_000  # of them between tasks
 _SPACE_RUN = re.compile(r"\s |  |\s$| \s")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -78,14 +80,24 @@ class Tokenizer:
     contain an added token of the file (such as an end-of-text mark) are encoded whole by its own model."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer as Model
-
-        self._model = Model.from_file(path)
-        added = {t.content for t in self._model.get_added_tokens_decoder().values()}
+        with open(path, encoding="utf-8") as file:
+            added = {t["content"] for t in json.load(file).get("added_tokens", [])}
+        self._path = path
         self._added = re.compile("|".join(map(re.escape, sorted(added)))) if added else None
         self._fast = _rank_encoder(path)
         self._known: dict[str, bytes] = {}
 
+    @cached_property
+    def _model(self):
+        """The library's own model, made only when a text needs it."""
+        from tokenizers import Tokenizer as Model
+
+        return Model.from_file(self._path)
+
+    def forget(self, kept: int) -> None:
+        """Keeps the ids of that many parts; frequent ones came first."""
+        self._known = dict(islice(self._known.items(), kept))
+
     def encode(self, text: str) -> bytes:
         if self._added and self._added.search(text):
             return self._packed(self._model.encode(text, add_special_tokens=False).ids)
@@ -96,8 +108,9 @@ class Tokenizer:
             return b"".join([known[p] for p in parts])
         except KeyError:
             pass
-        if len(known) > _CACHE_WORDS:  # frequent parts came first
-            self._known = known = dict(islice(known.items(), _CACHE_WORDS // 2))
+        if len(known) > _CACHE_WORDS:
+            self.forget(_CACHE_WORDS // 2)
+            known = self._known
         out = []
         for part in parts:
             ids = known.get(part)
@@ -151,6 +164,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
             columns.append(pa.array(ids, pa.list_(pa.int32())))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(columns, names)
+    tokenizer.forget(_KEPT_WORDS)
 
 
 def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

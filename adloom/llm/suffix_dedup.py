@@ -9,11 +9,12 @@ position, so equal windows name the same suffix. A suffix entry holds the finger
 its first ``SEED`` bytes (its place in the array), and the fingerprint of the whole stretch
 that its windows cover.
 
-*Index family.* In each task every chunk of new texts gets its own sorted array of prefix
-fingerprints and counts, and levels of about equal size merge, so the task keeps O(log chunks) sorted arrays. What a
-task hands to the shuffle is one array with a row per distinct prefix, and the shuffle merges the arrays of all tasks.
-A prefix held by a third of all texts is one row per task. The levels are not kept after the run: a new batch
-is matched by a run over old and new texts.
+*Index family.* A batch of texts becomes a run: its sorted array of distinct prefix fingerprints, each with its number of entries
+and its lowest and highest stretch. In each task every chunk of texts gets its own sorted array, and levels of about equal size
+merge; the shuffle merges the arrays of all tasks, so a prefix held by a third of all texts is one row per task. Runs are stored
+(:class:`SuffixIndex`), and runs of about equal size merge in the same way, so n batches leave O(log n) of them, and a
+prefix is looked for in all by one merge. Adding a batch reads no text that came before; which texts hold a repeated string is
+then found over all texts of the index. Whoever has one batch alone has one run.
 
 *Long matches.* Stretches under a repeated prefix that are all alike repeat as a whole. Only
 stretches that differ under one prefix (the ends of passages, edited copies) are compared
@@ -35,11 +36,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.llm.textops import _BYTE_VALUES, SpanHashes, mix, sliding_min, some_rows, text_chunks, text_mark
+from adloom.llm.textops import _BYTE_VALUES, SpanHashes, by_bytes, mix, sliding_min, some_rows, text_chunks, text_mark
 from adloom.session import scratch_dir
 
 SEED = 32
@@ -110,7 +111,7 @@ class SuffixLevels:
 
 def _prefix_arrays(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     index = SuffixLevels()
-    for batch in batches:
+    for batch in by_bytes(batches, 0, 4 << 20):
         for _, key, stretch, _ in _sparse_suffixes(batch.column(0), min_bytes):
             index.add(key.view(np.int64), stretch.view(np.int64))
     found = index.merged()
@@ -119,8 +120,62 @@ def _prefix_arrays(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterato
             yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in found], ["key", "n", "low", "high"])
 
 
+_RUN = "key long, n long, low long, high long"
+
+
+class SuffixIndex:
+    """Runs of prefix fingerprints of all texts added so far, stored below ``path``.
+
+    Every state ends with a row of ``log``; an index opened again goes on from the last complete one."""
+
+    def __init__(self, spark: SparkSession, path: str, min_bytes: int = 200) -> None:
+        if not SEED <= min_bytes <= 30_000:
+            raise ValueError("min_bytes out of range")
+        self.spark, self.path, self.min_bytes = spark, path, min_bytes
+        self.state, self.runs = 0, []
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> SuffixIndex:
+        last = spark.read.json(f"{path}/log/*").orderBy(F.desc("state")).first()
+        index = cls(spark, path, last["min_bytes"])
+        index.state, index.runs = last["state"], [(name, int(n)) for name, n in last["runs"]]
+        return index
+
+    @staticmethod
+    def _merged(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+    def _stored(self, runs: list[tuple[str, int]]) -> DataFrame:
+        return self.spark.read.schema(_RUN).parquet(*(f"{self.path}/runs/{name}" for name, _ in runs))
+
+    def _write(self, rows: DataFrame, name: str) -> tuple[str, int]:
+        rows.sortWithinPartitions("key").write.mode("overwrite").parquet(f"{self.path}/runs/{name}")
+        return name, self._stored([(name, 0)]).count()
+
+    def add(self, docs: DataFrame, text_col: str = "text") -> None:
+        """The run of a new batch; runs of about equal size merge."""
+        step, least = self.state + 1, self.min_bytes
+        arrays = docs.select(F.col(text_col).alias("_text")).mapInArrow(lambda b: _prefix_arrays(b, least), _RUN)
+        self.runs.append(self._write(self._merged(arrays), f"{step}-batch"))
+        while len(self.runs) > 1 and self.runs[-2][1] < 2 * self.runs[-1][1]:
+            last, earlier = self.runs.pop(), self.runs.pop()
+            self.runs.append(self._write(self._merged(self._stored([earlier, last])), f"{step}-merged-{len(self.runs)}"))
+        self.state = step
+        log = self.spark.createDataFrame([(step, least, [list(map(str, r)) for r in self.runs])], "state long, min_bytes long, runs array<array<string>>")
+        log.coalesce(1).write.mode("overwrite").json(f"{self.path}/log/{step}")
+
+    def repeated(self) -> DataFrame:
+        """(key, mixed) of prefixes met twice or more; mixed if their stretches differ."""
+        rows = self._stored(self.runs)
+        return (rows if len(self.runs) == 1 else self._merged(rows)).where("n >= 2").select("key", (F.col("low") < F.col("high")).alias("mixed"))
+
+    def cut(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """:func:`cut_repeats` of all texts of the index."""
+        return cut_repeats(docs, id_col, text_col, self.min_bytes, self)
+
+
 def _entries(batches: Iterator[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_bytes(batches, 2, 4 << 20):
         for row, key, stretch, place in _sparse_suffixes(batch.column(2), min_bytes):
             rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
@@ -299,19 +354,17 @@ def _large_spans(contexts: DataFrame, schema: str, path: str, min_bytes: int) ->
     return windows.where("alone").join(repeated(windows, "value", "other"), ["value", "other"]).select("_id", "_h", "span")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200, index: SuffixIndex | None = None) -> DataFrame:
     """Row per text with repeats: ``_id``, ``_h`` (128 bits of the text) and ``spans``, a list
     of longs holding start (upper bits) and length (lower 16 bits) of covered runs, which may
-    overlap. ``min_bytes`` is from SEED to 30,000."""
-    if not SEED <= min_bytes <= 30_000:
-        raise ValueError("min_bytes out of range")
+    overlap. ``min_bytes`` is from SEED to 30,000. ``index`` holds just these texts; without one, one is made."""
     spark = docs.sparkSession
+    if index is None:
+        index = SuffixIndex(spark, scratch_dir(spark, "suffix-index"), min_bytes)
+        index.add(docs, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), text_mark(text_col).alias("_h"), F.col(text_col).alias("_text"))
-    arrays = rows.select("_text").mapInArrow(lambda b: _prefix_arrays(b, min_bytes), "key long, n long, low long, high long")
-    repeated = (arrays.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-                .where("n >= 2").select("key", (F.col("low") < F.col("high")).alias("mixed"))
-                .repartition("key", "mixed"))  # dealt anew, so that the join below can split a hot key
+    repeated = index.repeated().repartition("key", "mixed")  # dealt anew, so that the join below can split a hot key
     entries = rows.mapInArrow(lambda b: _entries(b, min_bytes), f"_id {id_type}, _h binary, key long, stretch long, place long")
     path = scratch_dir(spark, "suffix-matches")
     entries.join(repeated, "key").write.parquet(f"{path}/matches")
@@ -370,10 +423,10 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(out, [*batch.schema.names[:-1], "n_bytes", "n_removed", "n_spans"])
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200) -> DataFrame:
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200, index: SuffixIndex | None = None) -> DataFrame:
     """``docs`` with the text replaced by its remaining bytes (binary; empty for null), and
     n_bytes, n_removed, n_spans at the end. Cuts may fall inside a character."""
-    spans = repeated_spans(docs, id_col, text_col, min_bytes)
+    spans = repeated_spans(docs, id_col, text_col, min_bytes, index)
     names = docs.columns
     at = names.index(text_col)
     # Positional names: extra columns may bear any name.
@@ -389,4 +442,6 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return cut_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+    index = SuffixIndex(spark, scratch_dir(spark, "suffix-index"))
+    index.add(docs)
+    return index.cut(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))

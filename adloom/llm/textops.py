@@ -7,6 +7,8 @@ is a chunk of its own), which bounds the memory of every helper here.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # some 60 MB of arrays in the largest step
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -25,15 +27,18 @@ _inverses = np.ones(1, dtype=np.uint64)
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row of the first text, bytes, offsets) of consecutive chunks; nulls are empty texts."""
+    """(row of the first text, bytes, offsets) of consecutive chunks; nulls are empty texts. Nothing is copied."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
     if n == 0:
         return
     _, raw_offsets, raw = column.buffers()
-    offsets = np.frombuffer(raw_offsets, dtype=np.int64)[column.offset : column.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(raw_offsets, dtype=width)[column.offset : column.offset + n + 1].astype(np.int64)
+    if column.null_count and (np.diff(offsets) * column.is_null().to_numpy(zero_copy_only=False)).any():  # bytes behind a null
+        yield from text_chunks(column.fill_null(""))
+        return
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
     first = 0
     while first < n:
@@ -43,11 +48,19 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         first = last
 
 
+def release() -> None:
+    """Gives memory that is free back to the system; a worker that waits for its next task should not hold what the last one needed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries keep their own counsel
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, for steps that make Python objects of them."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    release()
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = CHUNK_BYTES, rows: int = 2048) -> Iterator[pa.RecordBatch]:
@@ -60,6 +73,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = CH
             last = min(max(int(np.searchsorted(ends, done + limit, side="right")), first + 1), first + rows)
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
 def text_mark(text: Column | str) -> Column:

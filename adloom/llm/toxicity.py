@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adloom.llm.labels import labelled_sample
-from adloom.llm.textops import LOWER, SpanHashes, byte_class, text_chunks, word_spans
+from adloom.llm.textops import LOWER, SpanHashes, by_bytes, byte_class, text_chunks, word_spans
 from adloom.session import scratch_dir
 
 SAMPLE_ROWS = 20_000
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def _scores(batches: Iterator[pa.RecordBatch], at: int, model: Severity) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_bytes(batches, at, 4 << 20):
         score = np.zeros(batch.num_rows)
         for first, n, row, feature in _occurrences(batch.column(at)):
             row, place, count = _lookup(model.features, row, feature)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm import bag_minhash, decontaminate, packing, suffix_dedup, toxicity
+from adloom.llm.textops import text_mark
 from adloom.session import scratch_dir
 
 
@@ -28,15 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each near-duplicate class."""
+    """The document with the least id of each near-duplicate class (null ids come last); of rows that
+    repeat both id and text one."""
     found = bag_minhash.near_duplicates(docs)
-    heads = found.where(F.col("_id").eqNullSafe(F.col("class_id"))).select("_id", "_h").distinct()
-    same = [F.col("d.doc_id").eqNullSafe(F.col("h._id")), F.hash("d.text") == F.col("h._h")]
-    kept = docs.alias("d").join(heads.alias("h"), same, "left_semi")
-    if not found.groupBy("_id", "_h").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        # Rows that repeat both id and text are the same document.
-        kept = kept.withColumn("_x", F.xxhash64("text")).dropDuplicates(["doc_id", "_x"]).select(*docs.columns)
-    return kept
+    heads = found.where("head").groupBy("_id", "_h").agg(F.count("*").alias("_rows"), (F.max("n_shingles") > 0).alias("_worded"))
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # extra columns may bear any name
+    doc_id, text = f"c{docs.columns.index('doc_id')}", f"c{docs.columns.index('text')}"
+    same = [F.col(doc_id).eqNullSafe(F.col("_id")), text_mark(text) == F.col("_h")]
+    kept = plain.join(heads, same)
+    repeated = (F.col("_rows") > 1) & F.col("_worded")
+    one = kept.where(repeated).dropDuplicates(["_id", "_h"])
+    return kept.where(~repeated).unionByName(one).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

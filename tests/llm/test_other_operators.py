@@ -7,6 +7,7 @@ import hashlib
 import html
 import json
 import re
+import time
 
 import numpy as np
 import pytest
@@ -60,6 +61,22 @@ def test_language_held_out(spark):
     assert n > 150 and right > 0.95
 
 
+def test_language_learns_from_long_texts(spark):
+    """Only long texts of one language, and a language named by mistake in every row."""
+    long_es = " ".join(["el perro y la casa de los niños que comen pan en la calle"] * 450)
+    rows = [(k, long_es + f" {k}", "es") for k in range(5)] + [(10 + k, "the dog and the house of the children", "en") for k in range(5)]
+    rows += [(100 + k, "zzz qqq", f"junk{k}") for k in range(language.LANGUAGES + 50)]
+    found = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(found) == language.LANGUAGES and {"es", "en"} <= set(found)
+    assert 5000 < len(found["es"]) <= language.DICTIONARY_BYTES
+    asked = spark.createDataFrame([(1, "la casa de los niños"), (2, "the house of the dog")], "doc_id long, text string")
+    assert [r.lang_pred for r in language.identify(asked, {k: found[k] for k in ("es", "en")}).collect()] == ["es", "en"]
+    # All sampled texts have a share of the dictionary.
+    texts = [bytes([97 + k]) * 30_000 for k in range(10)]
+    assert set(language._shared(texts)) == {*range(97, 107), 32} and len(language._shared(texts)) <= language.DICTIONARY_BYTES
+    assert language._shared([b"ab", b"c" * 300_000]).startswith(b"ab ccc")
+
+
 def test_language_awkward(spark):
     train = spark.createDataFrame([(k, ("the cat and the dog " if k % 2 else "der hund und die katze ") * 9, "en" if k % 2 else "de") for k in range(8)]
                                   + [(90, None, "en"), (91, "x", None), (92, "123", "zz")], "doc_id long, text string, lang string")
@@ -78,9 +95,12 @@ def test_archive_round_trip(spark):
     path = scratch_dir(spark, "warc-test")
     warc.write_archive(pages, path)
     got = warc.captures(warc.read_records(spark, path)).collect()
-    assert sorted((r.record_id, r.type, r.refers_to or "", r.payload_bytes) for r in got) == sorted([
-        ("<urn:page:1>", "response", "", 17), ("<urn:page:2>", "response", "", 0), ("<urn:page:>", "revisit", "<urn:page:2>", 0),
-        ("<urn:page:3>", "revisit", "<urn:page:1>", 17), ("<urn:page:4>", "response", "", 9), ("<urn:page:4>", "response", "", 9), ("<urn:page:5>", "response", "", 300_000)])
+    page = lambda record: record and re.fullmatch("<urn:page:([0-9]*):[A-Z2-7]{32}:[0-9]+>", record)[1]
+    assert sorted((page(r.record_id), r.type, page(r.refers_to) or "", r.payload_bytes) for r in got) == sorted([
+        ("1", "response", "", 17), ("2", "response", "", 0), ("", "revisit", "2", 0),
+        ("3", "revisit", "1", 17), ("4", "response", "", 9), ("4", "response", "", 9), ("5", "response", "", 300_000)])
+    assert len({r.record_id for r in got}) == len(got)  # repeated rows too
+    assert {r.refers_to for r in got} - {None} <= {r.record_id for r in got if r.type == "response"}
     assert {bytes(r.payload) for r in got if r.type == "response"} == {odd.encode(), b"", "日本\n\r\n".encode(), b"y" * 300_000}
     assert all(r.request.record_id.endswith(":request>") and r.metadata.record_id.endswith(":metadata>") for r in got)
     empty = scratch_dir(spark, "warc-empty")
@@ -88,6 +108,18 @@ def test_archive_round_trip(spark):
     assert warc.captures(warc.read_records(spark, empty)).count() == 0
 
 
+def test_captures_of_one_page_keep_their_own_payloads(spark):
+    rows = [(1, "a", "abcd"), (2, "b", "xy"), (7, "c", "abcd"), (7, "c", "xy"), (None, "d", "xy"), (None, "d", "abcd"), (None, "d", "abcd")]
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path)
+    got = warc.captures(warc.read_records(spark, path)).select(
+        warc._page_of("record_id", "long").alias("page"), "type", warc._page_of("refers_to", "long").alias("to"), "payload_bytes", F.size("requests").alias("n"),
+        F.size("metadata_records").alias("m"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, "response", None, 4, 1, 1), (2, "response", None, 2, 1, 1), (7, "revisit", 1, 4, 1, 1), (7, "revisit", 2, 2, 1, 1),
+         (None, "revisit", 2, 2, 1, 1), (None, "revisit", 1, 4, 1, 1), (None, "revisit", 1, 4, 1, 1)], key=repr)
+
+
 def test_archive_of_a_member_per_record(spark, tmp_path):
     def record(kind, name, block, to=None):
         head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n" + (f"WARC-Concurrent-To: <{to}>\r\n" if to else "")
@@ -152,6 +184,55 @@ def test_tool_calls_order_and_validate(spark):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize("text, schema, errors, written", [
+    ('{"q":NaN}', {}, ["$: not JSON"], None), ('{"q":1e999}', {}, ["$: not JSON"], None), ('{"q":"\\ud800"}', {}, ["$: half a surrogate pair"], None),
+    ("[" * 200_000, {}, ["$: nested too deeply"], None), ('{"\\udc00":1}', {}, ["$: half a surrogate pair"], None),
+    ('{"q":true}', {"properties": {"q": {"enum": [1]}}}, ["$.q: not allowed"], '{"q":true}'), ('{"q":1.0}', {"properties": {"q": {"enum": [1]}}}, [], '{"q":1}'),
+    ('{"q":1.0}', {"properties": {"q": {"type": "integer"}}}, [], '{"q":1}'), ('{"q":1.5}', {"properties": {"q": {"type": "integer"}}}, ["$.q: not integer"], '{"q":1.5}'),
+    ('{"q":null}', {"properties": {"q": {"type": ["string", "null"]}}}, [], '{"q":null}'),
+    ('{"q":1}', {"properties": {"q": {"type": ["string", "null"]}}}, ["$.q: not string or null"], '{"q":1}'),
+    ('{"q":1e300,"a":[-0.0]}', {}, [], '{"a":[0],"q":1e+300}')])
+def test_awkward_arguments(spark, text, schema, errors, written):
+    value, why = tool_calls.parsed(text)
+    assert ([why] if why else tool_calls.schema_errors(value, {"type": "object"} | schema)) == errors
+    assert why or tool_calls.canonical(value) == written
+
+
+def test_tool_calls_with_odd_arguments_and_columns(spark):
+    texts = ['{"q":"\\ud800"}', "[" * 200_000, '{"q":NaN}', None, "", '{"é":1.0}']
+    calls = spark.createDataFrame([(1, f"c{k}", k, "f", x, [], 1, "x", 2) for k, x in enumerate(texts)],
+                                  "conv long, call string, pos long, name string, arguments string, deps array<string>, level int, order string, n_results int")
+    results = spark.createDataFrame([(1, "c5", 9, "\ud7ff\U0001f642", 3)], "conv long, call string, pos long, content string, level int")
+    got = {r.call: r for r in tool_calls.link(calls, results, {"f": {}}).collect()}
+    assert [got[f"c{k}"].errors for k in range(6)] == [["$: half a surrogate pair"], ["$: nested too deeply"], ["$: not JSON"], ["$: not JSON"], ["$: not JSON"], []]
+    assert json.loads(got["c0"].message)["arguments"] == texts[0] and json.loads(got["c3"].message)["arguments"] is None
+    assert got["c5"].message == '{"arguments":{"é":1},"id":"c5","name":"f","result":"\ud7ff\U0001f642"}' and got["c5"].level == 0
+
+
+def _edges(seed, n):
+    """A chain of calls, a cycle with what builds on it, and random links back."""
+    rng = np.random.default_rng(seed)
+    deps = {f"a{k}": [f"a{k - 1}"] if k else [] for k in range(n)}
+    deps |= {"x": ["z"], "y": ["x"], "z": ["y"], "w": ["x", "a0"], "lost": ["nowhere"], "self": ["self"]}
+    deps |= {f"r{k}": [f"r{j}" for j in set(rng.integers(0, k, 3).tolist())] if k else [] for k in range(40)}
+    return deps
+
+
+def test_levels_of_long_chains_and_cycles(spark):
+    deps = _edges(1, 1000)
+    calls = spark.createDataFrame([(v, c, d) for v in (1, 2) for c, d in deps.items()], "conv long, call string, deps array<string>").repartition(5)
+    found = {(r.conv, r.call): r.level for r in tool_calls.levels(calls, scratch_dir(spark, "levels")).collect()}
+    want = {f"a{k}": k for k in range(1000)} | {"lost": 0}
+    for k in range(40):
+        want[f"r{k}"] = max((want[d] + 1 for d in deps[f"r{k}"]), default=0)
+    assert found == {(v, c): k for v in (1, 2) for c, k in want.items()}
+    # Long conversations are ordered by joins, with the same levels.
+    few = {c: d for c, d in deps.items() if not c.startswith("a") or int(c[1:]) < 6}
+    calls = spark.createDataFrame([(v, c, d) for v in (1, 2) for c, d in few.items() if v == 1 or c < "r2"], "conv long, call string, deps array<string>")
+    one, many = ({(r.conv, r.call): r.level for r in tool_calls.levels(calls, scratch_dir(spark, "levels"), most).collect()} for most in (10_000, 40))
+    assert one == many and len(one) > 50
+
+
 def test_tool_call_query_by_brute_force(spark):
     turns = {}
     for r in spark.read.parquet(f"{SMALL}/conversations.parquet").collect():
@@ -161,8 +242,7 @@ def test_tool_call_query_by_brute_force(spark):
         level = {}
         for t in sorted(found):
             if found[t][0] in ("user", "system"):
-                back = t - 2 * ((t + 3) // 4)
-                level[t] = level[back] + 1 if t > 0 and back >= 0 and back in level else 0
+                level[t] = level[t - 2] + 1 if t - 2 in level else 0
         for k, t in enumerate(sorted(level, key=lambda t: (level[t], t))):
             role, text = found[t]
             answer = found.get(t + 1, ("user", None))
@@ -259,3 +339,120 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     spark.createDataFrame([(0, None)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, f"file://{tmp_path}")
     assert sorted((r.doc_id is None, r.doc_id) for r in got.collect()) == [(False, 1), (False, 2), (False, 3), (True, None)]
+
+
+ARTICLE = "<html><body class='has-sidebar'><article class='post comments-open'><h1>T</h1><p>Keep me.</p>{}<p>And me.</p></article></body></html>"
+
+
+@pytest.mark.parametrize("token", ["share-buttons", "related-posts", "ad-slot", "sidebar-left", "post-comments", "subscribe-form", "cookiebar", "ad", "notice"])
+def test_marked_parts_inside_an_article_go(token):
+    found = html_text.blocks(ARTICLE.format(f"<div class='x {token}'>junk <b>more</b><p>junk</p></div>"))
+    assert [b.text for b in found if b.kind == html_text.MAIN] == ["T", "Keep me.", "And me."]
+
+
+def test_states_layouts_and_hidden_elements():
+    kept = "<div class='menu-open has-ads'>one</div><header class='entry-header'>two</header><section id='search-content'>three</section>"
+    gone = "<div hidden>x</div><p style='color:red; display : none'>x</p><i style=visibility:hidden>x</i><div HIDDEN=''>x</div>"
+    found = html_text.blocks(ARTICLE.format(kept + gone + "<input value='a>b' class='hidden'>four"))
+    assert [b.text for b in found if b.kind == html_text.MAIN] == ["T", "Keep me.", "one", "two", "three", "four", "And me."]
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<div>" * 200_000 + "</p>" * 200_000, '<a "' * 250_000, "<a x='" * 150_000 + "<p>y", "<!--" * 250_000, "<" * 500_000,
+                                  "<b '\">" * 150_000, "</a " * 250_000])
+def test_scanner_takes_time_in_proportion(page):
+    took = []
+    for part in (page[: len(page) // 4], page):
+        begun = time.perf_counter()
+        html_text.blocks(part)
+        took.append(time.perf_counter() - begun)
+    assert took[1] < 8 * took[0] + 1  # four times as long a page; sixteen times as long if it were quadratic
+
+
+def test_unended_tags_and_quotes():
+    assert [b.text for b in html_text.blocks("<p>a < b <a x <b y")] == ["a < b <a x <b y"]
+    assert [b.text for b in html_text.blocks("<p title='it>x</p><p>y</p>")] == ["x", "y"]
+    assert [b.text for b in html_text.blocks("<p title='a>b'>x<!-- c > d --!>y<script>var a='</p>';</script >z")] == ["xyz"]
+
+
+def test_pages_that_repeat_id_and_url(spark):
+    """What stands on many pages of a host goes, also where ids and urls are null or the same."""
+    common = "This notice text stands on every page of this host and is quite long, long enough to be cut as a whole block."
+    pages = [f"<div>{common}</div><div>{' '.join(f'own{k}x{i}' for i in range(30))}</div>" for k in range(8)]
+    for ids in ([(k, f"http://h/{k}") for k in range(8)], [(1, "http://h/a")] * 8, [(None, "http://h/a")] * 8, [(None, None)] * 8):
+        df = spark.createDataFrame([(i, u, x, "e") for (i, u), x in zip(ids, pages, strict=True)], "page_id long, url string, html string, text string").repartition(3)
+        got = sorted(r.text for r in html_text.extract(df).collect())
+        assert got == sorted(" ".join(f"own{k}x{i}" for i in range(30)) for k in range(8))
+
+
+def test_severity_by_brute_force(spark):
+    """Scores and thresholds worked out word by word in plain Python."""
+    from adloom.llm import textops
+
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, refine=2)
+    known = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+
+    def feature(data: bytes) -> int:
+        return int(textops.SpanHashes(np.frombuffer(data, np.uint8)).of(np.array([0]), np.array([len(data)]))[0])
+
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").limit(150).collect()] + [(-1, None), (-2, "12 !"), (-3, "WORD " * 3000)]
+    for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        text = bytes(b + 32 if 65 <= b <= 90 else b for b in (r.text or "").encode())
+        found: dict[int, int] = {}
+        for word in re.findall(rb"[a-z\x80-\xff]+", text):
+            for f in [feature(word), *(feature(word[:n]) ^ n for n in (4, 5, 6) if len(word) > n)]:
+                if f in known:
+                    found[f] = found.get(f, 0) + 1
+        score = sum(known[f] * np.log1p(n) for f, n in found.items())
+        above = [1 / (1 + np.exp(-np.clip(score - t, -35, 35))) for t in model.thresholds]
+        shares = -np.diff([1, *above, 0])
+        assert np.allclose(r.p_above, above) and np.isclose(r.severity, sum(above))
+        assert shares[r.grade] >= shares.max() - 1e-9
+
+
+def test_sample_of_repeated_ids_is_the_same_each_time(spark):
+    from adloom.llm.labels import labelled_sample
+
+    docs = spark.createDataFrame([(k % 5, f"text {k}") for k in range(50)] + [(None, "none")], "doc_id long, text string")
+    grades = spark.createDataFrame([(k, k % 2) for k in range(5)] + [(1, 0), (None, 1)], "doc_id long, toxic int")
+    found = [sorted(map(tuple, labelled_sample(docs.repartition(n), grades, "doc_id", "toxic", 10, [F.col("text")]).collect())) for n in (1, 7)]
+    assert found[0] == found[1] == [(k, k % 2, min(f"text {j}" for j in range(k, 50, 5))) for k in range(5)]
+
+
+def test_language_sizes_by_brute_force(spark):
+    import zstandard
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").limit(300)
+    dictionaries = language.learn(docs)
+    assert len(dictionaries) >= 3 and all(len(d) <= language.DICTIONARY_BYTES for d in dictionaries.values())
+    for r in language.identify(docs, dictionaries).limit(60).collect():
+        data = re.sub(r"[\W\d_]+", " ", (r.text or "").lower()).strip().encode()
+        if not data:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        sizes = {}
+        for lang, raw in dictionaries.items():
+            prepared = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            prepared.precompute_compress(level=language.LEVEL)
+            sizes[lang] = sum(len(zstandard.ZstdCompressor(level=language.LEVEL, dict_data=prepared, write_content_size=False, write_dict_id=False).compress(data[k : k + language.BLOCK_BYTES]))
+                              for k in range(0, len(data), language.BLOCK_BYTES))
+        best, second = sorted(sizes.items(), key=lambda x: (x[1], x[0]))[:2]
+        assert r.lang_pred == best[0] and np.isclose(r.score, 1 - best[1] / second[1]) and r.confident == (r.score >= language.LEAST_MARGIN)
+
+
+def test_verdicts_by_brute_force(spark):
+    from adloom.llm import decision_list
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rules = decision_list.fit_rules(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    rules += [decision_list.Rule((decision_list.Condition("upper_share", True, 0.03, 0), decision_list.Condition("word_length", False, 5.0, 0)), 1, 0),
+              decision_list.Rule((decision_list.Condition("dup_line_share", True, 0.2, 0),), 1, 0)]
+    stats = decision_list.base_statistics(docs).withColumn("failed", decision_list.base_failed()).withColumn("rule", decision_list.verdict(rules))
+    seen = set()
+    for r in stats.collect():
+        measures = {"n_words": r.n_words, "word_length": r.word_chars / max(1, r.n_words), "symbol_share": r.n_symbols / max(1, r.word_chars),
+                    "dup_line_share": r.n_dup_lines / max(1, r.n_lines), "repeat_share": r.n_repeat_words / max(1, r.n_words), "upper_share": r.n_upper / max(1, r.word_chars)}
+        first = next((k for k, rule in enumerate(rules, 1) if all((measures[c.measure] > c.threshold) == c.above for c in rule.conditions)), None)
+        assert r.failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and r.rule == first
+        seen.add(first)
+    assert len(seen) >= 3

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from adloom.session import scratch_dir
 from adloom.llm import bag_minhash, components, decision_list, decontaminate, packing, suffix_dedup, textops
 
 SCHEMA = "doc_id long, text string, _id string, key long, c0 string, n_words string"
@@ -140,6 +141,61 @@ def test_near_duplicates_on_awkward_ids(docs):
     assert sum(r.class_id == 8 for r in found) >= 6
 
 
+def test_one_head_of_each_class(spark):
+    """Copies and near copies under the same id, null ids among them."""
+    rng = random.Random(6)
+    base = [[f"w{k}x{i}" for i in range(200)] for k in range(3)]
+    near = lambda k: " ".join(rng.sample(["other"], 1) + base[k][rng.randrange(1, 6) :])
+    rows = [(None, near(0)) for _ in range(6)] + [(5, near(1)) for _ in range(6)] + [(k % 2 or None, near(2)) for k in range(6)]
+    rows += [(5, rows[7][1]), (None, rows[0][1]), (None, None), (9, "")]
+    found = bag_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    heads = found.where("head and n_shingles > 0").select("_id", "_h").distinct().collect()
+    assert sorted((r._id or 0) for r in heads) == [0, 1, 5]
+    assert found.where("n_shingles = 0 and head").count() == 2
+    assert {r.class_id for r in found.where("n_shingles > 0").collect()} == {None, 5, 1}
+
+
+def test_suffix_index_over_batches(spark):
+    """Batches added one after another, the index opened again between, give what one run over all gives."""
+    rng = random.Random(13)
+    passages = ["".join(rng.choices("abcdefgh ", k=260)) for _ in range(6)]
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.randrange(0, 500))) + rng.choice(["", *passages]) + "".join(rng.choices("ijkl ", k=rng.randrange(0, 300))) for _ in range(60)]
+    texts += [None, "", texts[3], texts[3]]
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    path, seen = scratch_dir(spark, "suffix-index"), []
+    for batch in (texts[:30], texts[30:34], texts[34:], []):
+        index = suffix_dedup.SuffixIndex.open(spark, path) if seen else suffix_dedup.SuffixIndex(spark, path)
+        index.add(frame(batch).where("doc_id >= 0"))
+        seen += batch
+        got = index.cut(frame(seen)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept")).orderBy("doc_id").collect()
+        assert [tuple(r)[1:] for r in got] == repeats_by_brute_force([(t or "").encode() for t in seen], 200)
+    assert len(index.runs) <= 3 and sum(r.n_removed > 0 for r in got) > 20
+    with pytest.raises(ValueError, match="min_bytes"):
+        suffix_dedup.SuffixIndex(spark, path, 8)
+
+
+def test_texts_with_one_32_bit_hash_are_told_apart(spark):
+    """Null ids, and texts that a 32-bit hash would take for one: only the copied one is cut."""
+    texts = spark.range(400_000).select(F.concat(F.lit("".join(random.Random(1).choices("abcdefgh ", k=250))), F.md5(F.col("id").cast("string"))).alias("text"))
+    pair = (texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("same")).where(F.size("same") > 1).first().same)
+    tail = lambda t: t[250:] * 8
+    one, other = (t[250:] for t in pair)
+    assert one != other
+    rows = [(None, pair[0]), (None, pair[1])]
+    found = suffix_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.n_bytes, r.n_removed, bytes(r.text).decode()) for r in found) == sorted((282, 250 + k, t[k:]) for t, k in ((one, _shared(one, other)), (other, _shared(one, other))))
+    alone = [(None, pair[0]), (1, pair[0][:250] + "zz"), (None, tail(pair[1]))]
+    kept = {r.n_bytes: r.n_removed for r in suffix_dedup.cut_repeats(spark.createDataFrame(alone, "doc_id long, text string")).collect()}
+    assert kept[len(tail(pair[1]))] == repeats_by_brute_force([x[1].encode() for x in alone], 200)[2][1]
+
+
+def _shared(a, b):
+    k = 0
+    while a[k] == b[k]:
+        k += 1
+    return k
+
+
 def test_near_group_without_hub(spark):
     """Copies that differ from one another by more than from a few of them."""
     rng = random.Random(3)
@@ -263,8 +319,10 @@ def test_statistics(docs):
         return len(w), sum(map(len, w)), sum(t.count(x) for x in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    plain = docs.drop("n_words")
-    got = Counter(tuple(r) for r in decision_list.base_statistics(plain).select(*names).collect())
+    plain = docs  # its own n_words gives way
+    found = decision_list.base_statistics(plain)
+    assert found.columns == ["doc_id", "_id", "key", "c0", *names, "n_upper", "n_lines"]
+    got = Counter(tuple(r) for r in found.select(*names).collect())
     assert got == Counter(stats(r[1]) for r in awkward())
     # A filter on the result must not change the cost of the arrays: it is answered at once.
     assert decision_list.base_statistics(plain).where("n_repeat_words > 100").count() == sum(stats(r[1])[4] > 100 for r in awkward())
@@ -353,3 +411,62 @@ def test_empty_tables(spark, nothing):
     assert decontaminate.match_items(nothing.select("doc_id", "text"), items).count() == 0
     assert packing.pack(nothing, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert decision_list.base_statistics(nothing).count() == 0
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    """Near-duplicates, repeated passages and benchmark passages one after another, on the rows the stage before kept."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    item = " ".join(word() for _ in range(30))
+    passage, base = " ".join(word() for _ in range(60)), [word() for _ in range(200)]
+    own = lambda n: " ".join(word() for _ in range(n))
+    texts = [own(80) for _ in range(6)] + [" ".join(base), " ".join(base[1:]), " ".join(base[:-2])]
+    texts += [own(90) + " " + passage + " " + own(90), own(90) + " " + passage, own(200) + " " + item[: len(item) // 2] + " " + own(30), own(5) + " " + item, None, "", "!!"]
+    rows = [(k if k != 7 else None, t, "en", "s", 0 if t is None else len(t), k) for k, t in enumerate(texts)]
+    rows += [rows[0], (0, own(40), None, None, 5, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _h long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, stages = spark.read.parquet(f"{tmp_path}/documents.parquet"), dict(corpus_pipeline.STAGES)
+
+    def run(name, docs):
+        path = str(tmp_path / name.replace(" ", "-"))
+        stages[name](spark, docs, str(tmp_path)).write.parquet(path)
+        out = spark.read.parquet(path)
+        return out, sorted(map(tuple, out.collect()), key=repr)
+
+    docs, kept = run("toxicity", docs)
+    assert kept == sorted(rows, key=repr)
+
+    classes, want = classes_by_brute_force([r[1] for r in kept]), []
+    for c in set(classes):
+        own_rows = [r for r, x in zip(kept, classes, strict=True) if x == c]
+        worded = re.search(r"[^\x20\x09-\x0D]", own_rows[0][1] or "")
+        want += sorted(own_rows, key=lambda r: (r[0] is None, r[0] or 0))[:1] if worded else own_rows
+    docs, kept = run("minhash near-dedup", docs)
+    # Of a class the least id stays; of near-copies under one id any of them.
+    assert sorted((r[0] is None, r[0] or 0) for r in kept) == sorted((r[0] is None, r[0] or 0) for r in want) and len(kept) == len(want)
+
+    cut, want = repeats_by_brute_force([(r[1] or "").encode() for r in kept], 200), []
+    for r, (_, removed, _, digest) in zip(kept, cut, strict=True):
+        want.append((r[0], removed, digest))
+    assert sum(x[1] > 0 for x in want) >= 2
+    docs, after = run("suffix-array dedup", docs)
+    assert sorted((r[0], hashlib.sha256(r[1].encode()).hexdigest(), r[4]) for r in after) == sorted((i, d, len((k[1] or "").encode()) - n) for (i, n, d), k in zip(want, kept, strict=True))
+
+    hits = items_by_brute_force([r[1] for r in after], [(1, item), (2, None)])
+    want = {r[0]: n - hit for r, (n, hit, _) in zip(after, hits, strict=True) if hit <= 0.5 * n}
+    docs, last = run("benchmark decontamination", docs)
+    assert {r[0]: len(decontaminate.item_words(r[1])) for r in last} == want and len(want) < len(after)
+    assert not any(hit for _, hit, _ in items_by_brute_force([r[1] for r in last], [(1, item)]))
+
+    pieces = corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in pieces if r.piece == 0) == Counter(r[0] for r in last)
+    ends: dict[int, int] = {}
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048
