@@ -20,8 +20,19 @@ from adloom.llm.textops import text_mark
 from adloom.session import scratch_dir
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Texts are long: with fewer rows to a batch than Spark's 10,000, tasks hold a few megabytes of them. Another
+    setting than that stays."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely clean than toxic."""
+    _small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), refine=2)
     scored = toxicity.score(docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))), model, f"c{docs.columns.index('text')}")
     kept = scored.where(scored["p_above"][0] < 0.5)
@@ -31,6 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each near-duplicate class (null ids come last); of rows that
     repeat both id and text one."""
+    _small_batches(spark)
     found = bag_minhash.near_duplicates(docs)
     heads = found.where("head").groupBy("_id", "_h").agg(F.count("*").alias("_rows"), (F.max("n_shingles") > 0).alias("_worded"))
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # extra columns may bear any name
@@ -45,6 +57,7 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 200 bytes that also stand elsewhere. What a cut leaves of a
     character is dropped; texts keep their white space."""
+    _small_batches(spark)
     cut = suffix_dedup.cut_repeats(docs)
     text = F.when(F.col("n_removed") > 0, _valid_text(F.col("text"))).otherwise(F.decode("text", "UTF-8"))
     return cut.select(*(text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
@@ -56,12 +69,14 @@ def _valid_text(data):
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark passages; documents that consist of them mostly are dropped."""
+    _small_batches(spark)
     kept = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return kept.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 2048 tokens."""
+    _small_batches(spark)
     return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
