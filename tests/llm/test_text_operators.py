@@ -238,6 +238,28 @@ def test_components(spark, edges):
     assert got == {x: find(x) for u, v in edges if u != v for x in (u, v)}
 
 
+def test_components_of_few_edges_take_few_tasks(spark):
+    edges = spark.createDataFrame([(0, i) for i in range(1, 200)] + [(i, i + 1000) for i in range(100)], "u long, v long")
+    tracker, found, tasks = spark.sparkContext.statusTracker(), {}, {}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for few in (components.FEW, 0):
+        group = f"components-{few}"
+        spark.sparkContext.setJobGroup(group, "")
+        with_many = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+        for name, value in with_many.items():
+            spark.conf.set(name, value)
+        try:
+            found[few] = {tuple(r) for r in components.components(edges, few=few).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        tasks[few] = sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+    assert found[0] == found[components.FEW] == {(x, 0) for x in [*range(200), *range(1000, 1100)]}
+    assert 2 * tasks[components.FEW] < tasks[0]
+
+
 def items_by_brute_force(docs, items, window=10):
     windows: dict[tuple, set] = {}
     for name, text in items:
