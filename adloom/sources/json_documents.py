@@ -18,17 +18,24 @@ from pyspark.sql import types as T
 from adloom.session import scratch_dir
 
 INDENT = 4
+CHUNK = 1 << 18  # characters of lines that a worker holds, or one record
 _BEFORE, _AFTER = -1, (1 << 63) - 1
 
 
-def _indented(batches: Iterator[pa.RecordBatch], step: int, depth: int) -> Iterator[pa.RecordBatch]:
-    """Records as the lines they take in the document."""
+def _indented(batches: Iterator[pa.RecordBatch], step: int, depth: int, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Records as the lines they take in the document, a chunk at a time: one record is parsed at once."""
     margin = " " * (step * depth)
     for batch in batches:
-        records, commas = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        lines = [margin + json.dumps(json.loads(r), indent=step, ensure_ascii=False).replace("\n", f"\n{margin}") + ("," if c else "")
-                 for r, c in zip(records, commas, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.string())], ["part", "at", "value"])
+        part, at, records, commas = batch.columns
+        lines, first, size = [], 0, 0
+        for row in range(batch.num_rows):
+            text = json.dumps(json.loads(records[row].as_py()), indent=step, ensure_ascii=False).replace("\n", f"\n{margin}")
+            lines.append(margin + text + ("," if commas[row].as_py() else ""))
+            size += len(lines[-1])
+            if size >= limit or row == batch.num_rows - 1:
+                done = slice(first, row + 1)
+                yield pa.RecordBatch.from_arrays([part[done], at[done], pa.array(lines, pa.string())], ["part", "at", "value"])
+                lines, first, size = [], row + 1, 0
 
 
 def _write(lists: list[DataFrame], titles: list[str] | None, path: str, step: int) -> None:

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +26,16 @@ def records(spark, n):
     return spark.createDataFrame(data, RECORDS).repartition(5).orderBy(F.desc("id")), as_json[::-1]
 
 
+def test_json_lines_are_made_in_chunks():
+    record = json.dumps({"a": ["x" * 100] * 10})
+    batch = pa.RecordBatch.from_pydict({"part": [0] * 50, "at": list(range(50)), "record": [record] * 50, "comma": [k < 49 for k in range(50)]})
+    found = list(json_documents._indented(iter([batch, batch.slice(0, 0)]), 4, 1, 3000))
+    assert max(b.num_rows for b in found) == 3 and sum(b.num_rows for b in found) == 50
+    assert [x for b in found for x in b.column(1).to_pylist()] == list(range(50))
+    text = "\n".join(x for b in found for x in b.column(2).to_pylist())
+    assert f"[\n{text}\n]" == json.dumps([json.loads(record)] * 50, indent=4)
+
+
 @pytest.mark.parametrize("n", [0, 1, 60])
 def test_json_list_is_what_dumps_gives(spark, tmp_path, n):
     df, expected = records(spark, n)
