@@ -607,7 +607,7 @@ def tweet_minutes(spark: SparkSession, sf: str) -> DataFrame:
 def _campaign_states(spark: SparkSession, sf: str) -> DataFrame:
     """States from a stream of ad events in three micro-batches, the second of which is run twice; folded before the last."""
     base, sums = session.scratch_dir(spark, "campaign-state"), live_marts.campaign_sums()
-    t.ad_events(spark, sf, "event_id", "campaign_id", "ad_cost", "ad_revenue").repartition(ARRIVALS).write.parquet(f"{base}/events")
+    events = t.ad_events(spark, sf, "event_id", "campaign_id", "ad_cost", "ad_revenue")
     write = states.append_states(f"{base}/states", sums)
 
     def write_again(batch: DataFrame, batch_id: int) -> None:
@@ -616,8 +616,10 @@ def _campaign_states(spark: SparkSession, sf: str) -> DataFrame:
         if batch_id == 1:
             states.fold_states(spark, f"{base}/states", sums)
 
-    source = spark.readStream.schema(spark.read.parquet(f"{base}/events").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
-    drain(source.writeStream.option("checkpointLocation", f"{base}/progress").foreachBatch(write_again))
+    for k in range(ARRIVALS):  # as many files each as the scan has parts, so a task reads what one part brought
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(ARRIVALS)) == k).write.mode("append").parquet(f"{base}/events")
+        source = spark.readStream.schema(events.schema).parquet(f"{base}/events")
+        drain(source.writeStream.option("checkpointLocation", f"{base}/progress").foreachBatch(write_again))
     return states.read_states(spark, f"{base}/states", sums)
 
 

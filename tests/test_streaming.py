@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from adloom import session
 from adloom.plans import sample_tables as t
 from adloom.registry import QUERIES
 from adloom.sources.messages import read_messages, to_messages
@@ -281,3 +282,14 @@ def test_minutes_are_read_over_folds_and_later_batches(spark, box):
     assert [r.last for r in tiers.manifest(spark, box("out")).runs] == [3]
     found = [f for _, _, fs in os.walk(f"{box('out')}-base-3") for f in fs if f.endswith(".csv")]
     assert len(found) <= 6  # three minutes, few files each
+
+
+def test_ad_event_stream_is_read_in_as_many_parts_as_the_scan(spark, tiny, tmp_path, monkeypatch):
+    lines = t.table(spark, tiny, "lineitem")
+    lines.repartition(6).write.parquet(str(tmp_path / "in" / "lineitem.parquet"))
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    assert rows(QUERIES["campaign_state"](spark, str(tmp_path / "in"))) == rows(live_marts.campaign_summary(
+        live_marts.campaign_sums().of(t.ad_events(spark, tiny))))
+    base = tmp_path / "campaign-state"
+    assert len(list((base / "events").glob("part-*"))) > 6
+    assert (base / "states-base-1").exists() and {p.name for p in (base / "states").glob("batch_id=*")} == {"batch_id=0", "batch_id=1", "batch_id=2"}
