@@ -29,25 +29,25 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
         "star_rating": text.to_int(F.col("star_rating"))})
 
 
-def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], written: Sequence[str]) -> DataFrame:
+def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], written: Sequence[str], ranged: bool = False) -> DataFrame:
     rows = present(reviews.select(*dict.fromkeys([*columns, *written])), *key)
-    return latest_per_key(rows, key, written).select(*columns)
+    return latest_per_key(rows, key, written, ranged).select(*columns)
 
 
-def reviews_by_product(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
-    return _keyed(reviews, BY_PRODUCT, schemas.REVIEWS_BY_PRODUCT, written)
+def reviews_by_product(reviews: DataFrame, written: Sequence[str], ranged: bool = False) -> DataFrame:
+    return _keyed(reviews, BY_PRODUCT, schemas.REVIEWS_BY_PRODUCT, written, ranged)
 
 
-def reviews_by_product_rating(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
+def reviews_by_product_rating(reviews: DataFrame, written: Sequence[str], ranged: bool = False) -> DataFrame:
     """The rating is part of this key, so rows without one are left out."""
-    return _keyed(reviews, BY_PRODUCT_RATING, schemas.REVIEWS_BY_PRODUCT_RATING, written)
+    return _keyed(reviews, BY_PRODUCT_RATING, schemas.REVIEWS_BY_PRODUCT_RATING, written, ranged)
 
 
-def reviews_by_customer(reviews: DataFrame, written: Sequence[str]) -> DataFrame:
+def reviews_by_customer(reviews: DataFrame, written: Sequence[str], ranged: bool = False) -> DataFrame:
     """A narrow copy, so the bodies are never shuffled. It holds what the product
     copy holds, hence rows need a product too."""
     with_product = reviews.filter(F.col("product_id").isNotNull())
-    return _keyed(with_product, BY_CUSTOMER, schemas.REVIEWS_BY_CUSTOMER, written)
+    return _keyed(with_product, BY_CUSTOMER, schemas.REVIEWS_BY_CUSTOMER, written, ranged)
 
 
 def newest_reviews(keyed: DataFrame, partition_key: Sequence[str], limit: int = 10) -> DataFrame:

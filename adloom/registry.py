@@ -409,22 +409,23 @@ def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
     after folding, and with a load after that, which brings new keys and replaces folded ones."""
     path, key = session.scratch_dir(spark, "review-loads"), list(reviews.BY_PRODUCT)
     layout = ["product_id"], [F.desc("review_date"), F.asc("review_id")]
-    clean = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN).drop("review_headline", "review_body")
-    load = keyed_sink.append_batches(path, key, ["star_rating"], *layout)
+    found = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN, ranged=True).drop("review_headline", "review_body")
+    tables.write_keyed(found, f"{path}-clean", *layout, ranged=True)
+    clean = tables.read_table(spark, f"{path}-clean")
+    load = keyed_sink.append_batches(path, key, ["star_rating"], *layout, ranged=True)
 
-    def keep(stage: str) -> DataFrame:
-        found = keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"])
-        found.withColumn("stage", F.lit(stage)).write.parquet(f"{path}-{stage}")
-        return spark.read.parquet(f"{path}-{stage}")
+    def now(stage: str) -> DataFrame:
+        """The files of the table as of now; they outlive the next fold."""
+        return keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"], ranged=True).withColumn("stage", F.lit(stage))
 
     load(clean, 0)
     load(clean.filter(F.col("star_rating") >= 3).withColumn("star_rating", F.lit(1)), 1)
-    stages = keep("before")
-    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], *layout)
-    stages = stages.unionByName(keep("folded"))
+    stages = now("before")
+    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], *layout, ranged=True)
+    stages = stages.unionByName(now("folded"))
     second = clean.withColumn("review_id", F.concat("review_id", F.lit("-again")))
     load(second.unionByName(clean.filter(F.col("star_rating") == 2).withColumn("star_rating", F.lit(5))), 2)
-    return _text(stages.unionByName(keep("later")), "review_date")
+    return _text(stages.unionByName(now("later")), "review_date")
 
 
 def _loaded_reviews(spark: SparkSession, sf: str) -> str:

@@ -37,27 +37,28 @@ def write_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parq
         writer.option("partitionOverwriteMode", "static").save(path)
 
 
-def cluster_for_reads(df: DataFrame, partition_key: Sequence[str], clustering: Sequence[Column]) -> DataFrame:
+def cluster_for_reads(df: DataFrame, partition_key: Sequence[str], clustering: Sequence[Column], ranged: bool = False) -> DataFrame:
     """Rows laid out by partition key and clustering order.
 
     Ranges are cut on key *and* clustering columns, so the rows of a hot key are
     spread over many sorted files, and the min/max statistics of each file let a
-    read by key skip the others.
+    read by key skip the others. Rows that are ``ranged`` by such columns already are only sorted.
     """
     order = [F.col(c) for c in partition_key] + list(clustering)
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return (df if ranged else df.repartitionByRange(*order)).sortWithinPartitions(*order)
 
 
 def write_keyed(df: DataFrame, path: str, partition_key: Sequence[str], clustering: Sequence[Column],
                 primary_key: Sequence[str] = (), written: Sequence[str] = (), mode: str = "overwrite",
-                folders: bool = False, only_touched: bool = False, fmt: str = "parquet", lookups: Sequence[str] = ()) -> None:
+                folders: bool = False, only_touched: bool = False, fmt: str = "parquet", lookups: Sequence[str] = (), ranged: bool = False) -> None:
     """Writes a query-first table. Given a primary key, only the last write per key
     is kept. ``folders`` makes one directory per partition key: for keys with few
     values, such as a month. With ``only_touched`` an overwrite replaces just the
     folders that the new rows belong to. ``lookups`` are columns other than the key that rows
-    are looked up by (:func:`lookup`): each file gets a Bloom filter of their values."""
+    are looked up by (:func:`lookup`): each file gets a Bloom filter of their values. ``ranged`` says that the rows come
+    from :func:`latest_per_key` by ranges of a key that starts with the partition key."""
     rows = latest_per_key(df, primary_key, written) if primary_key else df
-    writer = cluster_for_reads(rows, partition_key, clustering).write.format(fmt).mode(mode).option(
+    writer = cluster_for_reads(rows, partition_key, clustering, ranged).write.format(fmt).mode(mode).option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static")
     for column in lookups:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")

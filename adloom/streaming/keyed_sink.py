@@ -15,15 +15,16 @@ from adloom.streaming.tiers import BATCH
 
 
 def append_batches(path: str, key: Sequence[str], written: Sequence[str], partition_key: Sequence[str],
-                   clustering: Sequence[Column]) -> Callable[[DataFrame, int], None]:
+                   clustering: Sequence[Column], ranged: bool = False) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body. Each micro-batch overwrites its own folder, so a
     batch replayed after a failure replaces itself and adds nothing. Older data is
     never rewritten, whatever keys the batch brings: the cost of a batch is the
-    size of the batch."""
+    size of the batch. ``ranged`` (also of :func:`compact`) saves a shuffle where keys seldom repeat
+    and begin with the partition key, see :func:`latest_per_key`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, key, written)
-        cluster_for_reads(rows, partition_key, clustering).write.mode("overwrite").option(
+        rows = latest_per_key(batch, key, written, ranged)
+        cluster_for_reads(rows, partition_key, clustering, ranged).write.mode("overwrite").option(
             "partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
@@ -43,25 +44,25 @@ def last_fold(spark: SparkSession, path: str) -> int | None:
 
 
 def _layout(schema: str, key: Sequence[str], written: Sequence[str], partition_key: Sequence[str] = (),
-            clustering: Sequence[Column] = ()) -> tiers.Layout:
+            clustering: Sequence[Column] = (), ranged: bool = False) -> tiers.Layout:
     def read(spark: SparkSession, folder: str, batched: bool) -> DataFrame:
         return spark.read.schema(f"{schema}, {BATCH} bigint" if batched else schema).parquet(folder)
 
     def write(rows: DataFrame, folder: str) -> None:
-        cluster_for_reads(rows, partition_key, clustering).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+        cluster_for_reads(rows, partition_key, clustering, ranged).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
-    return tiers.Layout(read, write, lambda rows: latest_per_key(rows, key, [BATCH, *written]).drop(BATCH))
+    return tiers.Layout(read, write, lambda rows: latest_per_key(rows, key, [BATCH, *written], ranged).drop(BATCH))
 
 
 def read_upserted(spark: SparkSession, path: str, schema: str, key: Sequence[str],
-                  written: Sequence[str]) -> DataFrame:
+                  written: Sequence[str], ranged: bool = False) -> DataFrame:
     """The table as of now: per key the row of the latest batch, out of the folded runs and the
-    batches after them."""
-    return tiers.current(spark, path, _layout(schema, key, written))
+    batches after them. ``ranged`` shuffles rows in the order they are stored in, which packs better, and samples them first."""
+    return tiers.current(spark, path, _layout(schema, key, written, ranged=ranged))
 
 
 def compact(spark: SparkSession, path: str, schema: str, key: Sequence[str], written: Sequence[str],
-            partition_key: Sequence[str], clustering: Sequence[Column], fanout: int = tiers.FANOUT) -> int | None:
+            partition_key: Sequence[str], clustering: Sequence[Column], fanout: int = tiers.FANOUT, ranged: bool = False) -> int | None:
     """Folds the batches since the last fold, while a stream or further loads may go on; older runs are
     rewritten only when ``fanout`` of a size have come together. Returns the last batch id that is folded."""
-    return tiers.fold(spark, path, _layout(schema, key, written, partition_key, clustering), fanout)
+    return tiers.fold(spark, path, _layout(schema, key, written, partition_key, clustering, ranged), fanout)

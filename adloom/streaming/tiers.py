@@ -92,7 +92,10 @@ def stored(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
 
 
 def current(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
-    """The table as of now."""
+    """The table as of now. What is all in one run is combined already."""
+    now = manifest(spark, path)
+    if len(now.runs) == 1 and not any(n.startswith(f"{BATCH}=") and int(n.removeprefix(f"{BATCH}=")) > now.upto for n in folders.names(spark, path)):
+        return layout.read(spark, now.runs[0].folder, False)
     return layout.combine(stored(spark, path, layout))
 
 

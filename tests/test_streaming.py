@@ -9,10 +9,11 @@ from adloom.plans import sample_tables as t
 from adloom.registry import QUERIES
 from adloom.sources.messages import read_messages, to_messages
 from adloom.plans import live_marts
-from adloom.sources import folders
+from adloom.sources import folders, tables
 from adloom.streaming import keyed_sink, states, tiers, tweets, wiki
 from adloom.streaming.run import drain, start
-from conftest import rows
+from adloom.operators.ranking import latest_per_key
+from conftest import plan_of, rows
 
 
 def post(folder, name, *messages):
@@ -293,3 +294,25 @@ def test_ad_event_stream_is_read_in_as_many_parts_as_the_scan(spark, tiny, tmp_p
     base = tmp_path / "campaign-state"
     assert len(list((base / "events").glob("part-*"))) > 6
     assert (base / "states-base-1").exists() and {p.name for p in (base / "states").glob("batch_id=*")} == {"batch_id=0", "batch_id=1", "batch_id=2"}
+
+
+def test_keyed_batches_by_ranges_are_shuffled_once(spark, tmp_path):
+    path, schema, key = str(tmp_path / "t"), "k string, d int, v int", ["k", "d"]
+    batches = [[(f"p{n % 3}", n % 40, n) for n in range(200)], [(f"p{n % 3}", n % 30, -n) for n in range(90)], [("p9", 1, 1)]]
+    layout, found = (["k"], [F.desc("d")]), {}
+    write = keyed_sink.append_batches(path, key, ["v"], *layout, ranged=True)
+    for b, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, schema)
+        assert plan_of(tables.cluster_for_reads(latest_per_key(df, key, ["v"], ranged=True), *layout, ranged=True)).count("Exchange") == 1
+        write(df, b)
+        for row in {(k, d): max(v for x, y, v in batch if (x, y) == (k, d)) for k, d, _ in batch}.items():
+            found[row[0]] = row[1]
+        now = keyed_sink.read_upserted(spark, path, schema, key, ["v"], ranged=True)
+        if b == 0:
+            before, then = now, dict(found)
+        if b == 1:
+            keyed_sink.compact(spark, path, schema, key, ["v"], *layout, ranged=True)
+            now = keyed_sink.read_upserted(spark, path, schema, key, ["v"])
+            assert "Exchange" not in plan_of(now)  # all in one run
+            assert rows(before) == rows(spark.createDataFrame([(*k, v) for k, v in then.items()], schema))
+        assert rows(now) == rows(spark.createDataFrame([(*k, v) for k, v in found.items()], schema))
