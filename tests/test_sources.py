@@ -144,3 +144,11 @@ def test_shuffle_partitions_follow_the_data():
     small, large = session.shuffle_conf(1 << 20, cores=8), session.shuffle_conf(20 << 40, cores=4000)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(large["spark.sql.shuffle.partitions"]) == (20 << 40) // (256 << 20)
+
+
+def test_packed_csv_is_bounded_and_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PACKED_ROWS", 40)
+    df = spark.range(100).selectExpr("cast(id as string) AS id", "concat('a, \"', id, '\" ') AS note")
+    files.write_csv(df.coalesce(1), str(tmp_path / "csv"), packed=True)
+    assert len(list((tmp_path / "csv").glob("part-*.csv.gz"))) == 3
+    assert rows(files.read_csv(spark, str(tmp_path / "csv"))) == rows(df)
