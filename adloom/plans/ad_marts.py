@@ -20,25 +20,25 @@ def daily_campaign_ctr(raw_events: DataFrame, raw_campaigns: DataFrame) -> DataF
     """Impressions, clicks and click-through rate per day and campaign.
 
     Events shrink to day and campaign name before names are resolved. A name shared
-    by several campaigns counts for each. Rows without a day or a known campaign
+    by several campaigns counts for each, and for each row of a campaign: rows of one id and name are
+    counted first, so the events are not grouped again. Rows without a day or a known campaign
     drop out. Both the id and the name are kept.
     """
     ids = rename_present(raw_campaigns, {"CampaignID": "campaign_id"}).select(
-        text.to_long(F.col("campaign_id")).alias("campaign_id"), "CampaignName")
+        text.to_long(F.col("campaign_id")).alias("campaign_id"), "CampaignName").filter(F.col("campaign_id").isNotNull())
+    times = ids.groupBy("campaign_id", "CampaignName").agg(F.count(F.lit(1)).alias("times"))
     per_name = (
         raw_events.select(
-            text.day_label(text.to_wall_clock(F.col("Timestamp"))).alias("event_date"),
+            text.to_wall_clock(F.col("Timestamp")).cast("date").alias("event_date"),
             "CampaignName", "EventID", flags.clicked_truthy(F.col("WasClicked")).alias("clicked"))
         .filter(F.col("event_date").isNotNull())
         .groupBy("event_date", "CampaignName")
         .agg(F.count("EventID").alias("total_impressions"), F.count_if("clicked").alias("total_clicks"))
     )
-    per_id = (
-        per_name.join(ids, "CampaignName").filter(F.col("campaign_id").isNotNull())
-        .groupBy("event_date", "campaign_id", F.col("CampaignName").alias("campaign_name"))
-        .agg(F.sum("total_impressions").alias("total_impressions"),
-             F.sum("total_clicks").alias("total_clicks"))
-    )
+    per_id = per_name.join(times, "CampaignName").select(
+        text.day_label(F.col("event_date")).alias("event_date"), "campaign_id", F.col("CampaignName").alias("campaign_name"),
+        (F.col("total_impressions") * F.col("times")).alias("total_impressions"),
+        (F.col("total_clicks") * F.col("times")).alias("total_clicks"))
     return per_id.withColumn("ctr", kpi.ctr_fraction("total_clicks", "total_impressions"))
 
 

@@ -124,6 +124,14 @@ def test_daily_ctr_fans_out_on_shared_names(spark, ads):
         ("2024-10-08", 2, 2, 1.0), ("2024-10-09", 1, 0, 0.0))], key=repr)
 
 
+def test_daily_ctr_groups_events_once(spark, ads):
+    campaigns = spark.createDataFrame([("1", "C1"), ("1", "C1"), ("2", "C1")], "CampaignID string, CampaignName string")
+    daily = ad_marts.daily_campaign_ctr(ads, campaigns)
+    assert plan_of(daily).count("Aggregate(keys=[event_date") == 2  # in the map tasks and after the shuffle
+    assert [tuple(r)[:4] for r in daily.where("event_date = '2024-10-08'").orderBy("campaign_id").select(
+        "campaign_id", "campaign_name", "total_impressions", "total_clicks").collect()] == [(1, "C1", 4, 4), (2, "C1", 2, 2)]
+
+
 def test_spend_marts_drop_null_keys_and_count_bad_costs_as_zero(spark, ads):
     assert listed(ad_marts.top_advertisers_by_spend(ads)) == [("last_30_days", 4.0, "A"), ("last_30_days", 0.0, "B")]
     users = spark.createDataFrame([("1", "East"), ("2", None)], "UserID string, Location string")
