@@ -110,6 +110,20 @@ def raw_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _lineitem_with(spark, sf_dir, needs).select(*[F.expr(RAW_EVENT[c][0]).alias(c) for c in wanted])
 
 
+def event_columns(spark: SparkSession, sf_dir: str) -> list[list[str]]:
+    """Columns of the raw event file by the tables they need besides line items, so that a join moves those of its
+    own only. All are in one group where a key of such a table repeats, as lines then come in several copies."""
+    groups: dict[tuple, list[str]] = {}
+    for name, (_, needs) in RAW_EVENT.items():
+        if name != "written":
+            groups.setdefault(needs, []).append(name)
+    for other, condition in JOINS.items():
+        key = condition.split(" = ")[1]
+        if not table(spark, sf_dir, other).where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty():
+            return [[name for group in groups.values() for name in group]]
+    return list(groups.values())
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User file with gaps in age, location and interests and some impossible dates."""
     return table(spark, sf_dir, "customer").select(

@@ -318,8 +318,17 @@ def invalid_enums(spark: SparkSession, sf: str) -> DataFrame:
     return star_schema.invalid_enums(_facts(spark, sf), _users(spark, sf))
 
 
+def _profile_of_events(spark: SparkSession, sf: str, parts: list[list[str]]) -> DataFrame:
+    """The exact profile of the raw events in parts of columns. Most values of some columns occur once, so columns
+    that need no join are collapsed each by itself, in little memory."""
+    frames = []
+    for part in parts:
+        frames += [part] if any(t.RAW_EVENT[c][1] for c in part) else [[c] for c in part]
+    return profile.column_profile(*(t.raw_events(spark, sf, *columns) for columns in frames))
+
+
 def column_profile_events(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.column_profile(t.raw_events(spark, sf))
+    return _profile_of_events(spark, sf, t.event_columns(spark, sf))
 
 
 def column_profile_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,10 +523,11 @@ def document_export(spark: SparkSession, sf: str) -> DataFrame:
 
 def profile_of_loads(spark: SparkSession, sf: str) -> DataFrame:
     """The profile of events that came in three loads, from stored sketches; distinct values are within 3 %."""
-    path, events = session.scratch_dir(spark, "load-profiles"), t.raw_events(spark, sf)
+    path, parts = session.scratch_dir(spark, "load-profiles"), t.event_columns(spark, sf)
+    came = F.pmod(F.xxhash64("EventID"), F.lit(ARRIVALS))
     for load in range(ARRIVALS):
-        profile.store_sketches(events.where(F.pmod(F.xxhash64("EventID"), F.lit(ARRIVALS)) == load), path, load)
-    exact = profile.column_profile(events).select("column_name", F.col("distinct_values").alias("exact"))
+        profile.store_sketches([t.raw_events(spark, sf, *{"EventID", *columns}).where(came == load).select(*columns) for columns in parts], path, load)
+    exact = _profile_of_events(spark, sf, parts).select("column_name", F.col("distinct_values").alias("exact"))
     near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.03
     return profile.profile_of_loads(spark, path).join(exact, "column_name").select("column_name", "filled", "empty", near.alias("near"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from adloom.operators import nesting
 from adloom.operators.lookup import duplicate_keys, orphan_keys, resolve_key
-from adloom.operators.profile import column_profile
+from adloom.operators.profile import column_profile, profile_of_loads, store_sketches
 from adloom.operators.ranking import latest_per_key, top_per_group, top_rows
 from adloom.operators.ranks import RANGE, with_rank, with_ranges
 from adloom.operators.surrogate import first_appearance_ids
@@ -137,6 +137,16 @@ def test_profile_of_an_all_null_column(spark):
     assert rows(column_profile(df)) == [("i", "int", 2, 0, 2), ("n", "string", 0, 2, 0)]
 
 
+def test_profile_of_a_table_in_frames(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "a", 0.0, None), (1, None, -0.0, None), (2, "b", 1.5, None), (None, "a", None, None)], "i int, s string, d double, n date")
+    frames = [df.select("s", "n"), df.select("d"), df.select("i")]
+    assert rows(column_profile(*frames)) == rows(column_profile(df))
+    assert rows(column_profile(*frames, approx=True)) == rows(column_profile(df, approx=True))
+    store_sketches(frames, str(tmp_path / "p"), 0)
+    assert rows(profile_of_loads(spark, str(tmp_path / "p"))) == rows(column_profile(df))
+
+
 def _ranked_rows(n=3000):
     """One group holds a third of the rows; ordinals bunch up at both ends and spread over 60 bits."""
     rng = random.Random(11)

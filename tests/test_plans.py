@@ -1,6 +1,7 @@
 """Hand-made edge cases for reports, marts, star schema and reviews."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -301,3 +302,33 @@ def test_profile_sends_numbers_as_numbers(spark):
     plan = plan_of(column_profile(df))
     assert "string" not in plan.split("Exchange hashpartitioning")[-1].split("Exchange")[0].lower().replace("tostring", "")
     assert plan.count("Range (") == 1
+
+
+@pytest.mark.parametrize("name", ["column_profile_events", "profile_of_loads"])
+def test_event_profiles_join_keys_alone(spark, tiny, name):
+    """Columns that need no order are not moved to the orders."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES[name](spark, tiny))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = re.findall(r"Exchange hashpartitioning\(l_orderkey.*?FileScan parquet \[(.*?)\]", plan, re.DOTALL)
+    assert moved and {re.sub(r"#\d+L?", "", columns) for columns in moved} == {"l_orderkey"}
+
+
+def test_event_columns_are_parted_by_their_joins(spark, tiny):
+    groups = t.event_columns(spark, tiny)
+    assert sorted(c for g in groups for c in g) == sorted(c for c in t.RAW_EVENT if c != "written")
+    assert len(groups) == 3 and all(len({t.RAW_EVENT[c][1] for c in g}) == 1 for g in groups)
+
+
+def test_profiles_of_events_with_a_repeated_order(spark, tiny, tmp_path):
+    """Lines of an order that is listed twice come twice, in every column."""
+    for name in ("lineitem", "supplier", "orders"):
+        df = t.table(spark, tiny, name)
+        (df.unionAll(df.where("o_orderkey < 9")) if name == "orders" else df).write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole = column_profile(t.raw_events(spark, str(tmp_path)))
+    assert rows(QUERIES["column_profile_events"](spark, str(tmp_path))) == rows(whole)
+    loads = QUERIES["profile_of_loads"](spark, str(tmp_path))
+    assert rows(loads.select("column_name", "filled", "empty")) == rows(whole.select("column_name", "filled", "empty"))
