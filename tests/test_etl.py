@@ -1,14 +1,17 @@
 """Whole loads from CSV files made of the driver's tables."""
 
 import json
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from adloom import session
 from adloom.plans import ad_kpis, ad_marts, documents, etl, reviews, star_schema
 from adloom.plans import sample_tables as t
 from adloom.sources import files, tables
-from conftest import rows
+from conftest import plan_of, rows
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +118,48 @@ def test_reviews(spark, raw, tmp_path):
     assert rows(page.select("customer_id")) == rows(
         reviews.top_of_period(reviews.top_haters(clean), "customer_id", 3, "1998-03").select("customer_id"))
     assert rows(spark.read.parquet(f"{out}/product_trends")) == rows(reviews.product_trends(reviews.verified_reviews(source)))
+
+
+def test_copies_by_product_share_one_shuffle(spark, tmp_path):
+    """Writes of one key with and without ratings, some without a whole key; the copies are taken as the marked rows lie."""
+    raw = spark.range(3000).select(
+        F.expr("case when id % 3 > 0 then concat('p', id % 7) end").alias("product_id"),
+        F.expr("case when id % 11 = 0 then '2024-13-99' when id % 13 > 0 then concat('2024-01-1', id % 4) end").alias("review_date"),
+        F.expr("case when id % 17 > 0 then concat('r', id % 5) end").alias("review_id"), F.expr("concat('c', id % 23)").alias("customer_id"),
+        F.expr("case when id % 6 = 0 then 'none' when id % 6 = 1 then '5.0' else cast(id % 6 as string) end").alias("star_rating"),
+        F.expr("concat('head ', id)").alias("review_headline"), F.expr("concat('body ', id)").alias("review_body"),
+        F.lit("Y").alias("verified_purchase"), F.expr("id * 7919 % 3001").alias("ingest_ord"))
+    marked = reviews.mark_last_writes(raw, "ingest_ord")
+    assert plan_of(marked).count("Exchange") == 1 and plan_of(marked).count("Sort ") == 1
+    tables.write_table(marked, str(tmp_path / "staged"))
+    staged = tables.read_table(spark, str(tmp_path / "staged"))
+    assert rows(staged.select(*raw.columns)) == rows(raw)
+    clean, plain = reviews.clean_reviews(staged), reviews.clean_reviews(raw)
+    for copy in (reviews.reviews_by_product, reviews.reviews_by_product_rating, reviews.reviews_by_customer):
+        assert rows(copy(clean, ["ingest_ord"], ranged=True)) == rows(copy(plain, ["ingest_ord"])) != []
+    for copy, by in ((reviews.reviews_by_product, ["product_id"]), (reviews.reviews_by_product_rating, ["product_id", "star_rating"])):
+        stored = tables.cluster_for_reads(copy(clean, ["ingest_ord"], ranged=True), by, [F.desc("review_date"), F.asc("review_id")], ranged=True)
+        assert "Exchange" not in plan_of(stored)
+    alone = raw.withColumn("product_id", F.lit(None).cast("string")).withColumn("review_date", F.lit(None).cast("string")).withColumn("review_id", F.lit(None).cast("string"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [len(part) for part in reviews.mark_last_writes(alone, "ingest_ord").rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 3000 and max(sizes) < 1500  # not all in one task
+
+
+def test_load_gives_up_the_shuffle_files_of_each_write(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = lambda: set(re.findall(r"shuffle_\d+", spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                                  .getAllFiles().mkString(" ")))
+    before, old = kept(), spark.conf.get(name, None)
+    with session.shuffles_released(spark):
+        tables.write_keyed(spark.range(100).selectExpr("id % 3 as k", "id"), str(tmp_path / "t"), ["k"], [F.asc("id")])
+    assert spark.conf.get(name, None) == old
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 100
+    for _ in range(50):  # they are removed in the background
+        if not kept() - before:
+            break
+        time.sleep(0.1)
+    assert not kept() - before

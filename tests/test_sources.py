@@ -83,6 +83,22 @@ def test_ingest_order_is_unique_over_files(spark, tmp_path):
     assert sorted(r[0] for r in files.first_rows(tied, 3).collect()) == [1, 2, 2]
 
 
+def test_ingest_order_of_gzipped_files(spark, tmp_path):
+    """Many more rows than bytes: they count on from file to file all the same."""
+    n = 30_000
+    for k in range(3):
+        files.write_csv(spark.range(n).select(F.lit(k).alias("k")).coalesce(1), str(tmp_path / "in" / f"k{k}"), packed=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.with_ingest_order(files.read_csv(spark, str(tmp_path / "in" / "*")))
+        assert df.count() == 3 * n == df.select("ingest_ord").distinct().count()
+        spans = df.groupBy("k").agg(F.min("ingest_ord").alias("low"), F.max("ingest_ord").alias("high")).orderBy("k").collect()
+        assert all(a.high < b.low for a, b in zip(spans, spans[1:], strict=False))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_append_overwrite_and_column_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
