@@ -25,9 +25,11 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], written: Sequence[str], ranged: bool = False) -> DataFrame:
+def latest_per_key(df: DataFrame, key: Sequence[str], written: Sequence[str], ranged: bool = False, buckets: int = 0) -> DataFrame:
     """Upsert semantics: of all rows with one primary key, the one written last.
 
     ``ranged`` deals the rows by ranges of the key, so a table that is laid out by its key needs no further shuffle. It is for
-    keys that seldom repeat: the writes of one key are not cut in the map tasks then."""
-    return top_per_group(df.repartitionByRange(*key) if ranged else df, key, [F.col(c).desc() for c in written], 1)
+    keys that seldom repeat: the writes of one key are not cut in the map tasks then. ``buckets`` deals them into so many
+    buckets by the key, which moves nothing where they lie in such buckets."""
+    dealt = df.repartition(buckets, *key) if buckets else df.repartitionByRange(*key) if ranged else df
+    return top_per_group(dealt, key, [F.col(c).desc() for c in written], 1)

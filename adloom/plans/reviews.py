@@ -50,15 +50,15 @@ def mark_last_writes(raw: DataFrame, order: str) -> DataFrame:
     return marked.drop(day, stars, alone)
 
 
-def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], written: Sequence[str], ranged: bool = False) -> DataFrame:
+def _keyed(reviews: DataFrame, key: Sequence[str], columns: Sequence[str], written: Sequence[str], ranged: bool = False, buckets: int = 0) -> DataFrame:
     if MARKS.get(key) in reviews.columns:
         return reviews.filter(F.col(MARKS[key])).select(*columns)
     rows = present(reviews.select(*dict.fromkeys([*columns, *written])), *key)
-    return latest_per_key(rows, key, written, ranged).select(*columns)
+    return latest_per_key(rows, key, written, ranged, buckets).select(*columns)
 
 
-def reviews_by_product(reviews: DataFrame, written: Sequence[str], ranged: bool = False) -> DataFrame:
-    return _keyed(reviews, BY_PRODUCT, schemas.REVIEWS_BY_PRODUCT, written, ranged)
+def reviews_by_product(reviews: DataFrame, written: Sequence[str], ranged: bool = False, buckets: int = 0) -> DataFrame:
+    return _keyed(reviews, BY_PRODUCT, schemas.REVIEWS_BY_PRODUCT, written, ranged, buckets)
 
 
 def reviews_by_product_rating(reviews: DataFrame, written: Sequence[str], ranged: bool = False) -> DataFrame:

@@ -417,23 +417,31 @@ def review_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Loads of reviews by product: the second lowers some ratings and brings rows again. Read before and
     after folding, and with a load after that, which brings new keys and replaces folded ones."""
     path, key = session.scratch_dir(spark, "review-loads"), list(reviews.BY_PRODUCT)
-    layout = ["product_id"], [F.desc("review_date"), F.asc("review_id")]
-    found = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN, ranged=True).drop("review_headline", "review_body")
-    tables.write_keyed(found, f"{path}-clean", *layout, ranged=True)
-    clean = tables.read_table(spark, f"{path}-clean")
-    load = keyed_sink.append_batches(path, key, ["star_rating"], *layout, ranged=True)
+    layout, buckets = (["product_id"], [F.desc("review_date"), F.asc("review_id")]), tables.bucket_count(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    append = keyed_sink.append_batches(path, key, ["star_rating"], *layout, buckets=buckets)
+    found = reviews.reviews_by_product(reviews.clean_reviews(t.raw_reviews(spark, sf)), WRITTEN, buckets=buckets).drop("review_headline", "review_body")
+    name = tables.entry_name("clean")
+    with session.shuffles_released(spark):
+        tables.write_bucketed(found, name, f"{path}-clean", key, buckets)
+    clean = spark.table(name)
+
+    def load(rows: DataFrame, batch: int) -> None:
+        with session.shuffles_released(spark):
+            append(rows, batch)
 
     def now(stage: str) -> DataFrame:
         """The files of the table as of now; they outlive the next fold."""
-        return keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"], ranged=True).withColumn("stage", F.lit(stage))
+        return keyed_sink.read_upserted(spark, path, REVIEW_COLUMNS, key, ["star_rating"]).withColumn("stage", F.lit(stage))
 
     load(clean, 0)
     load(clean.filter(F.col("star_rating") >= 3).withColumn("star_rating", F.lit(1)), 1)
     stages = now("before")
-    keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], *layout, ranged=True)
+    with session.shuffles_released(spark):
+        keyed_sink.compact(spark, path, REVIEW_COLUMNS, key, ["star_rating"], *layout)
     stages = stages.unionByName(now("folded"))
     second = clean.withColumn("review_id", F.concat("review_id", F.lit("-again")))
     load(second.unionByName(clean.filter(F.col("star_rating") == 2).withColumn("star_rating", F.lit(5))), 2)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
     return _text(stages.unionByName(now("later")), "review_date")
 
 

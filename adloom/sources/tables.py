@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.operators.ranking import latest_per_key
+from adloom.sources import folders as stored
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] = (), fmt: str = "parquet",
@@ -106,5 +108,43 @@ def lookup_batch(table: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 def write_bucketed(df: DataFrame, name: str, path: str, key: Sequence[str], buckets: int) -> None:
     """A catalog table dealt into buckets by key. Tables with equal buckets are joined on that key, and
     grouped by it, without moving their rows again, however often that is done."""
-    (df.repartition(buckets, *key).write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*key)
+    (df.repartition(buckets, *key).write.mode("overwrite").format("parquet").option("compression", "zstd").bucketBy(buckets, *key).sortBy(*key)
      .option("path", path).saveAsTable(name))
+
+
+# Bytes of the files that rows come from, to a bucket.
+BUCKET_BYTES = 16 << 20
+
+
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """Buckets for rows read from the files at ``path``: one for a core at least, and so many that one task has room for a bucket."""
+    return max(spark.sparkContext.defaultParallelism, -(-stored.stored_bytes(spark, path) // BUCKET_BYTES))
+
+
+def entry_name(label: str) -> str:
+    """A name of its own for an entry in the catalog."""
+    return f"adloom_{label}_{uuid.uuid4().hex}"
+
+
+def write_buckets(df: DataFrame, path: str, key: Sequence[str], buckets: int) -> None:
+    """A folder of buckets without an entry in the catalog."""
+    name = entry_name("write")
+    write_bucketed(df, name, path, key, buckets)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # its files are no part of the warehouse and stay
+
+
+def read_buckets(spark: SparkSession, name: str, schema: str, parts: Mapping[int, str], part: str, key: Sequence[str], buckets: int) -> DataFrame:
+    """Several folders of equal buckets as one table, whose column ``part`` says which folder a row is from.
+
+    Spark looks its files up in the catalog when a query over it is planned, so the entry has to stay as long as the frame is used."""
+    if not parts:
+        return spark.createDataFrame([], f"{schema}, {part} BIGINT")
+    by, places = ", ".join(key), " ".join(f"PARTITION ({part} = {n}) LOCATION '{_quoted(path)}'" for n, path in parts.items())
+    spark.sql(f"CREATE TABLE {name} ({schema}, {part} BIGINT) USING parquet PARTITIONED BY ({part}) CLUSTERED BY ({by}) SORTED BY ({by})"
+              f" INTO {buckets} BUCKETS LOCATION '{_quoted(next(iter(parts.values())))}-{name}'")
+    spark.sql(f"ALTER TABLE {name} ADD {places}")
+    return spark.table(name)
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")

@@ -31,6 +31,7 @@ class Layout(NamedTuple):
     read: Callable[[SparkSession, str, bool], DataFrame]  # rows of a folder; of one that holds batches, with their ``batch_id``
     write: Callable[[DataFrame, str], None]
     combine: Callable[[DataFrame], DataFrame]  # of rows with their ``batch_id``, which it drops
+    together: Callable[[SparkSession, dict[int, str], int], DataFrame] | None = None  # rows of many folders, by last batch, in one scan; for a generation
 
 
 class Run(NamedTuple):
@@ -82,15 +83,27 @@ def _runs(spark: SparkSession, runs: list[Run], layout: Layout) -> list[DataFram
     return [layout.read(spark, r.folder, False).withColumn(BATCH, F.lit(r.last).cast("bigint")) for r in runs]
 
 
-def stored(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
-    """All rows with the last batch they come from: the runs, and the batches after them."""
-    now = manifest(spark, path)
+def _rows(spark: SparkSession, path: str, layout: Layout, now: Manifest, runs: list[Run], batches: list[int]) -> DataFrame:
+    """Of some runs and of complete batches after all runs."""
+    if layout.together:
+        places = {r.last: r.folder for r in runs} | {b: f"{path}/{BATCH}={b}" for b in batches}
+        return layout.together(spark, places, now.generation)
     rows = _batches(spark, path, layout, now.upto)
-    for run in _runs(spark, now.runs, layout):
+    for run in _runs(spark, runs, layout):
         rows = rows.unionByName(run)
     return rows
 
 
+def _since(spark: SparkSession, path: str, now: Manifest) -> list[int]:
+    return [b for b in batch_ids(spark, path) if now.upto is None or b > now.upto]
+
+
+def stored(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
+    """All rows with the last batch they come from: the runs, and the batches after them."""
+    now = manifest(spark, path)
+    return _rows(spark, path, layout, now, now.runs, _since(spark, path, now) if layout.together else [])
+
+
 def current(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     """The table as of now. What is all in one run is combined already."""
     now = manifest(spark, path)
@@ -102,16 +115,14 @@ def current(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
 def fold(spark: SparkSession, path: str, layout: Layout, fanout: int = FANOUT) -> int | None:
     """Folds the batches since the last fold into a run; returns the last batch that is in one."""
     now = manifest(spark, path)
-    new = [b for b in batch_ids(spark, path) if now.upto is None or b > now.upto]
+    new = _since(spark, path, now)
     if not new:
         return now.upto
     level, taken = 0, []
     while len(same := [r for r in now.runs if r.level == level]) + 1 >= fanout:
         taken += same
         level += 1
-    rows = _batches(spark, path, layout, now.upto).where(F.col(BATCH) <= new[-1])  # later ones are left for the next fold
-    for run in _runs(spark, taken, layout):
-        rows = rows.unionByName(run)
+    rows = _rows(spark, path, layout, now, taken, new).where(F.col(BATCH) <= new[-1])  # later ones are left for the next fold
     run = Run(f"{path.rstrip('/')}-base-{new[-1]}", level, min([new[0], *(r.first for r in taken)]), new[-1])
     layout.write(layout.combine(rows), run.folder)
     after = Manifest(now.generation + 1, [*(r for r in now.runs if r not in taken), run])

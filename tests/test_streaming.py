@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 
@@ -316,3 +317,46 @@ def test_keyed_batches_by_ranges_are_shuffled_once(spark, tmp_path):
             assert "Exchange" not in plan_of(now)  # all in one run
             assert rows(before) == rows(spark.createDataFrame([(*k, v) for k, v in then.items()], schema))
         assert rows(now) == rows(spark.createDataFrame([(*k, v) for k, v in found.items()], schema))
+
+
+def test_keyed_batches_in_buckets_are_read_and_folded_without_a_shuffle(spark, tmp_path):
+    """One product holds half of the rows. A batch comes twice, the second time with other rows; three folds."""
+    path, schema, key = str(tmp_path / "o'clock"), "k string, d int, v int", ["k", "d"]
+    batches = [[("hot" if n % 2 else f"p{n % 7}", n % 60, n) for n in range(400)], [("hot", n % 45, -n) for n in range(90)],
+               [(None, 1, 1), ("hot", None, 2), ("hot", 3, 7)], [("p9", n, n) for n in range(50)], [("hot", n, 5) for n in range(9)]]
+    layout, found = (["k"], [F.desc("d")]), {}
+    write = keyed_sink.append_batches(path, key, ["v"], *layout, buckets=5)
+    read = lambda: keyed_sink.read_upserted(spark, path, schema, key, ["v"])
+    fold = lambda: keyed_sink.compact(spark, path, schema, key, ["v"], *layout, fanout=2)
+    entries = lambda: [r.tableName for r in spark.sql("SHOW TABLES LIKE 'adloom_keyed_*'").collect()]
+    old = set(entries())
+    write(spark.createDataFrame([("gone", 1, 1)], schema), 0)
+    for b, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, schema)
+        write(df, b)
+        for k, d in {(k, d) for k, d, _ in batch}:
+            found[k, d] = max(v for x, y, v in batch if (x, y) == (k, d))
+        now, then = read(), spark.createDataFrame([(*k, v) for k, v in found.items()], schema)
+        assert "Exchange" not in plan_of(now) and rows(now) == rows(then)
+        if b in (1, 3, 4):
+            assert fold() == b
+            assert rows(now) == rows(then) == rows(read())  # a frame outlives one fold
+        if b == 3:  # all runs have come together
+            held = [rows(spark.read.parquet(str(f))) for f in (tmp_path / "o'clock-base-3").glob("part-*")]
+            assert sum(len(h) for h in held) == len(found) and len(held) == 5
+            assert all(sum(k == "hot" for k, *_ in h) < len([k for k, _ in found if k == "hot"]) / 2 for h in held)  # not all in one bucket
+    assert {e.split("_")[2] for e in set(entries()) - old} <= {hashlib.md5(path.encode()).hexdigest()}
+    assert {int(e.split("_")[3]) for e in set(entries()) - old} == {2, 3}  # entries go with the files they lead to
+    with pytest.raises(ValueError, match="has 5 buckets"):
+        keyed_sink.append_batches(path, key, ["v"], *layout, buckets=6)(spark.createDataFrame(batches[0], schema), 9)
+    later = spark.createDataFrame([("p9", 1, 70)], schema)
+    keyed_sink.append_batches(path, key, ["v"], *layout)(later, 5)  # the table knows its buckets
+    assert "Exchange" not in plan_of(read()) and ("p9", 1, 70) in rows(read())
+    keyed_sink.append_batches(str(tmp_path / "plain"), key, ["v"], *layout)(later, 0)
+    with pytest.raises(ValueError, match="without buckets"):
+        keyed_sink.append_batches(str(tmp_path / "plain"), key, ["v"], *layout, buckets=5)(later, 1)
+
+
+def test_review_upsert_reads_its_stages_as_they_lie(spark, tiny):
+    found = QUERIES["review_upsert"](spark, tiny)
+    assert "Exchange" not in plan_of(found) and found.groupBy("stage").count().count() == 3
