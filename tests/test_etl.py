@@ -163,3 +163,24 @@ def test_load_gives_up_the_shuffle_files_of_each_write(spark, tmp_path):
         time.sleep(0.1)
     assert not kept() - before
     assert tables.read_table(spark, str(tmp_path / "t")).count() == 100
+
+
+def test_rows_sorted_as_they_are_read_come_in_small_parts(spark, tmp_path):
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    tables.write_table(spark.range(400_000).selectExpr("id", "uuid() as text").coalesce(1), str(tmp_path / "staged"),
+                       **{"parquet.block.size": str(1 << 20)})
+    parts = lambda: tables.read_table(spark, str(tmp_path / "staged")).rdd.glom().map(len).collect()
+    with session.scans_of(spark, 2 << 20):
+        assert max(parts()) < 150_000 and sum(parts()) == 400_000
+        with session.scans_of(spark, 1 << 40):
+            assert spark.conf.get(name) == str(2 << 20)  # none is made larger
+    assert spark.conf.get(name) == old
+
+
+def test_load_of_reviews_sorts_small_parts(spark, raw, tmp_path, monkeypatch):
+    seen, name = {}, "spark.sql.files.maxPartitionBytes"
+    write = etl.write_keyed
+    monkeypatch.setattr(etl, "write_keyed", lambda df, path, *a, **b: (seen.update({path.rsplit("/", 1)[1]: session.in_bytes(spark.conf.get(name))}), write(df, path, *a, **b)))
+    etl.load_reviews(spark, f"{raw}/reviews", str(tmp_path))
+    assert max(seen["reviews_by_product"], seen["reviews_by_product_rating"]) <= 32 << 20
